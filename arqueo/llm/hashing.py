@@ -76,8 +76,8 @@ def word_hashes(buf: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.nd
 
 
 def joined(items: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """One buffer of all items with a space between, and each item's start, then the end."""
-    buf = np.frombuffer(b" ".join(items) or b" ", np.uint8)
+    """One buffer of all items with a space after each, and each item's start, then the end."""
+    buf = np.frombuffer(b" ".join([*items, b""]), np.uint8)
     lengths = np.fromiter((len(x) + 1 for x in items), np.int64, len(items))
     return buf, np.concatenate([[0], np.cumsum(lengths)])
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arqueo.llm import bpe
-from arqueo.llm.common import table
+from arqueo.llm import bpe, chat, quality_classifier, quality_rules, token_counts, toxicity
+from arqueo.llm.common import materialize, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
@@ -17,8 +18,70 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text")
+
+
+#: Text of both turns of the conversation that op4 adds.
+PROBE = "\\### Assistant: </turn> ok"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    log = chat.events_of_turns(turns.unionByName(probe))
+    return chat.digest(materialize(chat.render(chat.messages(log))))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, model).drop("text")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = token_counts.lengths(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return token_counts.by_limit(materialize(token_counts.histogram(counted)))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality_rules.judge(docs).select("doc_id", *counts, "base_failed", "kept", "quality_probability")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_toxicity": op3_toxicity,
+    "op4_chat_format": op4_chat_format,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op8_token_counts": op8_token_counts,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), escaped AS (
+            SELECT *, length(replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>'), '</role>', '<\/role>'))
+                    + length(replace(replace(replace(replace(txt, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>'), '</role>', '<\/role>'))
+                    + length('### ') + length('</role>') + length('</turn>') + 1 AS size
+            FROM turns
+        )
+        SELECT conv_id,
+            count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || txt || chr(10), '' ORDER BY turn, role, txt)) AS turns_sha256,
+            coalesce(sum(length(txt)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(txt, '' ORDER BY turn, role, txt) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            sum(size)::BIGINT AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
+}
