@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arqueo.llm import bpe, chat, quality_classifier, quality_rules, token_counts, toxicity
+from arqueo.llm import bpe, chat, quality_classifier, quality_rules, token_counts, token_files, toxicity
 from arqueo.llm.common import materialize, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+#: The id that ends a document in op2's files.
+END_ID = 2
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_files.read(spark, token_files.write(docs, public_tokenizers.path(WORD_BPE), END_ID))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -57,6 +66,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_token_files": op2_token_files,
     "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_quality_classifier": op5_quality_classifier,
