@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arqueo.llm import bpe, chat, quality_classifier, quality_rules, token_counts, token_files, toxicity
+from arqueo.llm import bpe, chat, decontaminate, quality_classifier, quality_rules, token_counts, token_files, toxicity
 from arqueo.llm.common import materialize, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -58,6 +58,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.by_limit(materialize(token_counts.histogram(counted)))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contained_items(docs, items)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -71,10 +76,29 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_token_counts": op8_token_counts,
+    "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
+_SHINGLES = r"""
+    SELECT {id} AS id, w, len(w) AS n FROM (
+        SELECT {id}, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+', ' ', 'g'), ' '), lambda x: x <> '') AS w
+        FROM {table}
+    ) WHERE len(w) > 0
+"""
+
 ORACLES: dict[str, str] = {
+    "op9_decontamination": f"""
+        WITH d AS ({_SHINGLES.format(id='doc_id', table='documents')}),
+        b AS ({_SHINGLES.format(id='item_id', table='benchmark')}),
+        ds AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(n - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d),
+        bs AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(n - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM b),
+        size AS (SELECT id, count(*)::INT AS item_size FROM bs GROUP BY id)
+        SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS n_shared, any_value(item_size) AS item_size,
+            count(*) / any_value(item_size) AS containment
+        FROM bs JOIN ds USING (s) JOIN size ON size.id = bs.id
+        GROUP BY ds.id, bs.id HAVING 5 * count(*) >= 4 * any_value(item_size)
+    """,
     "op4_chat_format": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt FROM conversations
