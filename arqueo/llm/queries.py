@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arqueo.llm import bpe, chat, decontaminate, quality_classifier, quality_rules, token_counts, token_files, toxicity
+from arqueo.llm import bpe, chat, decontaminate, jaccard_join, quality_classifier, quality_rules, token_counts, token_files, toxicity
 from arqueo.llm.common import materialize, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).drop("text")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = token_counts.lengths(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -75,6 +79,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
