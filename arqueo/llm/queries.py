@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arqueo.llm import bpe, chat, decontaminate, jaccard_join, quality_classifier, quality_rules, token_counts, token_files, toxicity
+from arqueo.llm import bpe, chat, decontaminate, jaccard_join, page_text, quality_classifier, quality_rules, token_counts, token_files, toxicity
 from arqueo.llm.common import materialize, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).drop("text")
 
 
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_page_text": op6_page_text,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
@@ -93,6 +98,18 @@ _SHINGLES = r"""
 """
 
 ORACLES: dict[str, str] = {
+    "op6_page_text": r"""
+        WITH article AS (
+            SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS a FROM pages
+        ), plain AS (
+            SELECT page_id, url, regexp_replace(regexp_replace(a, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS p FROM article
+        ), decoded AS (
+            SELECT page_id, url, regexp_replace(replace(p, '&quot;', '"'), '&amp;?', '&', 'g') AS d FROM plain
+        ), spaced AS (
+            SELECT page_id, url, trim(regexp_replace(d, '\s+', ' ', 'g')) AS text FROM decoded
+        )
+        SELECT page_id, url, text, length(text) AS n_chars, 0::BIGINT AS n_repeated FROM spaced
+    """,
     "op9_decontamination": f"""
         WITH d AS ({_SHINGLES.format(id='doc_id', table='documents')}),
         b AS ({_SHINGLES.format(id='item_id', table='benchmark')}),

@@ -1,12 +1,66 @@
-"""A corpus pipeline of five stages; each is one operator of arqueo.llm."""
+"""A corpus pipeline of five stages; each is one operator of arqueo.llm.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame. Between stages the documents are
+written to the session's shared folder and read again. All stages but the last return the columns
+of documents; the last returns the token ids.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from arqueo.llm import bpe, decontaminate, jaccard_join, quality_classifier, quality_rules
+from arqueo.llm.common import materialize, table
+from arqueo.llm.queries import RANKS
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the compression classifier takes for good ones."""
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, model).where("predicted = 1").select(docs.columns)
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the weakly supervised rules keep."""
+    return quality_rules.judge(docs).where("kept").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group linked by five-word shingle similarity of 0.8 or more."""
+    return jaccard_join.one_of_each(docs, words=5, num=4, den=5)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that hold no benchmark item (4/5 of its five-word shingles)."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens and ids of each document."""
+    keep = ["doc_id", "lang", "source"]
+    coded = bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep)
+    return coded.select(*keep, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("quality rules", rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("byte-level BPE", tokens),
+]
 
-STAGES: list = []
+#: Classification, weak supervision and tokenizing are beyond SQL; tests/llm has brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over the documents of ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = materialize(docs)
+    return docs
