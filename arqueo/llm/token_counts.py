@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from arqueo.llm.bpe import codec
 from arqueo.llm.common import map_texts
 
-BLOCK = 4096
+BLOCK = 256
 
 
 def lengths(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
