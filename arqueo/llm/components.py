@@ -34,7 +34,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now, path = materialize_at(_small_star(edges.where("u <> v")).distinct())
     seen = None
     while True:
-        after, new_path = materialize_at(_small_star(_large_star(now).distinct()).distinct())
+        once = _small_star(_large_star(now).distinct()).distinct()
+        after, new_path = materialize_at(_small_star(_large_star(once).distinct()).distinct())
         mark = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         remove_dir(spark, path)
         now, path = after, new_path

@@ -30,7 +30,7 @@ from arqueo.llm.hashing import doc_shingles, mix
 COUNT_BITS = 20
 _ROW = 1024
 BITMAP_WORDS = 8
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 
 
 def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.ndarray:
@@ -114,15 +114,22 @@ def _digest(values: np.ndarray, seed: int) -> int:
         return int(mix(np.array([salted.sum()], np.uint64)).view(np.int64)[0])
 
 
+def _several(df: DataFrame, key: str, of: str) -> DataFrame:
+    """The values of ``key`` with more than one value of ``of``."""
+    return df.groupBy(key).agg(F.min(of).alias("lo"), F.max(of).alias("hi")).where("lo <> hi").select(key)
+
+
 def _shingles_of(docs: DataFrame, words: int) -> DataFrame:
-    """set_id and its shingles, from docs with set_id and text."""
+    """set_id and its shingles, from docs with set_id and text; rows of another set are left out."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         items = texts(batch.column("text"))
-        ids = batch.column("set_id")
+        ids = batch.column("set_id").to_pylist()
         for a, b in grouped(items):
-            got = [s.view(np.int64) for s in doc_shingles(items[a:b], words)]
-            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(got, pa.list_(pa.int64()))], ["set_id", "shingles"])
+            got = doc_shingles(items[a:b], words)
+            own = [(i, s.view(np.int64)) for i, s in zip(ids[a:b], got, strict=True) if len(s) and _digest(s, 1) == i]
+            columns = [pa.array([i for i, _ in own], pa.int64()), pa.array([s for _, s in own], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["set_id", "shingles"])
 
     return map_texts(docs, "set_id bigint, shingles array<bigint>", run)
 
@@ -135,6 +142,31 @@ def _distance(a: str, b: str) -> Column:
     )
 
 
+def _near(a: str, b: str, num: int, den: int) -> Column:
+    """Whether two sets' sizes allow a link."""
+    low, high = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
+    return low * den >= high * num
+
+
+def _close(a: str, b: str, num: int, den: int) -> Column:
+    """Whether two sets' sizes and bitmaps allow a link. An overlap o links if (num + den) o >= num (n + m)."""
+    total = F.col(f"{a}.n") + F.col(f"{b}.n")
+    overlap = F.ceil(total * num / (num + den))
+    return _near(a, b, num, den) & (_distance(a, b) <= total - 2 * overlap)
+
+
+def _close_sets(sets: DataFrame, index: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The sets that size and bitmap allow to link with some other of a shared prefix shingle or of
+    their own group, and the index of those. The join stops at a set's first such partner."""
+    members = index.select("token", "group_id").join(sets, "group_id")
+    twins = sets.join(_several(sets, "group_id", "set_id"), "group_id").withColumn("token", F.col("group_id"))
+    members = materialize(members.unionByName(twins.select(members.columns)))
+    other = (F.col("a.token") == F.col("b.token")) & (F.col("a.set_id") != F.col("b.set_id"))
+    found = members.alias("a").join(members.alias("b"), other & _close("a", "b", num, den), "left_semi")
+    kept = materialize(sets.join(found.select("set_id").distinct(), "set_id"))
+    return kept, materialize(index.join(kept.select("group_id").distinct(), "group_id"))
+
+
 class _Join:
     """The tables of one run: sets, groups by prefix shingle, and the components so far."""
 
@@ -154,15 +186,8 @@ class _Join:
         groups = sets.groupBy("group_id").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         return self.index.join(groups, "group_id")
 
-    def near(self, a: str, b: str) -> Column:
-        low, high = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-        return low * self.den >= high * self.num
-
     def close(self, a: str, b: str) -> Column:
-        """Whether two sets' sizes and bitmaps allow a link. An overlap o links if (num + den) o >= num (n + m)."""
-        total = F.col(f"{a}.n") + F.col(f"{b}.n")
-        overlap = F.ceil(total * self.num / (self.num + self.den))
-        return self.near(a, b) & (_distance(a, b) <= total - 2 * overlap)
+        return _close(a, b, self.num, self.den)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """u, v of the pairs whose shingle sets reach the threshold."""
@@ -199,7 +224,7 @@ class _Join:
             F.min(F.struct("set_id", "n", "bitmap", "comp")).alias("h")
         ).select("pivot", "h.*")
         pairs = (
-            groups.join(sets.drop("prefix"), "group_id").alias("a")
+            groups.join(sets, "group_id").alias("a")
             .join(heads.alias("b"), F.col("a.pivot") == F.col("b.pivot"))
             .where((F.col("a.comp") != F.col("b.comp")) & self.close("a", "b"))
         )
@@ -244,19 +269,18 @@ def components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     counts = spark.sparkContext.broadcast(shingle_counts(docs, words))
     entries = materialize(_entries(docs, words, num, den, counts))
     full = entries.where("n > 0")
-    sets = materialize(full.drop("doc_id").dropDuplicates(["set_id"]))
     firsts = full.groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    heads = sets.groupBy("group_id").agg(F.min("set_id").alias("set_id"))
-    index = sets.join(heads, ["group_id", "set_id"]).select(F.explode("prefix").alias("token"), "group_id", "n")
-    shared = index.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1").select("token")
-    index = materialize(index.join(shared, "token"))
-    many = sets.groupBy("group_id").count().where("count > 1").select("group_id")
-    wanted = index.select("group_id").unionByName(many).distinct()
-    sets = materialize(sets.join(wanted, "group_id").select("set_id", "group_id", "n", "bitmap"))
-    readers = sets.select("set_id").join(full.select("set_id", "doc_id", "n"), "set_id").where("doc_id is not null")
-    readers = readers.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    read = docs.select("doc_id", "text").join(readers, "doc_id")
-    shingles = materialize(_shingles_of(read.select("set_id", "text"), words).dropDuplicates(["set_id"]))
+    placed = full.select(F.explode("prefix").alias("token"), "group_id", "n")
+    # Two groups at least; copies add nothing, and are summed before the exchange.
+    shared = _several(placed, "token", "group_id")
+    index = materialize(placed.join(shared, "token").distinct())
+    wanted = index.select("group_id").unionByName(_several(full, "group_id", "set_id")).distinct()
+    sets = full.select("set_id", "group_id", "n", "bitmap").join(wanted, "group_id").dropDuplicates(["set_id"])
+    sets, index = _close_sets(materialize(sets), index, num, den)
+    readers = sets.select("set_id").join(firsts, "set_id").where("first is not null")
+    read = docs.select("doc_id", "text").join(readers, F.col("doc_id") == F.col("first")).select("set_id", "text")
+    # Rows that repeat the doc_id of another text are told apart by their shingles.
+    shingles = materialize(_shingles_of(read, words))
     join = _Join(sets, index, shingles, num, den)
     for seed in range(PIVOT_ROUNDS):
         join.pivot_round(seed)
