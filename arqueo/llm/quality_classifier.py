@@ -20,6 +20,8 @@ from arqueo.llm.common import fold_of, map_texts, texts
 
 LEVEL = 3
 
+FEATURES = 4
+
 
 @dataclass(frozen=True)
 class Params:
@@ -79,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", params: Para
     sample = zdict.labelled_sample(docs, labels, label, zdict.CALIBRATION_FOLD, params.rows_per_class)
     measured = _features_of(sample.select("label", "text"), *dictionaries, params.window, "label int")
     counts = zdict.class_counts(labels, label, zdict.CALIBRATION_FOLD)
-    calibration = zdict.calibrate(measured.collect(), counts)
+    calibration = zdict.calibrate(measured.collect(), counts, FEATURES)
     return Model(*dictionaries, calibration, params)
 
 

@@ -28,6 +28,8 @@ from arqueo.llm.common import fold_of, map_texts, texts
 PRIMER = bytes([0, 1, 2, 3, 4, 5, 6, 7, 8, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24])
 OVERLAP = 8
 
+FEATURES = 7
+
 
 @dataclass(frozen=True)
 class Params:
@@ -164,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Params
     sample = zdict.labelled_sample(docs, labels, label, zdict.CALIBRATION_FOLD, params.calibration_rows)
     measured = _features_of(sample, ordinary, toxic, params.window)
     counts = zdict.class_counts(labels, label, zdict.CALIBRATION_FOLD)
-    return Model(ordinary, toxic, zdict.calibrate(measured.collect(), counts), params)
+    return Model(ordinary, toxic, zdict.calibrate(measured.collect(), counts, FEATURES), params)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

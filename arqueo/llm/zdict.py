@@ -65,7 +65,7 @@ class Calibration:
     def __init__(self, x: np.ndarray, y: np.ndarray, weights: np.ndarray, ridge: float = 0.5):
         if len(y) == 0 or len(np.unique(y)) < 2:
             p = float(np.mean(y)) if len(y) else 0.5
-            n = x.shape[1] if x.ndim == 2 else 1
+            n = x.shape[1]
             self.mean, self.scale = np.zeros(n), np.ones(n)
             self.beta = np.r_[np.log((p + 0.01) / (1.01 - p)), np.zeros(n)]
             return
@@ -88,10 +88,13 @@ class Calibration:
         return 1 / (1 + np.exp(-np.clip(z @ self.beta, -30, 30)))
 
 
-def calibrate(rows: list, counts: dict[int, int]) -> Calibration:
-    """``rows`` have label and features; ``counts`` are the classes' sizes among all labels."""
+def calibrate(rows: list, counts: dict[int, int], size: int) -> Calibration:
+    """``rows`` have label and ``size`` features; ``counts`` are the classes' sizes among all labels.
+
+    Without rows of both classes the score is the known class's share, or one half.
+    """
     y = np.array([r["label"] for r in rows], float)
-    x = np.array([r["features"] for r in rows], float).reshape(len(rows), -1)
+    x = np.array([r["features"] for r in rows], float).reshape(len(rows), size)
     sampled = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     weights = np.array([counts.get(int(c), 1) / sampled[int(c)] for c in y], float)
     return Calibration(x, y, weights)
