@@ -13,8 +13,10 @@ lost tasks are run again.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -32,7 +34,7 @@ _USED = np.arange(4)[None, :] <= np.arange(4)[:, None]
 _CODES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :]) & 3
 
 BLOCK_IDS = 1 << 18
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -59,36 +61,78 @@ def decode_ranks(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: printable bytes stand for
+    themselves, the others for the characters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Recent(dict):
+    """A dictionary that makes missing values and keeps about the last ``CACHED_WORDS`` used.
+
+    When it is full it becomes the old generation; what is asked for again comes back from there.
+    """
+
+    def __init__(self, make: Callable[[bytes], bytes]):
+        super().__init__()
+        self._make, self._old = make, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self._old = dict(self)
+            self.clear()
+        value = self._old.get(key)
+        if value is None:
+            value = self._make(key)
+        self[key] = value
+        return value
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer whose tokens never reach across white space.
 
-    Each run between ASCII white space is encoded by the library once and kept while the store of
-    words has room; the tokens of a text are those of its runs, one after another.
+    Each run between ASCII white space is encoded by the library and kept for a while; the tokens
+    of a text are those of its runs, one after another. Runs of Latin letters with ASCII marks
+    behind them, which normalising leaves as they are but for case, go to the library's merge
+    model in their two pieces; all other runs take its whole way.
     """
 
+    _PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
+        self._model = self._library.model
         self.size = self._library.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self._known: dict[bytes, bytes] = {}
+        self._code = "H" if self.dtype.itemsize == 2 else "I"
+        self._shown = _byte_characters()
+        self._pieces = _Recent(self._encode_piece)
+        self._words = _Recent(self._encode_word)
+
+    def _encode_piece(self, piece: bytes) -> bytes:
+        text = piece.decode() if piece.isascii() else "".join([self._shown[b] for b in piece])
+        return array(self._code, [t.id for t in self._model.tokenize(text)]).tobytes()
+
+    def _encode_word(self, word: bytes) -> bytes:
+        pieces = self._pieces
+        if word.isalpha():  # of ASCII letters
+            return pieces[word.lower()]
+        plain = self._PLAIN.fullmatch(word)
+        if plain:
+            letters, marks = plain.groups()
+            letters = letters.lower() if letters.isascii() else letters.decode().lower().encode()
+            return pieces[letters] + pieces[marks] if marks else pieces[letters]
+        return array(self._code, self._library.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
     def encode(self, items: list[bytes]) -> list[bytes]:
         """Packed ids of each text, in self.dtype."""
-        split = [t.split() for t in items]
-        known = self._known
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list({w for words in split for w in words})
-        for a in range(0, len(new), 4096):
-            part = new[a : a + 4096]
-            found = self._library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found, strict=True):
-                known[w] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        words = self._words
+        return [b"".join([words[w] for w in t.split()]) for t in items]
 
 
 @lru_cache(maxsize=2)
