@@ -329,13 +329,13 @@ def test_page_blocks():
 
 def test_main_text_and_repeated_runs(spark):
     shared = " ".join(f"s{i}" for i in range(12))
-    pages = [(i, f"https://h.example/{i}", f"<div><p>{shared}</p><p>own text of page {i} is long enough v{i}</p></div>") for i in range(6)]
+    pages = [(i, f"https://h.example/{i}", f"<div><p>{shared}</p><p>v{i} own text of page {i} is long enough</p></div>") for i in range(6)]
     pages += [(10, "https://h.example/x", f"<nav>{shared}</nav><article><p>{shared}</p></article>"), (11, None, None), (12, "u", ""), (None, "https://h.example/n", "<article>n</article>")]
     table = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("host", F.lit("z")).withColumn("text", F.lit("q"))
     got = {r.page_id: r for r in page_text.main_text(table).collect()}
     assert len(got) == len(pages)
     for i in range(6):
-        assert got[i].text == f"own text of page {i} is long enough v{i}" and got[i].n_repeated == 12
+        assert got[i].text == f"v{i} own text of page {i} is long enough" and got[i].n_repeated == 12
     assert got[10].text == shared and got[11].text == "" and got[12].n_chars == 0 and got[None].text == "n"
     assert page_text.main_text(table.limit(0)).count() == 0
 
