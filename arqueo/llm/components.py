@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from arqueo.llm.common import materialize_at, remove_dir
@@ -31,14 +31,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
     written to the shared folder, so lost executors cost one round at most.
     """
     spark = edges.sparkSession
-    now, path = materialize_at(_small_star(edges.where("u <> v")).distinct())
+    now, path, mark = _written(_small_star(edges.where("u <> v")).distinct())
     seen = None
-    while True:
-        once = _small_star(_large_star(now).distinct()).distinct()
-        after, new_path = materialize_at(_small_star(_large_star(once).distinct()).distinct())
-        mark = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        remove_dir(spark, path)
-        now, path = after, new_path
-        if mark == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    while mark["n"] and mark != seen:
         seen = mark
+        # Each star reads its edges several times, so that they are written between.
+        large, large_path, _ = _written(_large_star(now).distinct())
+        small, small_path, mark = _written(_small_star(large).distinct())
+        remove_dir(spark, path)
+        remove_dir(spark, large_path)
+        now, path = small, small_path
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, str, dict]:
+    """The edges, written; where; and their number and digest, taken on the way."""
+    seen = Observation()
+    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    table, path = materialize_at(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")))
+    return table, path, seen.get

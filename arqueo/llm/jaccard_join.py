@@ -5,9 +5,10 @@ A set's prefix is its rarest shingles, as many as it takes that two sets above t
 share one. Rarity is read from a table of counts over all shingles, of fixed size; the order it
 gives is the same everywhere, so the join is exact whatever the counts.
 
-Only components are asked for, so pairs inside a component need no check. Some rounds compare the
-groups of each prefix shingle with one pivot, and every set with the best of its pivots only; what
-is then left is every pair of groups that share a prefix shingle and lie in different components.
+Only components are asked for, so pairs inside a component need no check. First the groups of each
+prefix shingle are compared with one pivot, and every set is verified with the best of its pivots
+only; what is then left is every pair of groups that share a prefix shingle and lie in different
+components.
 Pairs of groups are filtered by size and, expanded to sets, by a parity bitmap, whose distance
 never exceeds the sets' true difference; then shingle sets are intersected. No link can be lost:
 the last step looks at all pairs that are not yet connected.
@@ -30,7 +31,8 @@ from arqueo.llm.hashing import doc_shingles, mix
 COUNT_BITS = 20
 _ROW = 1024
 BITMAP_WORDS = 8
-PIVOT_ROUNDS = 2
+#: How many of a set's pivots it is verified with.
+BEST_PIVOTS = 3
 
 
 def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.ndarray:
@@ -202,16 +204,18 @@ class _Join:
         edges = self.verified(pairs)
         if self.labels is not None:
             edges = edges.unionByName(self.labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        labels, path = materialize_at(connected_components(edges))
+        verified, edges_path = materialize_at(edges)
+        labels, path = materialize_at(connected_components(verified))
+        remove_dir(labels.sparkSession, edges_path)
         if self._path:
             remove_dir(labels.sparkSession, self._path)
         self.labels, self._path = labels, path
 
-    def pivot_round(self, seed: int) -> None:
-        """Compare the groups of each prefix shingle with a pivot group; verify each set's best pair."""
+    def pivot_round(self) -> None:
+        """Compare the groups of each prefix shingle with a pivot group; verify each set's best pairs."""
         sets = self.labelled()
         placed = self.placed(sets)
-        turn = F.struct(F.xxhash64(F.lit(seed), "token", "group_id").alias("turn"), F.col("group_id").alias("pivot"), "n")
+        turn = F.struct(F.xxhash64("token", "group_id").alias("turn"), F.col("group_id").alias("pivot"), "n")
         pivots = placed.groupBy("token").agg(F.min(turn).alias("p"), F.min("low").alias("lo"), F.max("high").alias("hi"))
         pivots = pivots.where("lo <> hi").select("token", "p.pivot", F.col("p.n").alias("pivot_n"))
         groups = placed.join(pivots, "token").where("group_id <> pivot")
@@ -228,10 +232,10 @@ class _Join:
             .join(heads.alias("b"), F.col("a.pivot") == F.col("b.pivot"))
             .where((F.col("a.comp") != F.col("b.comp")) & self.close("a", "b"))
         )
-        best = pairs.groupBy(F.col("a.set_id").alias("u")).agg(
-            F.min(F.struct(_distance("a", "b").alias("d"), F.col("b.set_id").alias("v"))).alias("x")
-        )
-        self.link(best.select("u", "x.v"))
+        # A set has no more pivots than prefix shingles.
+        pivots = F.array_sort(F.collect_set(F.struct(_distance("a", "b").alias("d"), F.col("b.set_id").alias("v"))))
+        best = pairs.groupBy(F.col("a.set_id").alias("u")).agg(F.slice(pivots, 1, BEST_PIVOTS).alias("x"))
+        self.link(best.select("u", F.inline("x")).select("u", "v"))
 
     def rest(self) -> None:
         """All pairs of sets in different components whose groups share a prefix shingle, or are one."""
@@ -282,8 +286,7 @@ def components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     # Rows that repeat the doc_id of another text are told apart by their shingles.
     shingles = materialize(_shingles_of(read, words))
     join = _Join(sets, index, shingles, num, den)
-    for seed in range(PIVOT_ROUNDS):
-        join.pivot_round(seed)
+    join.pivot_round()
     join.rest()
     known = join.labels.select(F.col("node").alias("set_id"), "component")
     labels = firsts.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
