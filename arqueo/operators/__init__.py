@@ -1 +1 @@
-"""See README.md."""
+"""Profiling, quality, grain, consolidation, the star schema, reconciliation."""

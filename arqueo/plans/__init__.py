@@ -1 +1 @@
-"""See README.md."""
+"""Marts and the registered queries."""

@@ -1 +1 @@
-"""See README.md."""
+"""Landing, files, catalog tables."""

@@ -1 +1 @@
-"""See README.md."""
+"""Incremental intake."""

@@ -21,17 +21,21 @@ def land_available(stream: DataFrame, target: str, checkpoint: str, prepare: Cal
     return query
 
 
-def windowed_totals(events: DataFrame, late: str = "1 hour", window: str = "1 day") -> DataFrame:
-    """Count and exact total by event type and window, for streams with a bounded delay."""
+def with_delay(events: DataFrame, late: str = "1 hour") -> DataFrame:
+    """Events by their time ``ts``, of which none is awaited longer than ``late``."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+
+
+def windowed_totals(events: DataFrame, window: str = "1 day") -> DataFrame:
+    """Count and exact total by event type and window, for events with a bounded delay."""
     amount = F.col("value").cast("decimal(24,2)")
     return (
-        events.withWatermark("ts", late)
-        .groupBy(F.window("ts", window).alias("w"), "event_type")
+        events.groupBy(F.window("ts", window).alias("w"), "event_type")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(amount).cast("decimal(38,2)").alias("total"))
         .select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
     )
 
 
-def unique_events(events: DataFrame, key: list[str], late: str = "1 hour") -> DataFrame:
+def unique_events(events: DataFrame, key: list[str]) -> DataFrame:
     """Without repeats that arrive within the delay; the state is bounded by it."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(key)
+    return events.dropDuplicatesWithinWatermark(key)
