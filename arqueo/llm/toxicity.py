@@ -28,14 +28,16 @@ from arqueo.llm.common import fold_of, map_texts, texts
 PRIMER = bytes([0, 1, 2, 3, 4, 5, 6, 7, 8, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24])
 OVERLAP = 8
 
-FEATURES = 7
+#: Bytes that a window gains, each of which is a threshold whose weight is learnt.
+GAINS = (1, 2, 3, 4)
+FEATURES = 8 + len(GAINS)
 
 
 @dataclass(frozen=True)
 class Params:
     """Bounds of what is learnt from: rows of each class, characters of each such text, segments."""
 
-    window: int = 96
+    window: int = 48
     segments: int = 160
     cover: int = 4
     rows_per_class: int = 400
@@ -125,24 +127,23 @@ def features(text: bytes, ordinary: bytes, toxic: bytes, window: int) -> list[fl
     """Of a whole text: how much its windows gain by the toxic dictionary."""
     plain, a, b = _compressor(b"").compress, _compressor(ordinary).compress, _compressor(toxic).compress
     text = b" ".join(text.lower().split())
-    most = total = against = hits = strong = n = 0
+    gains, against = [], 0
     for i in range(0, max(1, len(text)), window):
         part = PRIMER + b" " + text[max(0, i - OVERLAP) : i + window]
         with_toxic = len(b(part))
-        gain = len(plain(part)) - with_toxic
-        total += gain
-        most = max(most, gain)
+        gains.append(len(plain(part)) - with_toxic)
         against += len(a(part)) - with_toxic
-        hits += gain >= 2
-        strong += gain >= 4
-        n += 1
+    g, n = np.array(gains), len(gains)
+    hits = [int((g >= least).sum()) for least in GAINS]
     return [
-        most,
-        math.log1p(50 * max(0.0, total / n)),
+        float(g.max()),
+        math.log1p(50 * max(0.0, g.sum() / n)),
         against / n,
-        math.log1p(hits),
-        math.log1p(strong),
-        math.log1p(20 * hits / n),
+        *(math.log1p(k) for k in hits),
+        10 * hits[0] / n,
+        math.log1p(20 * hits[0] / n),
+        math.log1p(20 * hits[1] / n),
+        float(min(10, hits[2])),
         math.log1p(n),
     ]
 
