@@ -34,7 +34,8 @@ _USED = np.arange(4)[None, :] <= np.arange(4)[:, None]
 _CODES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :]) & 3
 
 BLOCK_IDS = 1 << 18
-CACHED_WORDS = 250_000
+#: Entries of the two stores of a worker's encoder; the older generation holds as many.
+CACHED_WORDS, CACHED_PIECES = 100_000, 50_000
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -70,17 +71,18 @@ def _byte_characters() -> dict[int, str]:
 
 
 class _Recent(dict):
-    """A dictionary that makes missing values and keeps about the last ``CACHED_WORDS`` used.
+    """A dictionary that makes missing values and keeps about the last ``room`` used.
 
     When it is full it becomes the old generation; what is asked for again comes back from there.
     """
 
-    def __init__(self, make: Callable[[bytes], bytes]):
+    def __init__(self, make: Callable[[bytes], bytes], room: int):
         super().__init__()
-        self._make, self._old = make, {}
+        self._make, self._room, self._old = make, room, {}
 
     def __missing__(self, key: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= self._room:
+            self._old = None
             self._old = dict(self)
             self.clear()
         value = self._old.get(key)
@@ -111,8 +113,8 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._shown = _byte_characters()
-        self._pieces = _Recent(self._encode_piece)
-        self._words = _Recent(self._encode_word)
+        self._pieces = _Recent(self._encode_piece, CACHED_PIECES)
+        self._words = _Recent(self._encode_word, CACHED_WORDS)
 
     def _encode_piece(self, piece: bytes) -> bytes:
         text = piece.decode() if piece.isascii() else "".join([self._shown[b] for b in piece])
