@@ -75,10 +75,11 @@ def text_counts(items: list[bytes]) -> dict[str, np.ndarray]:
     return out
 
 
-def with_counts(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` and the counts of their texts; columns with those names are replaced."""
-    own = [c for c in docs.columns if c not in COUNTS]
-    return _counted(docs.select(*own), own)
+def with_counts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (or all) of ``docs`` and the counts of their texts; columns with those
+    names are replaced."""
+    own = [c for c in (docs.columns if keep is None else keep) if c not in COUNTS]
+    return _counted(docs.select(*dict.fromkeys([*own, "text"])), own)
 
 
 def _counted(docs: DataFrame, own: list[str]) -> DataFrame:
@@ -176,8 +177,10 @@ def estimate(counts: dict[int, int], rules: tuple[Rule, ...], rounds: int = 200,
     return LabelModel({int(c): float(p) for c, p in zip(codes, good, strict=True)}, accuracy, float(prior))
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.5) -> DataFrame:
-    """All columns of ``docs``, the counts, base_failed, quality_probability and kept.
+def judge(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.5, keep: list[str] | None = None
+) -> DataFrame:
+    """The columns ``keep`` (or all) of ``docs``, the counts, base_failed, quality_probability and kept.
 
     base_failed: fewer than 10 words, or over 20 of 100 words in repeated windows; such documents
     are not kept. Others are kept with a posterior of at least ``least``. Null and empty texts
@@ -185,8 +188,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.5)
     taken once, and written to the shared folder, as two jobs read them.
     """
     extra = ("base_failed", "quality_probability", "kept", "vote_pattern")
-    own = [c for c in docs.columns if c not in (*COUNTS, *extra)]
-    counted = materialize(with_counts(docs.select(*own)).withColumn("vote_pattern", pattern(rules)))
+    own = [c for c in (docs.columns if keep is None else keep) if c not in (*COUNTS, *extra)]
+    counted = materialize(with_counts(docs, own).withColumn("vote_pattern", pattern(rules)))
     counts = {r["vote_pattern"]: r["count"] for r in counted.groupBy("vote_pattern").count().collect()}
     model = estimate(counts, rules)
     spark = docs.sparkSession

@@ -72,9 +72,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return quality_rules.judge(docs).select("doc_id", *counts, "base_failed", "kept", "quality_probability")
+    return quality_rules.judge(docs, keep=["doc_id"]).select("doc_id", *counts, "base_failed", "kept", "quality_probability")
 
 
 QUERIES = {
