@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
@@ -14,10 +15,12 @@ def write_shared(df: DataFrame) -> DataFrame:
     Only where the session names none, as in tests, a local temporary folder is used.
     """
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="arqueo-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="arqueo-")
