@@ -31,6 +31,8 @@ from arqueo.llm.hashing import doc_shingles, mix
 COUNT_BITS = 20
 _ROW = 1024
 BITMAP_WORDS = 8
+#: Size of the bit table of prefix shingles that several documents have.
+FILTER_BITS = 23
 #: How many of a set's pivots it is verified with.
 BEST_PIVOTS = 3
 
@@ -121,6 +123,35 @@ def _several(df: DataFrame, key: str, of: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(of).alias("lo"), F.max(of).alias("hi")).where("lo <> hi").select(key)
 
 
+def _places_of(tokens: DataFrame) -> np.ndarray:
+    """A bit table of fixed size in which each token's place is set; 2 ** (FILTER_BITS - 6) rows come
+    to the driver at most."""
+    place = F.col("token").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(token & 63 as int))")
+    words = tokens.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def _passing(entries: DataFrame, table) -> DataFrame:
+    """token, group_id, n of the prefix shingles whose place is set. The table has no false
+    negatives; it spares the exchange most shingles that no other document has."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lists = batch.column("prefix")
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+        place = values & ((1 << FILTER_BITS) - 1)
+        kept = np.flatnonzero((table.value[place >> 6] >> (place & 63)) & 1)
+        at = pa.array(owner[kept])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values[kept]), batch.column("group_id").take(at), batch.column("n").take(at)], ["token", "group_id", "n"]
+        )
+
+    return map_texts(entries.select("prefix", "group_id", "n"), "token bigint, group_id bigint, n bigint", run)
+
+
 def _shingles_of(docs: DataFrame, words: int) -> DataFrame:
     """set_id and its shingles, from docs with set_id and text; rows of another set are left out."""
 
@@ -274,10 +305,12 @@ def components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     entries = materialize(_entries(docs, words, num, den, counts))
     full = entries.where("n > 0")
     firsts = full.groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    placed = full.select(F.explode("prefix").alias("token"), "group_id", "n")
-    # Two groups at least; copies add nothing, and are summed before the exchange.
-    shared = _several(placed, "token", "group_id")
-    index = materialize(placed.join(shared, "token").distinct())
+    tokens = full.select(F.explode("prefix").alias("token"))
+    shared = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"))
+    placed = _passing(full, spark.sparkContext.broadcast(_places_of(shared))).join(shared, "token").distinct()
+    # Copies made some tokens shared; what counts is two groups at least.
+    placed = materialize(placed)
+    index = materialize(placed.join(_several(placed, "token", "group_id"), "token"))
     wanted = index.select("group_id").unionByName(_several(full, "group_id", "set_id")).distinct()
     sets = full.select("set_id", "group_id", "n", "bitmap").join(wanted, "group_id").dropDuplicates(["set_id"])
     sets, index = _close_sets(materialize(sets), index, num, den)
