@@ -28,7 +28,7 @@ from arqueo.llm.common import grouped, map_texts, materialize, materialize_at, r
 from arqueo.llm.components import connected_components
 from arqueo.llm.hashing import doc_shingles, mix
 
-COUNT_BITS = 20
+COUNT_BITS = 22
 _ROW = 1024
 BITMAP_WORDS = 8
 #: Size of the bit table of prefix shingles that several documents have.
@@ -53,7 +53,15 @@ def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.nd
                 found = [s for x, y in grouped(items[a:b]) for s in doc_shingles(items[a + x : a + y], words)]
                 at = (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
                 total += np.bincount(at, minlength=places).astype(np.uint32)
-        yield from rows_of(enumerate(total.reshape(-1, _ROW)))
+        # A byte for each place; what is beyond it follows in further rows.
+        left = total.reshape(-1, _ROW)
+        numbers = np.arange(len(left))
+        while len(left):
+            part = np.minimum(left, 255)
+            yield from rows_of(zip(numbers.tolist(), part.astype(np.uint8), strict=True))
+            left = left - part
+            more = left.any(1)
+            left, numbers = left[more], numbers[more]
 
     def rows_of(rows) -> Iterator[pa.RecordBatch]:
         kept = [(i, r.tobytes()) for i, r in rows if r.any()]
@@ -65,7 +73,7 @@ def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.nd
         for batch in batches:
             for i, r in zip(batch.column("row").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 own = total.setdefault(i, np.zeros(_ROW, np.uint32))
-                own += np.minimum(np.frombuffer(r, np.uint32), np.uint32(0xFFFFFFFF) - own)
+                own += np.minimum(np.frombuffer(r, np.uint8), np.uint32(0xFFFFFFFF) - own)
         yield from rows_of(total.items())
 
     schema = "row int, counts binary"
