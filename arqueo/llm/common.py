@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import pyarrow as pa
@@ -30,6 +31,22 @@ def _local_folder() -> str:
     return "file://" + tempfile.mkdtemp(prefix="arqueo-")
 
 
+#: Bytes of an Arrow batch between the JVM and Python in jobs that operators run themselves.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside use Arrow batches of about BATCH_BYTES, so that long texts need little memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back, which cuts its lineage.
 
@@ -44,7 +61,8 @@ def materialize_at(df: DataFrame, partition_by: str | None = None) -> tuple[Data
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    with small_batches(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arqueo.llm.common import grouped, map_texts, materialize, materialize_at, remove_dir, texts
+from arqueo.llm.common import grouped, map_texts, materialize, materialize_at, remove_dir, small_batches, texts
 from arqueo.llm.components import connected_components
 from arqueo.llm.hashing import doc_shingles, mix
 
@@ -79,7 +79,9 @@ def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.nd
     schema = "row int, counts binary"
     partial = docs.select("text").mapInArrow(count, schema)
     out = np.zeros((places // _ROW, _ROW), np.uint32)
-    for r in partial.repartition("row").mapInArrow(add, schema).collect():
+    with small_batches(docs.sparkSession):
+        rows = partial.repartition("row").mapInArrow(add, schema).collect()
+    for r in rows:
         out[r["row"]] = np.frombuffer(r["counts"], np.uint32)
     return out.reshape(-1)
 
