@@ -222,10 +222,11 @@ def _close_sets(sets: DataFrame, index: DataFrame, num: int, den: int) -> tuple[
     their own group, and the index of those. The join stops at a set's first such partner."""
     members = index.select("token", "group_id").join(sets, "group_id")
     twins = sets.join(_several(sets, "group_id", "set_id"), "group_id").withColumn("token", F.col("group_id"))
-    members = materialize(members.unionByName(twins.select(members.columns)))
+    members, path = materialize_at(members.unionByName(twins.select(members.columns)))
     other = (F.col("a.token") == F.col("b.token")) & (F.col("a.set_id") != F.col("b.set_id"))
     found = members.alias("a").join(members.alias("b"), other & _close("a", "b", num, den), "left_semi")
     kept = materialize(sets.join(found.select("set_id").distinct(), "set_id"))
+    remove_dir(sets.sparkSession, path)
     return kept, materialize(index.join(kept.select("group_id").distinct(), "group_id"))
 
 
@@ -338,11 +339,16 @@ def components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     shared = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"))
     placed = _passing(full, spark.sparkContext.broadcast(_places_of(shared))).join(shared, "token").distinct()
     # Copies made some tokens shared; what counts is two groups at least.
-    placed = materialize(placed)
-    index = materialize(placed.join(_several(placed, "token", "group_id"), "token"))
+    placed, placed_path = materialize_at(placed)
+    index, index_path = materialize_at(placed.join(_several(placed, "token", "group_id"), "token"))
+    remove_dir(spark, placed_path)
     wanted = index.select("group_id").unionByName(_several(full, "group_id", "set_id")).distinct()
     sets = full.select("set_id", "group_id", "n", "bitmap").join(wanted, "group_id").dropDuplicates(["set_id"])
-    sets, index = _close_sets(materialize(sets), index, num, den)
+    sets, sets_path = materialize_at(sets)
+    sets, index = _close_sets(sets, index, num, den)
+    # Both are written anew, smaller.
+    remove_dir(spark, index_path)
+    remove_dir(spark, sets_path)
     readers = sets.select("set_id").join(firsts, "set_id").where("first is not null")
     # Rows that repeat the doc_id of another text are told apart by their shingles.
     shingles = materialize(_shingles_of(_texts_of(docs, materialize(readers)), words))
