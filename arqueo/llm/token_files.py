@@ -35,7 +35,7 @@ _CODES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :]) & 3
 
 BLOCK_IDS = 1 << 18
 #: Entries of the two stores of a worker's encoder; the older generation holds as many.
-CACHED_WORDS, CACHED_PIECES = 100_000, 50_000
+CACHED_WORDS, CACHED_PIECES = 300_000, 150_000
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
