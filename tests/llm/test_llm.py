@@ -340,6 +340,25 @@ def test_main_text_and_repeated_runs(spark):
     assert page_text.main_text(table.limit(0)).count() == 0
 
 
+def test_runs_repeat_over_the_whole_host(spark):
+    rng = random.Random(5)
+    runs = [" ".join(f"r{k}x{i}" for i in range(rng.randint(8, 11))) for k in range(40)]
+    pages = []
+    for i in range(1400):
+        own = [f"p{i}w{j}" for j in range(rng.randint(0, 9))]
+        words = own + runs[i % 40].split() * (i < 80) + ["a", "b", "c"] * rng.randint(0, 3) + [f"q{i}"]
+        pages.append((i, f"https://Big.example/{i}", " ".join(words)))
+    pages += [(5000, "https://small.example/a", runs[0]), (5001, "", runs[1])]
+    table = spark.createDataFrame([(i, u, f"<p>{t}</p>") for i, u, t in pages], "page_id bigint, url string, html string")
+    covered = page_text.repeated_tokens([t.split() for i, _, t in pages if i < 5000])
+    got = {r.page_id: r for r in page_text.main_text(table).collect()}
+    assert len(got) == len(pages)
+    for (i, _, text), cover in zip(pages, covered, strict=False):
+        assert got[i].text == " ".join(w for w, c in zip(text.split(), cover, strict=True) if not c)
+        assert got[i].n_repeated == cover.sum()
+    assert got[5000].text == runs[0] and got[5001].text == runs[1]
+
+
 def test_repeated_tokens_brute():
     rng = random.Random(11)
     for _ in range(40):
