@@ -359,6 +359,17 @@ def test_runs_repeat_over_the_whole_host(spark):
     assert got[5000].text == runs[0] and got[5001].text == runs[1]
 
 
+def test_repeated_open_pages(spark):
+    text = [" ".join(f"{c}{i}" for i in range(20)) for c in "abcde"]
+    rows = [(1, "https://h.example/1", text[0])] * 30 + [(None, "https://h.example/n", text[1])] * 2 + [(None, None, text[2])] * 2
+    rows += [(2, "https://h.example/2", f"{text[3]} old"), (2, "https://h.example/2", f"{text[3]} new")]
+    rows += [(i, f"https://h.example/{i}", f"{text[4]} v{i}") for i in (3, 3, 4)] + [(None, None, f"{text[4]} {x}") for x in "uvv"]
+    table = spark.createDataFrame([(i, u, f"<p>{t}</p>") for i, u, t in rows], "page_id bigint, url string, html string")
+    want = [(i, u, t.removeprefix(f"{text[4]} ") if text[4] in t else t, 20 * (text[4] in t)) for i, u, t in rows]
+    got = [(r.page_id, r.url, r.text, r.n_repeated) for r in page_text.main_text(table.repartition(4)).collect()]
+    assert collections.Counter(got) == collections.Counter(want)
+
+
 def test_repeated_tokens_brute():
     rng = random.Random(11)
     for _ in range(40):
