@@ -327,6 +327,22 @@ def test_page_blocks():
     assert page_text.blocks("a < b &lt; c <3 &am") == [(1, "a < b < c <3 &am")]
 
 
+def test_blocks_of_wrapped_and_unclosed_pages():
+    body = "<nav>menu</nav><article><p>one</p><div class='comments'><article>two</article></div></article><p>end</p>"
+    for wrapper in ("div class='page with-sidebar'", "div id=has-footer", "form", "div class='main sidebar'", "div role=search"):
+        kinds = {t: k for k, t in page_text.blocks(f"<body><{wrapper}>{body}</body>")}
+        assert kinds["one"] == page_text.KEPT and kinds["menu"] == kinds["two"] == page_text.DROP, wrapper
+    assert page_text.blocks("<div class='no-ads has-footer'>one</div>") == [(1, "one")]
+    for wrapper in ("div class=site-footer", "div class='x widget-area'", "div id=comments", "div class='nav-links'", "div hidden", "aside"):
+        assert page_text.blocks(f"<{wrapper}>one</div>") == [(2, "one")], wrapper
+    teaser = "<div class=sidebar><article>teaser</article></div>"
+    assert page_text.blocks(f"{teaser}<main>one</main>") == [(2, "teaser"), (0, "one")]
+    assert page_text.blocks(f"<div hidden>{teaser}</div><p>one</p>") == [(2, "teaser"), (1, "one")]
+    head = "<html><head><meta charset=x><title>t &lt;body></title><style>p {}</style>"
+    for between in ("", "</head>", "<body>", "</head><body class=ad>"):
+        assert page_text.blocks(f"{head}{between}<article>one</article>") == [(0, "one")]
+
+
 def test_main_text_and_repeated_runs(spark):
     shared = " ".join(f"s{i}" for i in range(12))
     pages = [(i, f"https://h.example/{i}", f"<div><p>{shared}</p><p>v{i} own text of page {i} is long enough</p></div>") for i in range(6)]
