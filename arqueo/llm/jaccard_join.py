@@ -91,8 +91,8 @@ def prefix_size(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den) + 1
 
 
-def _entries(docs: DataFrame, words: int, num: int, den: int, counts) -> DataFrame:
-    """doc_id, n, set_id, group_id, prefix and bitmap of each document."""
+def _entries(docs: DataFrame, words: int, num: int, den: int, counts, extra: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n, set_id, group_id, prefix and bitmap of each document, and its ``extra`` bigint columns."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         table = counts.value
@@ -115,10 +115,11 @@ def _entries(docs: DataFrame, words: int, num: int, den: int, counts) -> DataFra
                 bitmaps.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
         longs = pa.list_(pa.int64())
         columns = [pa.array(n, pa.int64()), pa.array(sets, pa.int64()), pa.array(groups, pa.int64()), pa.array(prefixes, longs), pa.array(bitmaps, longs)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "set_id", "group_id", "prefix", "bitmap"])
+        columns += [batch.column(c) for c in extra]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "set_id", "group_id", "prefix", "bitmap", *extra])
 
     schema = "doc_id bigint, n bigint, set_id bigint, group_id bigint, prefix array<bigint>, bitmap array<bigint>"
-    return map_texts(docs.select("doc_id", "text"), schema, run)
+    return map_texts(docs.select("doc_id", "text", *extra), schema + "".join(f", {c} bigint" for c in extra), run)
 
 
 def _digest(values: np.ndarray, seed: int) -> int:
@@ -330,9 +331,19 @@ def components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     is linked with no other; rows with one doc_id are documents of their own. Other columns are
     ignored.
     """
+    entries, labels = _labelled(docs, words, num, den)
+    least = labels.groupBy("component").agg(F.min("first").alias("component_id"))
+    by_set = labels.join(least, "component").select("set_id", "component_id")
+    return entries.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(by_set, "set_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def _labelled(docs: DataFrame, words: int, num: int, den: int, extra: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The entries, and of each set: set_id, first (its least doc_id) and component (a set_id)."""
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(shingle_counts(docs, words))
-    entries = materialize(_entries(docs, words, num, den, counts))
+    entries = materialize(_entries(docs, words, num, den, counts, extra))
     full = entries.where("n > 0")
     firsts = full.groupBy("set_id").agg(F.min("doc_id").alias("first"))
     tokens = full.select(F.explode("prefix").alias("token"))
@@ -356,16 +367,24 @@ def components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     join.pivot_round()
     join.rest()
     known = join.labels.select(F.col("node").alias("set_id"), "component")
-    labels = firsts.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    least = labels.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_set = labels.join(least, "component").select("set_id", "component_id")
-    return entries.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(by_set, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    return entries, firsts.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The rows of ``docs`` that are the least doc_id of their component, once each; rows without id stay."""
-    first = components(docs, words, num, den).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id").select(docs.columns).dropDuplicates(["doc_id"])
+    """The row of ``docs`` with the least doc_id of each component; rows without id stay.
+
+    Rows with one doc_id and different texts are documents of their own. Ties go to the least set_id
+    and then the least digest of the row, so only linked and equal rows are removed, always the same.
+    """
+    digest = "arqueo_digest"
+    # Nulls leave a hash as it is, so where they stand counts too.
+    marked = docs.withColumn(digest, F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)))
+    entries, labels = _labelled(marked, words, num, den, (digest,))
+    least = labels.where("first is not null").groupBy("component").agg(F.min(F.struct("first", "set_id")).alias("x"))
+    least = least.select(F.col("x.first").alias("doc_id"), F.col("x.set_id").alias("set_id"))
+    rows = entries.select("doc_id", "set_id", digest)
+    linked = rows.join(least, ["doc_id", "set_id"]).groupBy("doc_id", "set_id").agg(F.min(digest).alias(digest))
+    alone = rows.where("set_id is null and doc_id is not null").select("doc_id", digest).distinct()
+    wanted = linked.select("doc_id", digest).unionByName(alone)
+    kept = marked.join(wanted, ["doc_id", digest]).dropDuplicates(["doc_id", digest]).select(docs.columns)
     return kept.unionByName(docs.where("doc_id is null"))

@@ -146,6 +146,15 @@ def test_one_of_each(spark):
     assert jaccard_join.components(frame(spark, [])).count() == 0
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    text = [" ".join(f"{c}{i}" for i in range(20)) for c in "abcd"]
+    keep = [(5, text[0]), (1, f"{text[1]} near"), (7, text[2]), (7, text[3]), (8, None), (8, " ")]
+    rows = [*keep, (5, text[1]), (5, text[0]), (7, f"{text[3]} "), (9, text[3]), (8, None)]
+    for n in (1, 3):
+        kept = collections.Counter((r.doc_id, (r.text or "").strip(), r.text is None) for r in jaccard_join.one_of_each(frame(spark, rows).repartition(n)).collect())
+        assert kept == collections.Counter((i, (t or "").strip(), t is None) for i, t in keep)
+
+
 def test_connected_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 160)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(30)] + [(7, 7)]
