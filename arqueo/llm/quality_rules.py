@@ -1,8 +1,8 @@
 """Quality rules as weak supervision: rules vote or abstain, their accuracies are estimated.
 
 Each rule reads counts of the whole text and votes good, bad or abstains. Expectation-maximisation
-over the counts of all vote patterns in the corpus estimates how often each rule votes how for
-good and for bad documents, without labels. A document is kept by its posterior probability of
+over the counts of all vote patterns in the corpus estimates how often each rule's votes are bad
+for good and for bad documents, without labels. A document is kept by its posterior probability of
 being good, not by passing every rule.
 """
 
@@ -108,8 +108,10 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols", "n_symbols > 0.1 * n_words", "n_symbols < 0.02 * n_words"),
-    Rule("symbol_share", "n_symbols > 0.06 * word_chars", "n_symbols <= 0.01 * word_chars"),
+    Rule(
+        "symbols", "n_symbols > 0.1 * n_words or n_symbols > 0.06 * word_chars",
+        "n_symbols < 0.02 * n_words and n_symbols <= 0.01 * word_chars",
+    ),
     Rule("letters", "n_letters < 0.75 * word_chars", "n_letters > 0.88 * word_chars"),
     Rule("repeated_windows", "n_repeat_words > 0.2 * n_words", "n_repeat_words <= 0.05 * n_words"),
     Rule("repeated_lines", "n_dup_lines >= 3 and n_dup_lines > 0.3 * n_lines", "n_dup_lines = 0 and n_lines >= 5"),
@@ -143,38 +145,49 @@ class LabelModel:
     prior: float
 
 
-def estimate(counts: dict[int, int], rules: tuple[Rule, ...], rounds: int = 200, start: float = 0.9) -> LabelModel:
+#: What the priors expect: the share of good documents, and of bad votes among a rule's votes on good and
+#: on bad documents.
+EXPECTED_GOOD, BAD_VOTES_ON_GOOD, BAD_VOTES_ON_BAD = 0.9, 0.02, 0.5
+
+
+def estimate(counts: dict[int, int], rules: tuple[Rule, ...], rounds: int = 500, weight: float = 0.01) -> LabelModel:
     """Expectation-maximisation over vote-pattern counts.
 
-    ``counts`` has at most 3 ** len(rules) entries whatever the corpus's size. The start takes a
-    pattern with a bad vote for likely bad. Ties need no rule: a pattern has one posterior.
+    An abstention says nothing; a bad vote is at least as likely for bad documents as for good
+    ones, whatever the rule. So a pattern without bad votes is never below the share of good
+    documents. The priors weigh as much as ``weight`` of the corpus, so that a class which the
+    corpus lacks keeps the expected rates and stays empty, at every size alike. ``counts`` has at
+    most 3 ** len(rules) entries. Ties need no rule: a pattern has one posterior.
     """
     codes = np.array(sorted(counts), np.int64)
     if not len(codes):
         return LabelModel({}, {}, 0.5)
     n = np.array([counts[int(c)] for c in codes], float)
     votes = np.stack([(codes // 3**i) % 3 for i in range(len(rules))], 1)
-    good = np.where((votes == 0).any(1), 1 - start, start)
-    one_hot = np.stack([votes == v for v in range(3)], 2).astype(float)
+    bad, voted = (votes == 0).astype(float), (votes != 1).astype(float)
+    pseudo = weight * n.sum()
+
+    def rates(share: np.ndarray, expected: float) -> np.ndarray:
+        return ((n * share) @ bad + pseudo * expected) / ((n * share) @ voted + pseudo)
+
+    good = np.where(bad.any(1), 1 - EXPECTED_GOOD, EXPECTED_GOOD)
     for _ in range(rounds):
-        prior = (n @ good + 1) / (n.sum() + 2)
-        chance = []
-        for weight in (1 - good, good):
-            table = np.einsum("p,pij->ij", n * weight, one_hot) + 0.5
-            chance.append(table / table.sum(1, keepdims=True))
-        logs = [np.einsum("pij,ij->p", one_hot, np.log(t)) for t in chance]
-        margin = np.log(prior) - np.log(1 - prior) + logs[1] - logs[0]
+        prior = (n @ good + pseudo * EXPECTED_GOOD) / (n.sum() + pseudo)
+        on_good = rates(good, BAD_VOTES_ON_GOOD)
+        on_bad = np.maximum(rates(1 - good, BAD_VOTES_ON_BAD), on_good)
+        margin = np.log(prior / (1 - prior)) + bad @ np.log(on_good / on_bad)
+        margin += (voted - bad) @ np.log((1 - on_good) / (1 - on_bad))
         new = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
         done = np.abs(new - good).max() < 1e-9
         good = new
         if done:
             break
-    accuracy = {}
-    for i, rule in enumerate(rules):
-        right = prior * chance[1][i, 2] + (1 - prior) * chance[0][i, 0]
-        wrong = prior * chance[1][i, 0] + (1 - prior) * chance[0][i, 2]
-        accuracy[rule.name] = float(right / (right + wrong))
-    return LabelModel({int(c): float(p) for c, p in zip(codes, good, strict=True)}, accuracy, float(prior))
+    accuracy = prior * (1 - on_good) + (1 - prior) * on_bad
+    return LabelModel(
+        {int(c): float(p) for c, p in zip(codes, good, strict=True)},
+        {rule.name: float(a) for rule, a in zip(rules, accuracy, strict=True)},
+        float(prior),
+    )
 
 
 def judge(
@@ -184,13 +197,18 @@ def judge(
 
     base_failed: fewer than 10 words, or over 20 of 100 words in repeated windows; such documents
     are not kept. Others are kept with a posterior of at least ``least``. Null and empty texts
-    have no words, so they fail. Columns of ``docs`` with these names are replaced. The counts are
-    taken once, and written to the shared folder, as two jobs read them.
+    have no words, so they fail. Columns of ``docs`` with these names are replaced. Two jobs need
+    the counts: they are written to the shared folder if the texts are not kept, else taken
+    twice, as writing all texts once more costs more than counting.
     """
     extra = ("base_failed", "quality_probability", "kept", "vote_pattern")
     own = [c for c in (docs.columns if keep is None else keep) if c not in (*COUNTS, *extra)]
-    counted = materialize(with_counts(docs, own).withColumn("vote_pattern", pattern(rules)))
-    counts = {r["vote_pattern"]: r["count"] for r in counted.groupBy("vote_pattern").count().collect()}
+    counted = with_counts(docs, own).withColumn("vote_pattern", pattern(rules))
+    if "text" in own:
+        patterns = with_counts(docs, []).select(pattern(rules).alias("vote_pattern"))
+    else:
+        patterns = counted = materialize(counted)
+    counts = {r["vote_pattern"]: r["count"] for r in patterns.groupBy("vote_pattern").count().collect()}
     model = estimate(counts, rules)
     spark = docs.sparkSession
     # At most 3 ** len(rules) rows.

@@ -250,6 +250,40 @@ def test_label_model_finds_bad_patterns():
     assert quality_rules.estimate({}, rules).posterior == {}
 
 
+def test_label_model_keeps_what_no_rule_objects_to():
+    """In a corpus of good documents nearly all stay, whatever its rules abstain from."""
+    rng = np.random.default_rng(3)
+    rules = quality_rules.RULES
+    counts = collections.Counter()
+    for _ in range(20000):
+        long = rng.random() < 0.6
+        votes = [(0 if rng.random() < 0.01 else 2) if long or i % 3 else 1 for i, _ in enumerate(rules)]
+        counts[sum(v * 3**i for i, v in enumerate(votes))] += 1
+    for size in (1, 1000):
+        model = quality_rules.estimate({c: size * n for c, n in counts.items()}, rules)
+        kept = sum(n for c, n in counts.items() if model.posterior[c] >= 0.5)
+        assert kept >= 0.97 * 20000
+        for c, p in model.posterior.items():
+            if all(c // 3**i % 3 for i in range(len(rules))):
+                assert p >= model.prior - 1e-9 and p >= 0.5
+    assert quality_rules.estimate({sum(3**i for i in range(9)): 5}, rules).posterior.popitem()[1] >= 0.5
+
+
+@pytest.mark.parametrize("predicted", [False, True])
+def test_rules_against_labels(spark, predicted):
+    """On given documents, and on those that the classifier leaves, labelled good ones stay."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    if predicted:
+        docs = quality_classifier.score(docs, quality_classifier.fit(docs, labels)).where("predicted = 1").select(docs.columns)
+    rows = quality_rules.judge(docs).join(labels, "doc_id").where("quality is not null").select("quality", "kept", "base_failed").collect()
+    fine = [r.kept for r in rows if r.quality == 1 and not r.base_failed]
+    assert sum(fine) >= 0.98 * len(fine)
+    if not predicted:
+        junk = [r.kept for r in rows if r.quality == 0]
+        assert sum(junk) <= 0.05 * len(junk)
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = random.Random(10)
