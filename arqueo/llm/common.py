@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,9 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the shared folder that the session names in spark.checkpoint.dir.
 
-    Only where the session names none (tests, local runs) a local temporary folder is used.
+    Only where the session names none and runs on one machine (tests, local runs) a local temporary
+    folder is used; on a cluster each executor would write to a disk of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/arqueo-{uuid.uuid4().hex}"
 
 
@@ -31,41 +36,62 @@ def _local_folder() -> str:
     return "file://" + tempfile.mkdtemp(prefix="arqueo-")
 
 
-#: Bytes of an Arrow batch between the JVM and Python in jobs that operators run themselves.
-BATCH_BYTES = 4 << 20
+#: Settings of the jobs that operators run themselves: small Arrow batches between the JVM and Python, so
+#: that long texts need little memory; a job's shuffle files are deleted when it ends.
+JOB_SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs started inside use Arrow batches of about BATCH_BYTES, so that long texts need little memory."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(BATCH_BYTES))
+def job_settings(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside run with JOB_SETTINGS."""
+    before = {key: spark.conf.get(key) for key in JOB_SETTINGS}
+    for key, value in JOB_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
-def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back, which cuts its lineage.
 
     Unlike a local checkpoint the copy outlives the executors that wrote it.
     """
-    return materialize_at(df, partition_by)[0]
+    return materialize_at(df)[0]
 
 
-def materialize_at(df: DataFrame, partition_by: str | None = None) -> tuple[DataFrame, str]:
+def materialize_at(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = shared_dir(spark)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    with small_batches(spark):
-        writer.parquet(path)
+    with job_settings(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+class Tables:
+    """Tables that an operator writes for its later jobs, deleted after their last reader."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, {}
+
+    def write(self, df: DataFrame) -> DataFrame:
+        table, path = materialize_at(df)
+        self._paths[id(table)] = table, path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            remove_dir(self._spark, self._paths.pop(id(table))[1])
+
+    def drop_all(self) -> None:
+        self.drop(*(table for table, _ in self._paths.values()))
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder written by :func:`materialize_at` through Spark's own file system layer."""
     jvm = spark.sparkContext._jvm
@@ -102,6 +128,35 @@ def map_texts(
     return df.mapInArrow(run, schema)
 
 
-def fold_of(doc_id) -> F.Column:
+def fold_of(doc_id: Column) -> Column:
     """crc32 of the decimal id, modulo 3; fold 1 is held out from learning."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3
+
+
+#: Size of a bit table of keys.
+FILTER_BITS = 23
+
+
+def bit_words(keys: DataFrame, key: Column) -> DataFrame:
+    """word, bits: a bit table of fixed size in which the place of each key (bigint) is set. It has at
+    most 2 ** (FILTER_BITS - 6) rows, however many keys there are."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), key.bitwiseAND(F.lit(63)).cast("int"))
+    return keys.groupBy(_word(key)).agg(F.bit_or(bit).alias("bits"))
+
+
+def _word(key: Column) -> Column:
+    return F.shiftright(key.bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6).cast("int").alias("word")
+
+
+def parted(rows: DataFrame, key: str, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be in the bit table ``words``, and those whose key is not.
+
+    The table (fixed size) is broadcast. It has no false negatives, so only rows of the first kind
+    need to be exchanged for a join with the keys. Key: a hash that is not null.
+    """
+    names = rows.columns
+    word, bits = "arqueo_word", "arqueo_bits"
+    table = F.broadcast(words.select(F.col("word").alias(word), F.col("bits").alias(bits)))
+    seen = rows.join(table, _word(F.col(key)) == F.col(word), "left")
+    bit = F.coalesce(F.call_function("getbit", F.col(bits), F.col(key).bitwiseAND(F.lit(63)).cast("int")), F.lit(0))
+    return seen.where(bit == 1).select(*names), seen.where(bit == 0).select(*names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from arqueo.llm.common import materialize_at, remove_dir
+from arqueo.llm.common import Tables
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,30 +23,30 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, tables: Tables | None = None) -> DataFrame:
     """node, component (the least node reachable) of every node with an edge to another.
 
     ``edges`` has u and v (bigint) in either order; loops and nulls are ignored, repeated edges
     count once. The number of rounds grows with the logarithm of the longest path. Each round is
-    written to the shared folder, so lost executors cost one round at most.
+    written to the shared folder, so lost executors cost one round at most; the last one is the
+    result, and is among ``tables`` if these are given.
     """
-    spark = edges.sparkSession
-    now, path, mark = _written(_small_star(edges.where("u <> v")).distinct())
+    tables = tables or Tables(edges.sparkSession)
+    now, mark = _written(tables, _small_star(edges.where("u <> v")).distinct())
     seen = None
     while mark["n"] and mark != seen:
         seen = mark
         # Each star reads its edges several times, so that they are written between.
-        large, large_path, _ = _written(_large_star(now).distinct())
-        small, small_path, mark = _written(_small_star(large).distinct())
-        remove_dir(spark, path)
-        remove_dir(spark, large_path)
-        now, path = small, small_path
+        large, _ = _written(tables, _large_star(now).distinct())
+        small, mark = _written(tables, _small_star(large).distinct())
+        tables.drop(now, large)
+        now = small
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _written(edges: DataFrame) -> tuple[DataFrame, str, dict]:
-    """The edges, written; where; and their number and digest, taken on the way."""
+def _written(tables: Tables, edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges, written, with their number and digest, taken on the way."""
     seen = Observation()
     digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    table, path = materialize_at(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")))
-    return table, path, seen.get
+    table = tables.write(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")))
+    return table, seen.get

@@ -10,8 +10,8 @@ prefix shingle are compared with one pivot, and every set is verified with the b
 only; what is then left is every pair of groups that share a prefix shingle and lie in different
 components.
 Pairs of groups are filtered by size and, expanded to sets, by a parity bitmap, whose distance
-never exceeds the sets' true difference; then shingle sets are intersected. No link can be lost:
-the last step looks at all pairs that are not yet connected.
+never exceeds the sets' true difference; then pairs meet by pivot, where their shingle sets are
+intersected. No link can be lost: the last step looks at all pairs that are not yet connected.
 """
 
 from __future__ import annotations
@@ -21,18 +21,19 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arqueo.llm.common import grouped, map_texts, materialize, materialize_at, remove_dir, small_batches, texts
+from arqueo.llm.common import FILTER_BITS, Tables, bit_words, grouped, job_settings, map_texts, materialize, parted, texts
 from arqueo.llm.components import connected_components
 from arqueo.llm.hashing import doc_shingles, mix
 
 COUNT_BITS = 22
 _ROW = 1024
 BITMAP_WORDS = 8
-#: Size of the bit table of prefix shingles that several documents have.
-FILTER_BITS = 23
+#: About how many pairs of one pivot a task verifies.
+PART_PAIRS = 1024
 #: How many of a set's pivots it is verified with.
 BEST_PIVOTS = 3
 
@@ -79,7 +80,7 @@ def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.nd
     schema = "row int, counts binary"
     partial = docs.select("text").mapInArrow(count, schema)
     out = np.zeros((places // _ROW, _ROW), np.uint32)
-    with small_batches(docs.sparkSession):
+    with job_settings(docs.sparkSession):
         rows = partial.repartition("row").mapInArrow(add, schema).collect()
     for r in rows:
         out[r["row"]] = np.frombuffer(r["counts"], np.uint32)
@@ -134,36 +135,14 @@ def _several(df: DataFrame, key: str, of: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(of).alias("lo"), F.max(of).alias("hi")).where("lo <> hi").select(key)
 
 
-def _bit_words(values: DataFrame, key: Column) -> DataFrame:
-    """word, bits: a bit table of fixed size in which the place of each key is set. It has at most
-    2 ** (FILTER_BITS - 6) rows, however many keys there are."""
-    place = key.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), key.bitwiseAND(F.lit(63)).cast("int"))
-    return values.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
-
-
 def _places_of(tokens: DataFrame) -> np.ndarray:
     """The bit table of tokens as an array."""
-    words = _bit_words(tokens, F.col("token")).toArrow()
+    words = bit_words(tokens, F.col("token")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out
 
 
-def _texts_of(docs: DataFrame, readers: DataFrame) -> DataFrame:
-    """set_id and text of the documents that readers (set_id, first) name.
-
-    The bit table of their ids, broadcast (fixed size), keeps most other texts out of the exchange;
-    it has no false negatives, and the join after it is exact.
-    """
-    place = F.xxhash64("doc_id")
-    words = _bit_words(readers.select(F.col("first").alias("doc_id")), place)
-    word = F.shiftright(place.bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6).cast("int")
-    bit = F.call_function("getbit", F.col("bits"), place.bitwiseAND(F.lit(63)).cast("int"))
-    likely = docs.select("doc_id", "text").join(F.broadcast(words), word == F.col("word")).where(bit == 1)
-    return likely.join(readers, F.col("doc_id") == F.col("first")).select("set_id", "text")
-
-
 def _passing(entries: DataFrame, table) -> DataFrame:
     """token, group_id, n of the prefix shingles whose place is set. The table has no false
     negatives; it spares the exchange most shingles that no other document has."""
@@ -182,19 +161,59 @@ def _passing(entries: DataFrame, table) -> DataFrame:
     return map_texts(entries.select("prefix", "group_id", "n"), "token bigint, group_id bigint, n bigint", run)
 
 
-def _shingles_of(docs: DataFrame, words: int) -> DataFrame:
-    """set_id and its shingles, from docs with set_id and text; rows of another set are left out."""
+def _asked(pairs: DataFrame, readers: DataFrame) -> DataFrame:
+    """first, set_id, v, part, other: whose text each pivot v of ``pairs`` (u, v) needs, its own first.
+
+    A pivot's pairs are dealt over parts of about PART_PAIRS, each of which gets the pivot's text, so
+    that no task has all pairs of a hot pivot. readers: set_id, first (a doc_id of the set).
+    """
+    parts = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / PART_PAIRS).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")
+    members = pairs.join(parts, "v").select(F.col("u").alias("set_id"), "v", part.alias("part"), F.lit(1).alias("other"))
+    pivots = parts.select(
+        F.col("v").alias("set_id"), "v", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("other")
+    )
+    return members.unionByName(pivots).join(readers, "set_id")
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        items = texts(batch.column("text"))
-        ids = batch.column("set_id").to_pylist()
-        for a, b in grouped(items):
-            got = doc_shingles(items[a:b], words)
-            own = [(i, s.view(np.int64)) for i, s in zip(ids[a:b], got, strict=True) if len(s) and _digest(s, 1) == i]
-            columns = [pa.array([i for i, _ in own], pa.int64()), pa.array([s for _, s in own], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["set_id", "shingles"])
 
-    return map_texts(docs, "set_id bigint, shingles array<bigint>", run)
+def _linked(docs: DataFrame, asked: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """u, v of the asked pairs whose shingle sets reach the threshold.
+
+    Each pair's text goes to its pivot's part, compressed, as texts are smaller than shingles; one
+    exchange serves all pairs. Rows that repeat the doc_id of another text are told apart by their
+    shingles.
+    """
+    key = F.xxhash64("doc_id")
+    hashed = docs.select("doc_id", "text", key.alias("arqueo_key"))
+    likely, _ = parted(hashed, "arqueo_key", bit_words(asked.select(F.col("first").alias("doc_id")), key))
+    found = likely.join(asked, F.col("doc_id") == F.col("first")).select("set_id", "v", "part", "other", "text")
+
+    def packed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        pack = zs.ZstdCompressor(3).compress
+        bodies = [pack(t) for t in texts(batch.column("text"))]
+        names = ["set_id", "v", "part", "other"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(bodies, pa.binary())], [*names, "body"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zs.ZstdDecompressor().decompress
+        pivot, own = None, None
+        for batch in batches:
+            kept = []
+            for u, v, other, body in zip(*(batch.column(c).to_pylist() for c in ("set_id", "v", "other", "body")), strict=True):
+                s = doc_shingles([unpack(body)], words)[0]
+                if _digest(s, 1) != u:
+                    continue
+                if not other:
+                    pivot, own = v, s
+                elif pivot == v:
+                    shared = len(np.intersect1d(own, s, assume_unique=True))
+                    if shared * (num + den) >= (len(own) + len(s)) * num:
+                        kept.append((u, v))
+            columns = [pa.array([x[i] for x in kept], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["u", "v"])
+
+    sent = map_texts(found, "set_id bigint, v bigint, part int, other int, body binary", packed)
+    return sent.repartition("v", "part").sortWithinPartitions("v", "part", "other").mapInArrow(compare, "u bigint, v bigint")
 
 
 def _distance(a: str, b: str) -> Column:
@@ -218,25 +237,28 @@ def _close(a: str, b: str, num: int, den: int) -> Column:
     return _near(a, b, num, den) & (_distance(a, b) <= total - 2 * overlap)
 
 
-def _close_sets(sets: DataFrame, index: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def _close_sets(tables: Tables, sets: DataFrame, index: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """The sets that size and bitmap allow to link with some other of a shared prefix shingle or of
     their own group, and the index of those. The join stops at a set's first such partner."""
     members = index.select("token", "group_id").join(sets, "group_id")
     twins = sets.join(_several(sets, "group_id", "set_id"), "group_id").withColumn("token", F.col("group_id"))
-    members, path = materialize_at(members.unionByName(twins.select(members.columns)))
+    members = tables.write(members.unionByName(twins.select(members.columns)))
     other = (F.col("a.token") == F.col("b.token")) & (F.col("a.set_id") != F.col("b.set_id"))
     found = members.alias("a").join(members.alias("b"), other & _close("a", "b", num, den), "left_semi")
-    kept = materialize(sets.join(found.select("set_id").distinct(), "set_id"))
-    remove_dir(sets.sparkSession, path)
-    return kept, materialize(index.join(kept.select("group_id").distinct(), "group_id"))
+    kept = tables.write(sets.join(found.select("set_id").distinct(), "set_id"))
+    tables.drop(members)
+    return kept, tables.write(index.join(kept.select("group_id").distinct(), "group_id"))
 
 
 class _Join:
     """The tables of one run: sets, groups by prefix shingle, and the components so far."""
 
-    def __init__(self, sets: DataFrame, index: DataFrame, shingles: DataFrame, num: int, den: int):
-        self.sets, self.index, self.shingles, self.num, self.den = sets, index, shingles, num, den
-        self.labels, self._path = None, None
+    def __init__(
+        self, tables: Tables, docs: DataFrame, readers: DataFrame, sets: DataFrame, index: DataFrame, words: int, num: int, den: int
+    ):
+        self.tables, self.docs, self.readers, self.sets, self.index = tables, docs, readers, sets, index
+        self.words, self.num, self.den = words, num, den
+        self.labels = None
 
     def labelled(self) -> DataFrame:
         """set_id, group_id, n, bitmap, comp."""
@@ -253,25 +275,18 @@ class _Join:
     def close(self, a: str, b: str) -> Column:
         return _close(a, b, self.num, self.den)
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """u, v of the pairs whose shingle sets reach the threshold."""
-        one = self.shingles.select(F.col("set_id").alias("u"), F.col("shingles").alias("us"))
-        two = self.shingles.select(F.col("set_id").alias("v"), F.col("shingles").alias("vs"))
-        shared = F.size(F.array_intersect("us", "vs"))
-        total = F.size("us") + F.size("vs")
-        return pairs.join(one, "u").join(two, "v").where(shared * (self.num + self.den) >= total * self.num).select("u", "v")
-
     def link(self, pairs: DataFrame) -> None:
-        """Verify pairs and merge the components that they connect."""
-        edges = self.verified(pairs)
-        if self.labels is not None:
-            edges = edges.unionByName(self.labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        verified, edges_path = materialize_at(edges)
-        labels, path = materialize_at(connected_components(verified))
-        remove_dir(labels.sparkSession, edges_path)
-        if self._path:
-            remove_dir(labels.sparkSession, self._path)
-        self.labels, self._path = labels, path
+        """Verify pairs (u, v) and merge the components that they connect."""
+        pairs = self.tables.write(pairs)
+        asked = self.tables.write(_asked(pairs, self.readers))
+        edges, before = _linked(self.docs, asked, self.words, self.num, self.den), self.labels
+        if before is not None:
+            edges = edges.unionByName(before.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        edges = self.tables.write(edges)
+        rounds = Tables(edges.sparkSession)
+        self.labels = self.tables.write(connected_components(edges, rounds))
+        rounds.drop_all()
+        self.tables.drop(pairs, asked, edges, *([before] if before is not None else []))
 
     def pivot_round(self) -> None:
         """Compare the groups of each prefix shingle with a pivot group; verify each set's best pairs."""
@@ -310,7 +325,7 @@ class _Join:
         own = sets.join(within.select("group_id"), "group_id").select(
             F.col("group_id").alias("token"), "group_id", "n", "set_id", "bitmap", "comp"
         )
-        members = materialize(members.select(own.columns).unionByName(own))
+        members = self.tables.write(members.select(own.columns).unionByName(own))
         pairs = members.alias("a").join(
             members.alias("b"),
             (F.col("a.token") == F.col("b.token"))
@@ -318,7 +333,15 @@ class _Join:
             & (F.col("a.comp") != F.col("b.comp"))
             & self.close("a", "b"),
         )
-        self.link(pairs.select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v")).distinct())
+        found = self.tables.write(pairs.select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v")).distinct())
+        self.tables.drop(members)
+        # The set with more pairs is the pivot, so that fewer texts are sent.
+        ends = found.select(F.explode(F.array("u", "v")).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("k"))
+        both = found.join(ends.select(F.col("x").alias("u"), F.col("k").alias("ku")), "u")
+        both = both.join(ends.select(F.col("x").alias("v"), F.col("k").alias("kv")), "v")
+        swap = F.col("ku") > F.col("kv")
+        self.link(both.select(F.when(swap, F.col("v")).otherwise(F.col("u")).alias("u"), F.when(swap, F.col("u")).otherwise(F.col("v")).alias("v")))
+        self.tables.drop(found)
 
 
 def components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) -> DataFrame:
@@ -331,41 +354,47 @@ def components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     is linked with no other; rows with one doc_id are documents of their own. Other columns are
     ignored.
     """
-    entries, labels = _labelled(docs, words, num, den)
+    tables = Tables(docs.sparkSession)
+    entries, labels = _labelled(tables, docs, words, num, den)
     least = labels.groupBy("component").agg(F.min("first").alias("component_id"))
     by_set = labels.join(least, "component").select("set_id", "component_id")
-    return entries.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(by_set, "set_id", "left").select(
+    rows = entries.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(by_set, "set_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+    result = materialize(rows)
+    tables.drop_all()
+    return result
 
 
-def _labelled(docs: DataFrame, words: int, num: int, den: int, extra: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def _labelled(
+    tables: Tables, docs: DataFrame, words: int, num: int, den: int, extra: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
     """The entries, and of each set: set_id, first (its least doc_id) and component (a set_id)."""
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(shingle_counts(docs, words))
-    entries = materialize(_entries(docs, words, num, den, counts, extra))
+    entries = tables.write(_entries(docs, words, num, den, counts, extra))
+    counts.destroy()
     full = entries.where("n > 0")
     firsts = full.groupBy("set_id").agg(F.min("doc_id").alias("first"))
     tokens = full.select(F.explode("prefix").alias("token"))
-    shared = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"))
-    placed = _passing(full, spark.sparkContext.broadcast(_places_of(shared))).join(shared, "token").distinct()
+    shared = tables.write(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"))
+    places = spark.sparkContext.broadcast(_places_of(shared))
     # Copies made some tokens shared; what counts is two groups at least.
-    placed, placed_path = materialize_at(placed)
-    index, index_path = materialize_at(placed.join(_several(placed, "token", "group_id"), "token"))
-    remove_dir(spark, placed_path)
+    placed = tables.write(_passing(full, places).join(shared, "token").distinct())
+    places.destroy()
+    tables.drop(shared)
+    index = tables.write(placed.join(_several(placed, "token", "group_id"), "token"))
+    tables.drop(placed)
     wanted = index.select("group_id").unionByName(_several(full, "group_id", "set_id")).distinct()
     sets = full.select("set_id", "group_id", "n", "bitmap").join(wanted, "group_id").dropDuplicates(["set_id"])
-    sets, sets_path = materialize_at(sets)
-    sets, index = _close_sets(sets, index, num, den)
-    # Both are written anew, smaller.
-    remove_dir(spark, index_path)
-    remove_dir(spark, sets_path)
-    readers = sets.select("set_id").join(firsts, "set_id").where("first is not null")
-    # Rows that repeat the doc_id of another text are told apart by their shingles.
-    shingles = materialize(_shingles_of(_texts_of(docs, materialize(readers)), words))
-    join = _Join(sets, index, shingles, num, den)
+    sets = tables.write(sets)
+    close, close_index = _close_sets(tables, sets, index, num, den)
+    tables.drop(sets, index)
+    readers = tables.write(close.select("set_id").join(firsts, "set_id").where("first is not null"))
+    join = _Join(tables, docs, readers, close, close_index, words, num, den)
     join.pivot_round()
     join.rest()
+    tables.drop(readers, close, close_index)
     known = join.labels.select(F.col("node").alias("set_id"), "component")
     return entries, firsts.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
 
@@ -375,16 +404,29 @@ def one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) ->
 
     Rows with one doc_id and different texts are documents of their own. Ties go to the least set_id
     and then the least digest of the row, so only linked and equal rows are removed, always the same.
+    Rows are told apart by their digest; only those whose digest may be a removed or repeated row's
+    are exchanged.
     """
     digest = "arqueo_digest"
     # Nulls leave a hash as it is, so where they stand counts too.
     marked = docs.withColumn(digest, F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)))
-    entries, labels = _labelled(marked, words, num, den, (digest,))
+    tables = Tables(docs.sparkSession)
+    entries, labels = _labelled(tables, marked, words, num, den, (digest,))
     least = labels.where("first is not null").groupBy("component").agg(F.min(F.struct("first", "set_id")).alias("x"))
     least = least.select(F.col("x.first").alias("doc_id"), F.col("x.set_id").alias("set_id"))
-    rows = entries.select("doc_id", "set_id", digest)
-    linked = rows.join(least, ["doc_id", "set_id"]).groupBy("doc_id", "set_id").agg(F.min(digest).alias(digest))
-    alone = rows.where("set_id is null and doc_id is not null").select("doc_id", digest).distinct()
-    wanted = linked.select("doc_id", digest).unionByName(alone)
-    kept = marked.join(wanted, ["doc_id", digest]).dropDuplicates(["doc_id", digest]).select(docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    rows = entries.where("doc_id is not null").groupBy("doc_id", "set_id", digest).agg(F.count(F.lit(1)).alias("n"))
+    best = rows.join(least, ["doc_id", "set_id"]).groupBy("doc_id", "set_id").agg(F.min(digest).alias("best"))
+    # Of a set with the least id one row stays; rows without words are in no set and stay once.
+    judged = rows.join(best, ["doc_id", "set_id"], "left").withColumn(
+        "stays", F.col("set_id").isNull() | F.coalesce(F.col("best") == F.col(digest), F.lit(False))
+    )
+    touched = materialize(judged.where("not stays or n > 1").select(
+        F.col("doc_id").alias("arqueo_id"), F.col(digest).alias("arqueo_touched"), F.col("stays").alias("arqueo_stays")
+    ))
+    tables.drop_all()
+    likely, others = parted(marked, digest, bit_words(touched, F.col("arqueo_touched")))
+    same = (F.col("doc_id") == F.col("arqueo_id")) & (F.col(digest) == F.col("arqueo_touched"))
+    seen = likely.join(touched, same, "left")
+    repeated = seen.where("arqueo_stays").dropDuplicates(["doc_id", digest])
+    kept = [others, seen.where("arqueo_stays is null"), repeated]
+    return reduce(DataFrame.unionByName, [x.select(docs.columns) for x in kept])
