@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,6 +145,21 @@ def bit_words(keys: DataFrame, key: Column) -> DataFrame:
     return keys.groupBy(_word(key)).agg(F.bit_or(bit).alias("bits"))
 
 
+def bit_array(keys: DataFrame, key: Column) -> np.ndarray:
+    """The bit table of :func:`bit_words` as an array, for :func:`in_bits`."""
+    with job_settings(keys.sparkSession):
+        words = bit_words(keys, key).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def in_bits(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys (int64) have their place set."""
+    place = keys & ((1 << FILTER_BITS) - 1)
+    return (table[place >> 6] >> (place & 63)) & 1 > 0
+
+
 def _word(key: Column) -> Column:
     return F.shiftright(key.bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6).cast("int").alias("word")
 

@@ -23,12 +23,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arqueo.llm.common import grouped, materialize, texts
+from arqueo.llm.common import Tables, bit_array, bit_words, grouped, in_bits, materialize, parted, texts
 from arqueo.llm.hashing import doc_words, mix, windows
 
 SHINGLE = 5
 HASHES = 48
-FILTER_BITS = 20, 22
 SEGMENT = 4096
 
 _MULTIPLIERS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -82,19 +81,13 @@ def item_table(items: DataFrame) -> DataFrame:
     return _lowered(items, "item_id").mapInArrow(run, schema)
 
 
-def _places(values: np.ndarray, bits: int) -> np.ndarray:
-    shift = np.uint64(8 if bits == FILTER_BITS[0] else 29)
-    return ((values >> shift) & np.uint64((1 << bits) - 1)).astype(np.int64)
+#: Each value has two places in bit tables: of its low bits, and of the bits from here on.
+_SECOND = 29
 
 
-def _filter(values: DataFrame, bits: int) -> np.ndarray:
-    """A table of which places some value has; at most 2 ** bits places come to the driver."""
-    shift = 8 if bits == FILTER_BITS[0] else 29
-    place = F.shiftrightunsigned("value", shift).bitwiseAND(F.lit((1 << bits) - 1))
-    out = np.zeros(1 << bits, bool)
-    for r in values.select(place.cast("int").alias("place")).distinct().toLocalIterator():
-        out[r["place"]] = True
-    return out
+def _filters(values: DataFrame) -> list[np.ndarray]:
+    """Two bit tables of the column value."""
+    return [bit_array(values, F.col("value")), bit_array(values, F.shiftrightunsigned("value", _SECOND))]
 
 
 def window_minima(shingles: np.ndarray, classes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
@@ -121,8 +114,8 @@ def _document_hits(docs: DataFrame, classes: list[int], tables: Broadcast) -> Da
     reach = 1 << (max(classes, default=0) + 1)
 
     def passing(values: np.ndarray, tables) -> np.ndarray:
-        at = np.flatnonzero(tables[0][_places(values, FILTER_BITS[0])])
-        return at[tables[1][_places(values[at], FILTER_BITS[1])]]
+        at = np.flatnonzero(in_bits(tables[0], values.view(np.int64)))
+        return at[in_bits(tables[1], (values[at] >> np.uint64(_SECOND)).view(np.int64))]
 
     def hits(shingles: np.ndarray, minima_tables) -> np.ndarray:
         found = []
@@ -168,32 +161,40 @@ def contained_items(docs: DataFrame, items: DataFrame, least: float = 0.8) -> Da
     documents without words, or with a null id, pair with nothing. Rows with one doc_id count as
     one document, repeated items pair alike. Other columns are ignored.
     """
-    known = materialize(item_table(items))
+    tables = Tables(docs.sparkSession)
+    known = tables.write(item_table(items))
     classes = [r["class"] for r in known.select("class").distinct().orderBy("class").collect()]
     if not classes:
+        tables.drop_all()
         none = "doc_id bigint, item_id bigint, n_shared bigint, item_size int, containment double"
         return docs.sparkSession.createDataFrame([], none)
     minima = known.select("item_id", "class", F.posexplode("minima").alias("hash", "value"))
     shingles = known.select("item_id", "size", F.explode("shingles").alias("value"))
-    spark = docs.sparkSession
-    tables = [[_filter(x, bits) for bits in FILTER_BITS] for x in (minima, shingles)]
-    found = materialize(_document_hits(docs, classes, spark.sparkContext.broadcast(tables)))
+    bits = docs.sparkSession.sparkContext.broadcast([_filters(x) for x in (minima, shingles)])
+    found = tables.write(_document_hits(docs, classes, bits))
+    bits.destroy()
     seen = found.select("doc_id", F.explode(F.arrays_zip("class", "hash", "value")).alias("x"))
     seen = seen.select("doc_id", "x.*").distinct()
-    on = [seen["class"] == minima["class"], seen["hash"] == minima["hash"], seen["value"] == minima["value"]]
-    candidates = seen.join(minima, on).select("doc_id", "item_id").distinct()
+    candidates = tables.write(seen.join(minima, ["class", "hash", "value"]).select("doc_id", "item_id").distinct())
+    # Only the candidates' shingles are looked up, so that a shingle of many documents and items makes no pairs.
     own = found.select("doc_id", F.explode("shingles").alias("value")).distinct()
-    shared = own.join(shingles, "value").groupBy("doc_id", "item_id").agg(
-        F.count(F.lit(1)).alias("n_shared"), F.first("size").alias("item_size")
-    )
+    shared = candidates.join(own, "doc_id").join(shingles.distinct(), ["item_id", "value"])
+    shared = shared.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_shared"), F.first("size").alias("item_size"))
     share = F.col("n_shared") / F.col("item_size")
-    return (
-        shared.withColumn("containment", share)
-        .where(F.col("n_shared") >= least * F.col("item_size") - 1e-9)
-        .join(candidates, ["doc_id", "item_id"], "left_semi")
-    )
+    result = materialize(shared.withColumn("containment", share).where(F.col("n_shared") >= least * F.col("item_size") - 1e-9))
+    tables.drop_all()
+    return result
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` in which no item is contained; rows with a null id stay."""
-    return docs.join(contained_items(docs, items, least).select("doc_id").distinct(), "doc_id", "left_anti")
+    """The rows of ``docs`` whose own text contains no item, whatever their id.
+
+    Rows are told apart by a digest of doc_id and text; only those whose digest may be a dropped
+    row's are exchanged.
+    """
+    key = "arqueo_key"
+    marked = docs.withColumn(key, F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull()))
+    hits = contained_items(marked.select(F.col(key).alias("doc_id"), "text"), items, least).select("doc_id").distinct()
+    likely, others = parted(marked, key, bit_words(hits, F.col("doc_id")))
+    left = likely.join(hits.select(F.col("doc_id").alias(key)), key, "left_anti")
+    return others.select(docs.columns).unionByName(left.select(docs.columns))

@@ -25,7 +25,7 @@ import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arqueo.llm.common import FILTER_BITS, Tables, bit_words, grouped, job_settings, map_texts, materialize, parted, texts
+from arqueo.llm.common import Tables, bit_array, bit_words, grouped, in_bits, job_settings, map_texts, materialize, parted, texts
 from arqueo.llm.components import connected_components
 from arqueo.llm.hashing import doc_shingles, mix
 
@@ -135,14 +135,6 @@ def _several(df: DataFrame, key: str, of: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(of).alias("lo"), F.max(of).alias("hi")).where("lo <> hi").select(key)
 
 
-def _places_of(tokens: DataFrame) -> np.ndarray:
-    """The bit table of tokens as an array."""
-    words = bit_words(tokens, F.col("token")).toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return out
-
-
 def _passing(entries: DataFrame, table) -> DataFrame:
     """token, group_id, n of the prefix shingles whose place is set. The table has no false
     negatives; it spares the exchange most shingles that no other document has."""
@@ -151,8 +143,7 @@ def _passing(entries: DataFrame, table) -> DataFrame:
         lists = batch.column("prefix")
         values = lists.flatten().to_numpy(zero_copy_only=False)
         owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-        place = values & ((1 << FILTER_BITS) - 1)
-        kept = np.flatnonzero((table.value[place >> 6] >> (place & 63)) & 1)
+        kept = np.flatnonzero(in_bits(table.value, values))
         at = pa.array(owner[kept])
         yield pa.RecordBatch.from_arrays(
             [pa.array(values[kept]), batch.column("group_id").take(at), batch.column("n").take(at)], ["token", "group_id", "n"]
@@ -378,7 +369,7 @@ def _labelled(
     firsts = full.groupBy("set_id").agg(F.min("doc_id").alias("first"))
     tokens = full.select(F.explode("prefix").alias("token"))
     shared = tables.write(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"))
-    places = spark.sparkContext.broadcast(_places_of(shared))
+    places = spark.sparkContext.broadcast(bit_array(shared, F.col("token")))
     # Copies made some tokens shared; what counts is two groups at least.
     placed = tables.write(_passing(full, places).join(shared, "token").distinct())
     places.destroy()
