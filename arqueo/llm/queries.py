@@ -53,7 +53,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_text.main_text(table(spark, sf_dir, "pages"))
+    return page_text.main_text(table(spark, sf_dir, "pages")).drop("n_repeated")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +108,7 @@ ORACLES: dict[str, str] = {
         ), spaced AS (
             SELECT page_id, url, trim(regexp_replace(d, '\s+', ' ', 'g')) AS text FROM decoded
         )
-        SELECT page_id, url, text, length(text) AS n_chars, 0::BIGINT AS n_repeated FROM spaced
+        SELECT page_id, url, text, length(text) AS n_chars FROM spaced
     """,
     "op9_decontamination": f"""
         WITH d AS ({_SHINGLES.format(id='doc_id', table='documents')}),
