@@ -35,14 +35,15 @@ FEATURES = 8 + len(GAINS)
 
 @dataclass(frozen=True)
 class Params:
-    """Bounds of what is learnt from: rows of each class, characters of each such text, segments."""
+    """Bounds of what is learnt from: rows of each class, whose texts are read whole, and segments.
+    ``miss_cost``: how many false alarms weigh as much as a toxic text that is missed."""
 
     window: int = 48
     segments: int = 160
-    cover: int = 4
+    cover: int = 8
     rows_per_class: int = 400
     calibration_rows: int = 1500
-    excerpt_chars: int = 8192
+    miss_cost: float = 3.0
     threshold: float = 0.7
 
 
@@ -54,13 +55,34 @@ class Model:
     params: Params
 
 
-def _segments(text: bytes, low: int = 5, high: int = 9) -> set[bytes]:
-    """Byte segments of the text's words; a word's first has the space before it."""
-    out: set[bytes] = set()
-    for w in set(text.lower().split()):
-        w = b" " + w[:64]
-        for n in range(low, high + 1):
-            out.update(w[i : i + n] for i in range(len(w) - n + 1))
+#: Longer runs without white space are no words to learn from; scoring reads them like all else.
+LONGEST_WORD = 64
+#: A text counts for a segment at most so often.
+MOST_COUNTED = 8
+
+
+def _word_counts(sample: DataFrame) -> DataFrame:
+    """label, words and counts (at most MOST_COUNTED) of each whole text, in lower case."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        words, counts = [], []
+        for t in texts(batch.column("text")):
+            found = Counter(w for w in t.lower().split() if len(w) <= LONGEST_WORD)
+            words.append(list(found))
+            counts.append([min(MOST_COUNTED, n) for n in found.values()])
+        columns = [batch.column("label"), pa.array(words, pa.list_(pa.binary())), pa.array(counts, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, ["label", "words", "counts"])
+
+    return map_texts(sample.select("label", "text"), "label int, words array<binary>, counts array<int>", run)
+
+
+def _segments(words: dict[bytes, int], low: int = 5, high: int = 9) -> Counter[bytes]:
+    """How often the text has each byte segment of its words; a word's first has the space before it."""
+    out: Counter[bytes] = Counter()
+    for w, k in words.items():
+        w = b" " + w
+        for g in {w[i : i + n] for n in range(low, high + 1) for i in range(len(w) - n + 1)}:
+            out[g] = min(MOST_COUNTED, out[g] + k)
     return out
 
 
@@ -71,28 +93,34 @@ def _surprise(k: int, n: int, k2: int, n2: int) -> float:
     return 2 * (part(k, n * p) + part(n - k, n * (1 - p)) + part(k2, n2 * p) + part(n2 - k2, n2 * (1 - p)))
 
 
-def distinctive(own: list[bytes], other: list[bytes], most: int, cover: int, least_surprise: float = 15) -> bytes:
-    """Dictionary content: segments frequent in ``own`` texts and rare in ``other`` ones.
+def distinctive(
+    own: list[dict[bytes, int]], other: list[dict[bytes, int]], most: int, cover: int, ratio: float = 15, least_surprise: float = 10
+) -> bytes:
+    """Dictionary content: segments frequent in ``own`` texts (words with counts) and rare in ``other`` ones.
 
-    A segment counts if its rate is 8 times the other class's and that is no chance
-    (``least_surprise``).
-    Chosen greedily, until each own text holds ``cover`` of them where it can; the strongest stand
-    last, where a dictionary's matches are cheapest.
+    A segment counts if own texts have it ``ratio`` times as often and the number of texts that
+    have it is no chance (``least_surprise``). Chosen greedily, until each own text holds
+    ``cover`` of them where it can; the strongest stand last, where a dictionary's matches are
+    cheapest.
     """
-    sets = [_segments(t) for t in own]
-    df: Counter[bytes] = Counter()
-    for s in sets:
-        df.update(s)
+    sets, df, tf = [], Counter(), Counter()
+    for t in own:
+        found = _segments(t)
+        df.update(found.keys())
+        tf.update(found)
+        sets.append(found.keys())
     least = max(2, math.ceil(0.01 * len(own)))
     df = Counter({g: k for g, k in df.items() if k >= least})
-    against: Counter[bytes] = Counter()
+    df2, tf2 = Counter(), Counter()
     for t in other:
-        against.update(_segments(t) & df.keys())
+        found = {g: k for g, k in _segments(t).items() if g in df}
+        df2.update(found.keys())
+        tf2.update(found)
     worth = {}
     for g, k in df.items():
-        ratio = ((k + 0.5) / (len(own) + 1)) / ((against[g] + 0.5) / (len(other) + 1))
-        if ratio >= 8 and _surprise(k, len(own), against[g], len(other)) >= least_surprise:
-            worth[g] = math.log(ratio)
+        rate = ((tf[g] + 0.5) / (len(own) + 1)) / ((tf2[g] + 0.5) / (len(other) + 1))
+        if rate >= ratio and _surprise(k, len(own), df2[g], len(other)) >= least_surprise:
+            worth[g] = math.log(rate)
     left = [[s & worth.keys(), cover] for s in sets]
     open_in: Counter[bytes] = Counter()
     for s, _ in left:
@@ -160,13 +188,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Params
     """Learn from two folds of the labels: one makes the dictionaries, the other the thresholds."""
     params = params or Params()
     sample = zdict.labelled_sample(docs, labels, label, zdict.DICT_FOLD, params.rows_per_class)
-    rows = sample.select("label", F.substring("text", 1, params.excerpt_chars).alias("text")).collect()
-    by = {c: sorted((r["text"] or "").encode() for r in rows if r["label"] == c) for c in (0, 1)}
+    by: dict[int, list] = {0: [], 1: []}
+    for r in _word_counts(sample).collect():
+        by[r["label"]].append(dict(sorted((bytes(w), n) for w, n in zip(r["words"], r["counts"], strict=True))))
+    by = {c: sorted(rows, key=lambda words: list(words.items())) for c, rows in by.items()}
     toxic = distinctive(by[1], by[0], params.segments, params.cover)
-    ordinary = distinctive(by[0], by[1], params.segments, params.cover, least_surprise=4)[-max(64, len(toxic)) :]
+    ordinary = distinctive(by[0], by[1], params.segments, params.cover, ratio=8, least_surprise=4)[-max(64, len(toxic)) :]
     sample = zdict.labelled_sample(docs, labels, label, zdict.CALIBRATION_FOLD, params.calibration_rows)
     measured = _features_of(sample, ordinary, toxic, params.window)
     counts = zdict.class_counts(labels, label, zdict.CALIBRATION_FOLD)
+    counts[1] = params.miss_cost * counts.get(1, 0)
     return Model(ordinary, toxic, zdict.calibrate(measured.collect(), counts, FEATURES), params)
 
 
