@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arqueo.llm.common import remove_dir, shared_dir, texts
+from arqueo.llm.common import job_settings, remove_dir, shared_dir, texts
 
 #: Bytes used by a rank with length code c: the first c + 1 of four.
 _USED = np.arange(4)[None, :] <= np.arange(4)[:, None]
@@ -98,7 +98,8 @@ class WordEncoder:
     Each run between ASCII white space is encoded by the library and kept for a while; the tokens
     of a text are those of its runs, one after another. Runs of Latin letters with ASCII marks
     behind them, which normalising leaves as they are but for case, go to the library's merge
-    model in their two pieces; all other runs take its whole way.
+    model in their two pieces; all other runs take its whole way, so that strings of special
+    tokens in a text become these, as the library has it.
     """
 
     _PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
@@ -107,7 +108,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
         self._model = self._library.model
         self.size = self._library.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
