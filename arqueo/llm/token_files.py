@@ -34,8 +34,8 @@ _USED = np.arange(4)[None, :] <= np.arange(4)[:, None]
 _CODES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :]) & 3
 
 BLOCK_IDS = 1 << 18
-#: Entries of the two stores of a worker's encoder; the older generation holds as many.
-CACHED_WORDS, CACHED_PIECES = 300_000, 150_000
+#: Entries of the store of a worker's encoder; the older generation holds as many.
+CACHED_WORDS = 450_000
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -97,8 +97,8 @@ class WordEncoder:
 
     Each run between ASCII white space is encoded by the library and kept for a while; the tokens
     of a text are those of its runs, one after another. Runs of Latin letters with ASCII marks
-    behind them, which normalising leaves as they are but for case, go to the library's merge
-    model in their two pieces; all other runs take its whole way, so that strings of special
+    behind them, which normalising leaves as they are but for case, are made of their two pieces
+    in lower case, of which letters go to the library's merge model; all other runs take its whole way, so that strings of special
     tokens in a text become these, as the library has it.
     """
 
@@ -113,7 +113,6 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._shown = _byte_characters()
-        self._pieces = _Recent(self._encode_piece, CACHED_PIECES)
         self._words = _Recent(self._encode_word, CACHED_WORDS)
 
     def _encode_piece(self, piece: bytes) -> bytes:
@@ -121,14 +120,16 @@ class WordEncoder:
         return array(self._code, [t.id for t in self._model.tokenize(text)]).tobytes()
 
     def _encode_word(self, word: bytes) -> bytes:
-        pieces = self._pieces
+        words = self._words
         if word.isalpha():  # of ASCII letters
-            return pieces[word.lower()]
+            return self._encode_piece(word) if word.islower() else words[word.lower()]
         plain = self._PLAIN.fullmatch(word)
         if plain:
             letters, marks = plain.groups()
             letters = letters.lower() if letters.isascii() else letters.decode().lower().encode()
-            return pieces[letters] + pieces[marks] if marks else pieces[letters]
+            if marks:
+                return words[letters] + words[marks]
+            return self._encode_piece(word) if letters == word else words[letters]
         return array(self._code, self._library.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
     def encode(self, items: list[bytes]) -> list[bytes]:
