@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arqueo import contracts
 from arqueo.operators import audit, consolidate, duplicates, profile, quality
@@ -18,51 +20,135 @@ def _lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
+def _read(spark: SparkSession, a: argparse.Namespace, keep_malformed: bool = False) -> DataFrame:
+    return files.read_text_csv(spark, a.path, keep_malformed=keep_malformed, encoding=a.encoding, multi_line=a.multi_line)
+
+
+def _tidy_report(parts: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
+    """control, item, metric, value, status: results of several controls as one table of texts."""
+    out = []
+    for control, (df, label) in parts.items():
+        metrics = [c for c in df.columns if c not in (label, "status")]
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value")) for c in metrics]))
+        item = F.col(label) if label else F.lit(None).cast("string")
+        status = F.col("status") if "status" in df.columns else F.lit(None).cast("string")
+        rows = df.select(item.alias("item"), status.alias("status"), pairs.alias("m"))
+        out.append(rows.select(F.lit(control).alias("control"), "item", "m.metric", "m.value", "status"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def run_profile(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    return profile.null_counts(files.sample(files.read_text_csv(spark, a.path, keep_malformed=False), a.sample_rows))
+    """Null counts and inferred types of a sample, and with a dictionary which columns it documents."""
+    df = files.sample(_read(spark, a), a.sample_rows)
+    nulls = profile.null_counts(df)
+    out = nulls.join(spark.createDataFrame(list(files.inferred_types(df).items()), "column_name string, inferred_type string"), "column_name", "left")
+    if a.dictionary:
+        known = files.read_text_csv(spark, a.dictionary, encoding=a.encoding).drop(files.CORRUPT)
+        names = files.dictionary_variables(known, known.columns[0]).select(F.lower("variable").alias("column_name"))
+        present = spark.createDataFrame([(c.lower(),) for c in df.columns], "column_name string")
+        review = profile.name_review(names, present)
+        out = out.withColumn("column_name", F.lower("column_name")).join(review, "column_name", "full")
+    return out
 
 
 def run_scan(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    df = _lower(files.read_text_csv(spark, a.path, keep_malformed=False))
+    df = _lower(_read(spark, a))
     months = [c for c in contracts.MONTHLY if c in df.columns]
     return profile.monthly_coverage(df.select(*[df[c].try_cast("decimal(24,2)").alias(c) for c in months]), months)
 
 
 def run_quality(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    df = _lower(files.read_text_csv(spark, a.path, keep_malformed=False))
-    return quality.blank_counts(df, [c for c in df.columns if not c.startswith("monto_")])
+    """All controls that the columns allow, and their summary."""
+    df = _lower(_read(spark, a))
+    measures = [c for c in df.columns if c.startswith("monto_")]
+    amounts = df.select(*[c for c in df.columns if c not in measures], *[F.col(c).try_cast(contracts.AMOUNT).alias(c) for c in measures])
+    parts: dict[str, tuple[DataFrame, str | None]] = {
+        "nulls": (profile.null_counts(df), "column_name"),
+        "blanks": (quality.blank_counts(df, [c for c in df.columns if c not in measures]), "column_name"),
+    }
+    if measures:
+        parts["amounts"] = quality.amount_parse_errors(df, measures), "column_name"
+        parts["negatives"] = quality.negative_amounts(amounts, measures), "column_name"
+    months = [c for c in contracts.MONTHLY if c in df.columns]
+    if a.year and contracts.YEAR in df.columns and len(months) == 12:
+        parts["year"] = quality.year_control(df, contracts.YEAR, a.year), None
+        parts["reconciliation"] = quality.annual_reconciliation(amounts, months, contracts.annual_of(df.columns), a.tolerance), None
+        order = ("year", "reconciliation", "nulls", "blanks", "amounts", "negatives")
+        parts["summary"] = quality.quality_summary(*[parts[k][0] for k in order]), None
+    return _tidy_report(parts)
 
 
 def run_duplicates(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    return duplicates.duplicate_summary(files.read_text_csv(spark, a.path).drop(files.CORRUPT))
+    """The summary of equal rows with blank and malformed records; with --out, samples of them."""
+    if a.multi_line:
+        return duplicates.duplicate_summary(_read(spark, a, keep_malformed=True).drop(files.CORRUPT))
+    records = files.numbered_records(spark, a.path, a.encoding)
+    rows = records.where("not _blank")
+    names = [c for c in rows.columns if c not in (files.ROW_NUMBER, "_blank", files.CORRUPT)]
+    if a.out:
+        samples = duplicates.duplicate_rows(rows.select(files.ROW_NUMBER, *names), names, files.ROW_NUMBER)
+        files.write_csv(samples, a.out, ["_row_hash", files.ROW_NUMBER])
+    # One row on either side.
+    return duplicates.duplicate_summary(rows.select(*names)).crossJoin(files.record_counts(records).drop("record_count"))
 
 
 def run_grain(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    df = _lower(files.read_text_csv(spark, a.path, keep_malformed=False))
+    df = _lower(_read(spark, a))
     keys = {"maximal": list(contracts.MAXIMAL_KEY), "business": list(contracts.BUSINESS_KEY)}
-    return duplicates.key_uniqueness(df, {a.key: a.key.split(",")} if a.key else keys)
+    keys = {a.key: a.key.split(",")} if a.key else keys
+    if a.out:
+        numbered = _lower(files.numbered_records(spark, a.path, a.encoding)).where("not _blank")
+        key = keys[duplicates.sample_key(keys)]
+        samples = duplicates.collision_samples(numbered.drop("_blank", files.CORRUPT), key, [files.ROW_NUMBER])
+        files.write_csv(samples, a.out, [*key, files.ROW_NUMBER])
+    return duplicates.key_uniqueness(df, keys)
 
 
 def run_consolidate(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    df = _lower(files.read_text_csv(spark, a.path, keep_malformed=False))
+    """Consolidate; --out gets Parquet, --csv a CSV in the order of first rows."""
+    df = _lower(_read(spark, a))
     key = tuple(a.key.split(",")) if a.key else contracts.BUSINESS_KEY
     grain = consolidate.Grain(key, tuple(contracts.measures_of(df.columns)))
     out = consolidate.run(df, grain, a.tolerance)
     if a.out:
         files.write_table(out, a.out)
+    if a.csv:
+        numbered = _lower(files.numbered_records(spark, a.path, a.encoding)).where(f"not _blank and {files.CORRUPT} is null")
+        files.write_csv(consolidate.in_first_order(out, numbered.drop("_blank", files.CORRUPT), grain, files.ROW_NUMBER).select(df.columns), a.csv)
     return consolidate.reduction_report(consolidate.normalise(df, grain), grain)
 
 
 def run_audit(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    df = _lower(files.read_text_csv(spark, a.path, keep_malformed=False))
-    return audit.audit(df, contracts.measures_of(df.columns))
+    df = _lower(_read(spark, a))
+    return audit.audit(df, contracts.measures_of(df.columns), a.measures)
+
+
+def run_dictionary(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Review --dictionary against the columns of a file; --expected-hash is compared with its SHA-256."""
+    df = _read(spark, a)
+    known = files.read_text_csv(spark, a.dictionary, encoding=a.encoding).drop(files.CORRUPT)
+    names = files.dictionary_variables(known, known.columns[0]).select(F.lower("variable").alias("column_name"))
+    present = spark.createDataFrame([(c.lower(),) for c in df.columns], "column_name string")
+    review = profile.dictionary_review(names, present, landing.file_digest(Path(a.dictionary)), a.expected_hash or "")
+    if a.out:
+        names_ = profile.name_review(names, present).orderBy("column_name")
+        files.markdown_report("Data dictionary", {"Summary": review, "Names": names_}).orderBy("position").select("line").coalesce(1).write.mode("overwrite").text(a.out)
+    return review
 
 
 def run_fetch(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    """Land the sources of a configuration into ``--out``."""
+    """Land the sources of a configuration into --out and add what happened to --manifest."""
     chosen = config.select_sources(config.load_config(a.path), a.source_id, a.all)
-    rows = [(s.source_id, landing.fetch(s.download_url, Path(a.out or ".") / f"{s.source_id}.{s.file_format}")) for s in chosen]
-    return spark.createDataFrame(rows, "source_id string, file_size_bytes bigint")
+    manifest = landing.land(spark, chosen, Path(a.out or "."), a.force)
+    if a.manifest:
+        landing.append_manifest(manifest, a.manifest)
+    return manifest
+
+
+def run_verify(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Check landed files against the latest events of a manifest table; --quick leaves hashes out."""
+    manifests = landing.read_manifests(spark, a.path)
+    return landing.verify(manifests, landing.landed_files(spark, manifests), not a.quick)
 
 
 ACTIONS = {n.removeprefix("run_"): f for n, f in list(globals().items()) if n.startswith("run_")}
@@ -77,6 +163,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--report", help="folder to which the result is appended as JSON lines")
     p.add_argument("--sample-rows", type=int, default=1000)
     p.add_argument("--tolerance", default="0.01")
+    p.add_argument("--encoding", default="UTF-8")
+    p.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
+    p.add_argument("--year", type=int)
+    p.add_argument("--measures", type=int, help="how many amount columns there must be")
+    p.add_argument("--dictionary")
+    p.add_argument("--expected-hash")
+    p.add_argument("--csv")
+    p.add_argument("--manifest")
+    p.add_argument("--force", action="store_true")
+    p.add_argument("--quick", action="store_true")
     p.add_argument("--source-id")
     p.add_argument("--all", action="store_true")
     a = p.parse_args(argv)

@@ -83,7 +83,7 @@ DIMENSIONS = (
     Dimension(
         "institucion", (YEAR, "sec_ejec"),
         ("nivel_gobierno", "sector", "pliego", "ejecutora", *_named(*INSTITUTION)),
-        nullable=("sector", "sector_nombre", "pliego", "pliego_nombre"),
+        nullable=("sector", "sector_nombre", "pliego", "pliego_nombre"), small=False,
     ),
     Dimension(
         "meta_presupuestaria", (YEAR, "sec_ejec", *PROGRAMME, "sec_func", "meta", "finalidad"),
@@ -121,3 +121,11 @@ def measures_of(columns: list[str], prefix: str = "monto_", ignore_case: bool =
     if not found:
         raise ValueError(f"no column starts with {prefix!r}")
     return found
+
+
+def annual_of(columns: list[str], stem: str = "devengado") -> str:
+    """The one annual column of a measure; none or several are an error."""
+    found = [c for c in columns if c.lower() == f"monto_{stem}_anual"]
+    if len(found) != 1:
+        raise ValueError(f"one annual column is needed, found {len(found)}")
+    return found[0]

@@ -31,28 +31,59 @@ def is_blank(c: Column | str) -> Column:
     return c.isNotNull() & (F.regexp_replace(c, r"(?U)\s+", "") == "")
 
 
-def parse_amount(c: Column | str) -> Column:
-    """Exact amount; blank is 0, anything else that is no number is null."""
-    text = clean_text(c)
-    return F.when(text.isNull(), F.lit(0)).otherwise(text.try_cast("decimal(38,18)")).cast(AMOUNT)
+#: A decimal number, with an exponent or without.
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
+#: A text of so many characters has no digit beyond the 18th decimal that matters for its cents.
+_SHORT = 18
+
+
+def decimal_parts(c: Column | str) -> Column:
+    """struct(whole, fraction): the digits before and after the point, an exponent resolved; null if
+    the text is blank or no number."""
+    text = F.lower(clean_text(c))
+    body = F.regexp_replace(F.substring_index(text, "e", 1), r"^[+-]", "")
+    whole = F.substring_index(body, ".", 1)
+    fraction = F.when(F.contains(body, F.lit(".")), F.substring_index(body, ".", -1)).otherwise("")
+    # The point moves by the exponent, over zeros where the digits end.
+    point = F.length(whole) + F.substring_index(text, "e", -1).try_cast("int")
+    digits = F.concat(whole, fraction)
+    before = F.repeat(F.lit("0"), F.greatest(1 - point, F.lit(0)))
+    padded = F.concat(before, digits, F.repeat(F.lit("0"), F.greatest(point - F.length(digits), F.lit(0))))
+    at = F.greatest(point, F.lit(1))
+    moved = F.struct(F.substr(padded, F.lit(1), at).alias("whole"), F.substr(padded, at + 1).alias("fraction"))
+    plain = F.struct(whole.alias("whole"), fraction.alias("fraction"))
+    return F.when(F.regexp_like(text, F.lit(_NUMBER)), F.when(F.contains(text, F.lit("e")), moved).otherwise(plain))
 
 
-def is_bad_amount(c: Column | str) -> Column:
-    """Not blank, and no number."""
+def cents(c: Column | str) -> Column:
+    """Whole cents as decimal(38,0), exact whatever the number of digits, halves away from zero.
+
+    Blank is 0; what is no number, or beyond 38 digits, is null.
+    """
     text = clean_text(c)
-    return text.isNotNull() & text.try_cast("decimal(38,18)").isNull()
+    short = (text.try_cast("decimal(38,18)").cast("decimal(36,2)") * 100).cast("decimal(38,0)")
+    parts = decimal_parts(c)
+    fraction = F.rpad(parts["fraction"], 3, "0")
+    size = F.concat(parts["whole"], F.substring(fraction, 1, 2)).try_cast("decimal(38,0)")
+    size = size + F.when(F.substring(fraction, 3, 1) >= "5", 1).otherwise(0)
+    exact = (F.when(text.startswith("-"), -size).otherwise(size)).try_cast("decimal(38,0)")
+    return F.when(text.isNull(), F.lit(0).cast("decimal(38,0)")).when(F.length(text) <= _SHORT, short).otherwise(exact)
 
 
-def cents(c: Column | str) -> Column:
-    """Whole cents as decimal(38,0), rounding halves away from zero; blank is 0, no number is null."""
+def parse_amount(c: Column | str) -> Column:
+    """Exact amount, halves away from zero; blank is 0, anything else that is no number is null."""
+    return (cents(c) * F.lit("0.01").cast("decimal(2,2)")).try_cast(AMOUNT)
+
+
+def is_bad_amount(c: Column | str) -> Column:
+    """Not blank, and no number."""
     text = clean_text(c)
-    value = F.coalesce(text, F.lit("0")).try_cast("decimal(38,18)")
-    return (value.cast("decimal(36,2)") * 100).cast("decimal(38,0)")
+    return text.isNotNull() & ~F.regexp_like(text, F.lit(_NUMBER))
 
 
 def fraction_digits(c: Column | str) -> Column:
-    """The digits after the point of a plain decimal text, or empty."""
-    return F.coalesce(F.regexp_extract(clean_text(c), r"^[+-]?\d*\.(\d*)$", 1), F.lit(""))
+    """The digits after the point of a number, or empty."""
+    return F.coalesce(decimal_parts(c)["fraction"], F.lit(""))
 
 
 def has_extra_digits(c: Column | str) -> Column:

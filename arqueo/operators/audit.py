@@ -11,8 +11,13 @@ from arqueo.functions.exprs import cents, format_cents, has_extra_digits, is_bad
 from arqueo.operators.profile import _tidy
 
 
-def audit(df: DataFrame, columns: list[str]) -> DataFrame:
-    """column_name, total, extra_digits, rounded, invalid of each column of amount texts."""
+def audit(df: DataFrame, columns: list[str], expected: int | None = None) -> DataFrame:
+    """column_name, total, extra_digits, rounded, invalid of each column of amount texts.
+
+    With ``expected``, another number of columns is an error.
+    """
+    if expected is not None and len(columns) != expected:
+        raise ValueError(f"{expected} amount columns are needed, found {len(columns)}")
     metrics = {
         c: {
             "cents": F.coalesce(F.sum(cents(c)), F.lit(0)).cast("decimal(38,0)"),

@@ -122,7 +122,15 @@ def run(df: DataFrame, grain: Grain, tolerance: str = "0.01") -> DataFrame:
     return out
 
 
+def in_first_order(consolidated: DataFrame, numbered: DataFrame, grain: Grain, row_number: str) -> DataFrame:
+    """The consolidated rows in the order of each key's first row number in the source."""
+    firsts = normalise(numbered, grain).groupBy(*grain.key).agg(F.min(row_number).alias("_first"))
+    a, b = consolidated.alias("a"), firsts.alias("b")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in grain.key]
+    return a.join(b, same).orderBy("_first").select("a.*")
+
+
 __all__ = [
-    "Grain", "bad_amounts", "consolidate", "inconsistent_attributes", "normalise",
+    "Grain", "bad_amounts", "consolidate", "in_first_order", "inconsistent_attributes", "normalise",
     "reduction_report", "run", "totals", "totals_check", "unique_rows",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arqueo.contracts import require_columns
+from arqueo.functions.exprs import row_digest
 
 
 def group_summary(counts: DataFrame, none: int) -> DataFrame:
@@ -42,14 +43,23 @@ def largest_groups(df: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
 
 
 def key_uniqueness(df: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
-    """For each candidate key, what ``group_summary`` says. Each key is one aggregation of its own
-    columns only, so that no digest and no explosion of rows is needed."""
+    """For each candidate key, what ``group_summary`` says.
+
+    The groups of a key are counted from those of a finer key where there is one, whose exchange
+    the plan shares; so rows are shuffled once for a chain of keys. No digest and no explosion of
+    rows is needed.
+    """
     for columns in keys.values():
         require_columns(df.columns, columns)
-    parts = []
-    for name, columns in keys.items():
-        counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(group_summary(counts.select("n"), 0).select(F.lit(name).alias("key_name"), "*"))
+    counts: dict[str, DataFrame] = {}
+    for name in sorted(keys, key=lambda k: -len(set(keys[k]))):
+        finer = [k for k in counts if set(keys[name]) < set(keys[k])]
+        if finer:
+            source, size = counts[min(finer, key=lambda k: len(keys[k]))], F.sum("_n")
+        else:
+            source, size = df, F.count(F.lit(1))
+        counts[name] = source.groupBy(*keys[name]).agg(size.alias("_n"))
+    parts = [group_summary(counts[k].select(F.col("_n").alias("n")), 0).select(F.lit(k).alias("key_name"), "*") for k in keys]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -67,6 +77,21 @@ def collision_samples(df: DataFrame, key: list[str], order: list[str], groups: i
     return found.withColumn("place", place.cast("bigint")).where(F.col("place") <= rows)
 
 
+def sample_key(keys: dict[str, list[str]], wanted: str | None = None, default: str = "business") -> str:
+    """The name of the candidate key whose collisions are sampled: the wanted one, else the default
+    one if it is there, else the first."""
+    name = wanted or (default if default in keys else next(iter(keys), None))
+    if name not in keys:
+        raise ValueError(f"unknown key {name!r}; known: {', '.join(keys)}")
+    return name
+
+
+def duplicate_rows(numbered: DataFrame, columns: list[str], row_number: str, groups: int = 20, rows: int = 2) -> DataFrame:
+    """The first ``rows`` rows, by number, of the ``groups`` largest groups of equal rows, with their digest."""
+    found = collision_samples(numbered, columns, [row_number], groups, rows)
+    return found.select(row_number, row_digest(columns).alias("_row_hash"), *columns, "occurrences")
+
+
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     """Key values with more than one row, and how many: what a unique constraint would reject."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")

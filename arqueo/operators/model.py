@@ -24,7 +24,8 @@ def _order(columns) -> list[Column]:
 
 
 def number_small(rows: DataFrame, key: tuple[str, ...], name: str) -> DataFrame:
-    """Numbers from 1 in key order by one sort; for dimensions of a few thousand rows."""
+    """Numbers from 1 in key order by one sort; for dimensions of a few thousand rows that do not
+    grow with the data."""
     place = F.row_number().over(Window.orderBy(*_order(key)))
     return rows.select(place.cast("int").alias(name), "*")
 
@@ -121,6 +122,45 @@ def structure(tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string, nullable boolean")
 
 
+def _refuse(rows: list, what: str) -> None:
+    if rows:
+        raise ValueError(f"{what}: {'; '.join(rows)}")
+
+
+def require_counts(actual: DataFrame, expected: DataFrame, key: str) -> None:
+    """Refuse a load whose rows by ``key`` (both have key and n) are not those expected."""
+    wrong = count_check(actual, expected, key).where("not matches").orderBy(key).limit(20).collect()
+    _refuse([f"{r[key]}: {r['actual']} instead of {r['expected']}" for r in wrong], "row counts differ")
+
+
+def require_dimension_counts(tables: dict[str, DataFrame], expected: dict[str, int]) -> None:
+    """Refuse dimensions that are missing or whose number of rows is not the one expected."""
+    wrong = [f"{n} is missing" for n in sorted(set(expected) - set(tables))]
+    for name in sorted(set(expected) & set(tables)):
+        n = tables[name].count()
+        if n != expected[name]:
+            wrong.append(f"{name}: {n} instead of {expected[name]}")
+    _refuse(wrong, "dimensions differ")
+
+
+def require_coverage(covered: DataFrame, expected: DataFrame, year: str) -> None:
+    """Refuse a load if a year's rows differ from the staged ones (year, n), or a row lacks a dimension.
+
+    ``covered`` is what :func:`coverage` gives.
+    """
+    require_counts(covered.select(year, F.col("row_count").alias("n")), expected, year)
+    wrong = covered.where("rows_missing_any > 0").orderBy(year).limit(20).collect()
+    _refuse([f"{r[year]}: {r['rows_missing_any']} rows" for r in wrong], "rows without a dimension")
+
+
+def require_foreign_keys(checked: DataFrame, constraints: int) -> None:
+    """Refuse a model that lacks one of its constraints, or in which one has orphans."""
+    rows = checked.collect()  # a row for each constraint
+    wrong = [f"{len(rows)} constraints instead of {constraints}"] * (len(rows) != constraints)
+    wrong += [f"{r['constraint_name']}: {r['orphans']} orphans" for r in rows if not r["valid"]]
+    _refuse(wrong, "foreign keys")
+
+
 def require_empty(tables: dict[str, DataFrame]) -> None:
     """Refuse a load into tables that have rows, naming them."""
     filled = sorted(n for n, df in tables.items() if not df.isEmpty())

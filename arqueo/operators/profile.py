@@ -124,6 +124,23 @@ def compare_names(left: DataFrame, right: DataFrame, column: str = "column_name"
     )
 
 
+def name_review(documented: DataFrame, present: DataFrame, column: str = "column_name") -> DataFrame:
+    """column_name, status of every name on either side: documented, undocumented or dictionary_only."""
+    a = documented.select(F.col(column)).distinct().withColumn("_d", F.lit(True))
+    b = present.select(F.col(column)).distinct().withColumn("_p", F.lit(True))
+    status = F.when(F.col("_d").isNull(), "undocumented").when(F.col("_p").isNull(), "dictionary_only").otherwise("documented")
+    return a.join(b, column, "full").select(column, status.alias("status"))
+
+
+def dictionary_review(documented: DataFrame, present: DataFrame, found_hash: str, expected_hash: str, column: str = "column_name") -> DataFrame:
+    """One row: documented, undocumented and dictionary_only names, hash_matches and exact_schema_match."""
+    counted = name_review(documented, present, column).agg(
+        *[F.count_if(F.col("status") == s).alias(s) for s in ("documented", "undocumented", "dictionary_only")]
+    )
+    exact = (F.col("undocumented") == 0) & (F.col("dictionary_only") == 0)
+    return counted.select("*", F.lit(found_hash == expected_hash).alias("hash_matches"), exact.alias("exact_schema_match"))
+
+
 def top_k(df: DataFrame, order: list, k: int) -> DataFrame:
     """The first k rows in a total order."""
     return df.orderBy(*order).limit(k)

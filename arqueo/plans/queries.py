@@ -628,9 +628,9 @@ _DIM_JOINS = " ".join(f"{{how}} JOIN (SELECT {x.surrogate}, {', '.join(x.key)} F
 
 
 def _star(spark, d):
-    """Staging, written once as every dimension reads it, and the dimensions."""
+    """Staging and the dimensions, each written once, as several readers follow."""
     rows = write_shared(staging(spark, d))
-    return rows, {x.name: model.build_dimension(rows, x) for x in DIMENSIONS}
+    return rows, {x.name: write_shared(model.build_dimension(rows, x)) for x in DIMENSIONS}
 
 
 _FACT = f"{_DIM_CTES}, fact AS (SELECT {', '.join(x.surrogate for x in DIMENSIONS)}, {', '.join(MEASURES)} FROM staging {_DIM_JOINS.format(how='')})"

@@ -71,7 +71,7 @@ STAGING_SQL = """
 #: The stand-ins of the eight dimensions.
 DIMENSIONS = (
     Dimension("time", ("year",)),
-    Dimension("institution", ("year", "custkey"), ("customer", "segment", "nation")),
+    Dimension("institution", ("year", "custkey"), ("customer", "segment", "nation"), small=False),
     Dimension("target", ("year", "l_partkey", "l_suppkey"), small=False),
     Dimension("function", ("brand", "type")),
     Dimension("financing", ("returnflag", "linestatus")),

@@ -2,30 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
 
+def _charset(encoding: str) -> str:
+    """A codec's name as the JVM has it; byte order marks are dropped for any of them."""
+    return {"utf-8-sig": "UTF-8", "utf8": "UTF-8", "latin-1": "ISO-8859-1"}.get(encoding.lower(), encoding)
+
+
 def header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
     """Column names of a CSV file; a byte order mark is no part of the first."""
-    first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-    row = spark.read.csv(spark.sparkContext.parallelize([r[0] for r in first])).collect() if first else []
-    return [str(c).lstrip("﻿") for c in row[0]] if row else []
+    first = spark.read.options(header=True, encoding=_charset(encoding), escape='"').csv(path)
+    return [c.lstrip("\ufeff") for c in first.columns]
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None, keep_malformed: bool = True) -> DataFrame:
+def read_text_csv(
+    spark: SparkSession, path: str, columns: list[str] | None = None, keep_malformed: bool = True,
+    encoding: str = "UTF-8", multi_line: bool = False,
+) -> DataFrame:
     """All columns as text, by the header's names, so that leading zeros and column order don't matter.
 
-    Records with too few or too many fields have their text in ``_corrupt_record``.
+    Records with too few or too many fields have their text in ``_corrupt_record``. Large files are
+    split over tasks, unless quoted fields may hold line breaks (``multi_line``).
     """
-    names = header(spark, path)
+    names = header(spark, path, encoding)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, CORRUPT]])
     df = (
         spark.read.schema(schema)
-        .options(header=True, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, escape='"')
+        .options(header=True, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, escape='"', encoding=_charset(encoding))
         .csv(path)
     )
     if columns:
@@ -33,6 +41,42 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = No
     return df if keep_malformed else df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
+ROW_NUMBER = "_row_number"
+
+
+def numbered_records(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """The records of one CSV file, a line each, with ``_row_number``, ``_blank`` and ``_corrupt_record``.
+
+    The header is line 1, so records are numbered from 2, blank lines included. Each task numbers
+    the lines of its splits; the counts of the splits before, one row each, are added.
+    """
+    text = F.decode(F.col("value").cast("binary"), _charset(encoding))
+    lines = spark.read.text(path).select(
+        text.alias("value"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id")
+    )
+    blocks = lines.groupBy("_block").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_low"))
+    before = F.sum("n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("_block", "_low", F.coalesce(before, F.lit(0)).alias("_before"))
+    number = F.col("_id") - F.col("_low") + F.col("_before") + 1
+    numbered = lines.join(F.broadcast(blocks), "_block").select("value", number.alias(ROW_NUMBER)).where(F.col(ROW_NUMBER) > 1)
+    names = header(spark, path, encoding)
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, CORRUPT])
+    blank = F.trim("value") == ""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'}
+    fields = F.when(~blank, F.from_csv("value", schema, options))
+    parsed = numbered.select(ROW_NUMBER, blank.alias("_blank"), fields.alias("r"))
+    return parsed.select(ROW_NUMBER, "_blank", *[F.col("r")[c].alias(c) for c in [*names, CORRUPT]])
+
+
+def record_counts(records: DataFrame) -> DataFrame:
+    """One row: record_count, blank_records and malformed_records of :func:`numbered_records`."""
+    return records.agg(
+        F.count_if(~F.col("_blank")).alias("record_count"),
+        F.count_if("_blank").alias("blank_records"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed_records"),
+    )
+
+
 def sample(df: DataFrame, rows: int = 1000) -> DataFrame:
     """The first rows, for structural profiles."""
     if rows <= 0:
@@ -40,11 +84,20 @@ def sample(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df.limit(rows)
 
 
-def read_sources(spark: SparkSession, paths: list[str]) -> DataFrame:
+def inferred_types(df: DataFrame) -> dict[str, str]:
+    """What each text column holds: bigint, double, timestamp or string, the first that all values fit."""
+    kinds = ("bigint", "double", "timestamp")
+    misfits = df.agg(*[
+        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(k).isNull()).alias(f"{i}_{k}") for i, c in enumerate(df.columns) for k in kinds
+    ]).first()
+    return {c: next((k for k in kinds if misfits[f"{i}_{k}"] == 0), "string") for i, c in enumerate(df.columns)}
+
+
+def read_sources(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
     """Several yearly files as one table, matched by column name."""
     out = None
     for p in paths:
-        df = read_text_csv(spark, p, keep_malformed=False)
+        df = read_text_csv(spark, p, keep_malformed=False, encoding=encoding)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
@@ -86,3 +139,26 @@ def dictionary_problems(df: DataFrame, expected: list[str]) -> list[str]:
     name = F.trim(expected[0])
     twice = df.groupBy(name.alias("name")).count().where("count > 1 and name is not null")
     return [f"repeated {r['name']}" for r in twice.orderBy("name").limit(20).collect()]
+
+
+def dictionary_variables(df: DataFrame, column: str) -> DataFrame:
+    """variable: the distinct trimmed names of a data dictionary's column, without nulls and blanks."""
+    name = F.nullif(F.trim(column), F.lit(""))
+    return df.select(name.alias("variable")).where("variable is not null").distinct()
+
+
+def markdown_report(title: str, sections: dict[str, DataFrame]) -> DataFrame:
+    """position, line: a Markdown report with a table for each section, for tables of a few rows.
+
+    An empty section says so.
+    """
+    out = None
+    for i, (name, df) in enumerate(sections.items()):
+        rows = markdown_rows(df).select(F.monotonically_increasing_id().alias("n"), "line")
+        head = [f"# {title}", ""] * (i == 0) + [f"## {name}", ""]
+        head += ["No rows.", ""] if df.isEmpty() else ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
+        top = df.sparkSession.createDataFrame([(n - len(head), line) for n, line in enumerate(head)], "n bigint, line string")
+        part = top.unionByName(rows).select(F.lit(i).alias("section"), "n", "line")
+        out = part if out is None else out.unionByName(part)
+    place = F.row_number().over(Window.orderBy("section", "n"))
+    return out.select(place.alias("position"), "line")

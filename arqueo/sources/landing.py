@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import hashlib
 import time
 import urllib.error
 import urllib.request
@@ -11,6 +13,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from arqueo.sources.config import SourceSpec
+
 # Fixed values.
 RETRY_STATUSES = (429, 500, 502, 503, 504)
 VALID_STATUSES = ("success", "unchanged", "updated", "refreshed", "skipped_existing")
@@ -103,3 +107,82 @@ def fetch(url: str, target: Path, tries: int = 3, pause: float = 1.0, opener: Ca
                 raise
         time.sleep(pause * 2 ** (attempt - 1))
     raise AssertionError
+
+
+MANIFEST_SCHEMA = (
+    "source_id string, status string, reason string, file_path string, file_size_bytes bigint, sha256_hash string, "
+    "previous_hash string, recorded_at string"
+)
+
+
+def file_digest(path: Path) -> str:
+    """SHA-256 of a file of any size, read in blocks."""
+    h = hashlib.sha256()
+    with path.open("rb") as f:
+        while block := f.read(1 << 20):
+            h.update(block)
+    return h.hexdigest()
+
+
+def land(
+    spark: SparkSession, sources: list[SourceSpec], folder: Path, force: bool = False, tries: int = 3, pause: float = 1.0,
+    opener: Callable = urllib.request.urlopen,
+) -> DataFrame:
+    """Land sources into ``folder`` on the driver: skip, fetch, validate, hash, and say what happened.
+
+    A row of MANIFEST_SCHEMA for each source. A payload that is refused, or a fetch that fails, leaves the
+    file that was there, and has status ``failed`` with the reason.
+    """
+    rows, heads = [], []
+    for s in sources:
+        target = folder / f"{s.source_id}.{s.file_format}"
+        existed = target.exists()
+        previous = file_digest(target) if existed else None
+        if existed and not s.mutable and not force:
+            rows.append((s.source_id, "skipped_existing", None, str(target), target.stat().st_size, previous, previous))
+            continue
+        fresh = target.with_name(target.name + ".new")
+        try:
+            size = fetch(s.download_url, fresh, tries, pause, opener)
+        except OSError as e:
+            rows.append((s.source_id, "failed", str(e), str(target), None, None, previous))
+            continue
+        with fresh.open("rb") as f:
+            heads.append((s.source_id, f.read(HEAD_BYTES), size, s.file_format, existed, previous, file_digest(fresh), str(target), str(fresh)))
+    schema = (
+        "source_id string, head binary, size bigint, file_format string, existed boolean, previous string, hash string, target string, fresh string"
+    )
+    judged = spark.createDataFrame(heads, schema).select(
+        "*",
+        payload_problem(F.col("head"), F.octet_length("head"), F.col("file_format")).alias("reason"),
+        download_status(F.col("existed"), F.col("previous"), F.col("hash"), F.lit(force)).alias("status"),
+    )
+    for r in judged.collect():  # a row for each source of the configuration
+        fresh, target = Path(r["fresh"]), Path(r["target"])
+        if r["reason"]:
+            fresh.unlink()
+            rows.append((r["source_id"], "failed", r["reason"], str(target), None, None, r["previous"]))
+        else:
+            fresh.replace(target)
+            rows.append((r["source_id"], r["status"], None, str(target), r["size"], r["hash"], r["previous"]))
+    now = datetime.datetime.now(datetime.UTC).isoformat()
+    return spark.createDataFrame([(*r, now) for r in rows], MANIFEST_SCHEMA)
+
+
+def append_manifest(manifest: DataFrame, path: str) -> None:
+    """Add events to the manifest table, which is JSON lines and only grows."""
+    manifest.coalesce(1).write.mode("append").json(path)
+
+
+def read_manifests(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(MANIFEST_SCHEMA).json(path)
+
+
+def landed_files(spark: SparkSession, manifests: DataFrame) -> DataFrame:
+    """source_id, length, sha256 of the files that the latest manifests name and the driver finds."""
+    rows = []
+    for r in latest_manifests(manifests).select("source_id", "file_path").collect():  # a row for each source
+        path = Path(r["file_path"] or "")
+        if path.is_file():
+            rows.append((r["source_id"], path.stat().st_size, file_digest(path)))
+    return spark.createDataFrame(rows, "source_id string, length bigint, sha256 string")

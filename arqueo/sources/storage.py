@@ -12,10 +12,15 @@ from pyspark.sql import DataFrame
 def write_shared(df: DataFrame) -> DataFrame:
     """Write to the folder that the session names in spark.checkpoint.dir, and read back.
 
-    Only where the session names none, as in tests, a local temporary folder is used.
+    Only where the session names none and runs on one machine, as in tests, a local temporary folder is
+    used; on a cluster each executor would write to a disk of its own.
     """
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _local_folder()
     path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

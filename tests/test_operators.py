@@ -125,7 +125,10 @@ def test_row_digest(spark):
 @pytest.mark.parametrize(
     "text,cents,extra,rounded",
     [("123", 12300, False, False), ("1.2", 120, False, False), ("1.2300", 123, True, False), ("", 0, False, False), ("1.234", 123, True, True),
-     ("1.235", 124, True, True), ("-1.235", -124, True, True), ("0.30000000000000004", 30, True, True), ("abc", None, False, False), ("1e2", 10000, False, False)],
+     ("1.235", 124, True, True), ("-1.235", -124, True, True), ("0.30000000000000004", 30, True, True), ("abc", None, False, False), ("1e2", 10000, False, False),
+     ("1.0049999999999999999", 100, True, True), ("1.5e-3", 0, True, True), ("1234e-3", 123, True, True), ("12.5e+1", 12500, False, False),
+     ("1.2300e0", 123, True, False), ("-0.005", -1, True, True), (".5", 50, False, False), ("7.", 700, False, False), ("1e-40", 0, True, True),
+     ("123456789012345678901234.565", 12345678901234567890123457, True, True), (None, 0, False, False), (" 1.20 ", 120, False, False), ("NaN", None, False, False)],
 )
 def test_cents(spark, text, cents, extra, rounded):
     r = one(texts(spark, ["t"], [(text,)]).select(exprs.cents("t").alias("c"), exprs.has_extra_digits("t").alias("e"), exprs.requires_rounding("t").alias("r")))
@@ -212,12 +215,12 @@ def test_fetch(tmp_path):
 def test_csv(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_bytes("﻿ID,NAME\n007,\"x, y\"\n\n8\n".encode())
-    df = files.read_text_csv(spark, str(path))
+    df = files.read_text_csv(spark, str(path), encoding="utf-8-sig")
     assert files.header(spark, str(path)) == ["ID", "NAME"]
     rows = {r.ID: (r.NAME, r[files.CORRUPT] is not None) for r in df.cache().collect()}
     assert rows["007"] == ("x, y", False) and rows["8"][1]
     files.write_csv(spark.createDataFrame([("1", None)], "a string, b string"), str(tmp_path / "out"))
-    assert "1," in next((tmp_path / "out").glob("part-*")).read_text()
+    assert "1," in "".join(x.read_text() for x in (tmp_path / "out").glob("part-*"))
     assert files.dictionary_problems(df.select("ID"), ["X"]) == ["header"]
     assert files.dictionary_problems(spark.createDataFrame([("a",), (" a",)], "v string"), ["v"]) == ["repeated a"]
 
@@ -276,3 +279,132 @@ def test_publish_and_catalog(spark, tmp_path):
     catalog.analyze(spark, "layer_x.t")
     assert one(catalog.table_sizes(spark, ["layer_x.t"])).row_count == 7
     spark.sql("DROP DATABASE layer_x CASCADE")
+
+
+def test_encoding_and_splits(spark, tmp_path):
+    path = tmp_path / "latin.csv"
+    path.write_bytes("ID,PAÍS\n1,España\n".encode("latin-1"))
+    assert one(files.read_text_csv(spark, str(path), encoding="latin-1", keep_malformed=False)) == ("1", "España")
+    assert one(files.numbered_records(spark, str(path), "latin-1"))["PAÍS"] == "España"
+    big = tmp_path / "big.csv"
+    big.write_text("ID,NAME\n" + "".join(f"{i},name {i}\n" for i in range(60000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 17))
+    try:
+        assert files.read_text_csv(spark, str(big)).rdd.getNumPartitions() > 3
+        numbered = files.numbered_records(spark, str(big))
+        assert numbered.where(F.col("ID").cast("bigint") + 2 != F.col(files.ROW_NUMBER)).isEmpty()
+        assert numbered.count() == 60000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    folded = tmp_path / "folded.csv"
+    folded.write_text('ID,NAME\n1,"two\nlines"\n')
+    assert one(files.read_text_csv(spark, str(folded), keep_malformed=False, multi_line=True)).NAME == "two\nlines"
+
+
+def test_numbered_records(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    path.write_text('ID,NAME\n1,a\n\n2,"b, c"\n3\n1,a\n')
+    rows = files.numbered_records(spark, str(path)).orderBy(files.ROW_NUMBER).collect()
+    assert [(r[files.ROW_NUMBER], r["_blank"], r.ID, r.NAME, r[files.CORRUPT] is not None) for r in rows] == [
+        (2, False, "1", "a", False), (3, True, None, None, False), (4, False, "2", "b, c", False), (5, False, "3", None, True), (6, False, "1", "a", False)
+    ]
+    assert tuple(one(files.record_counts(files.numbered_records(spark, str(path))))) == (4, 1, 1)
+    found = duplicates.duplicate_rows(files.numbered_records(spark, str(path)).where("not _blank"), ["ID", "NAME"], files.ROW_NUMBER).collect()
+    assert sorted(r[files.ROW_NUMBER] for r in found) == [2, 6] and len({r._row_hash for r in found}) == 1
+
+
+def test_landing_as_one_operation(spark, tmp_path):
+    from arqueo.sources.config import SourceSpec
+
+    remote, local, log = tmp_path / "remote", tmp_path / "local", str(tmp_path / "log")
+    remote.mkdir()
+    (remote / "a.csv").write_bytes(b"x,y\n1,2\n")
+    (remote / "b.csv").write_bytes(b"<!DOCTYPE html><p>error</p>")
+    spec = lambda i, mutable=False: SourceSpec(i, download_url=(remote / f"{i}.csv").as_uri(), mutable=mutable)
+    sources = [spec("a", True), spec("b"), spec("c")]
+
+    def land(force=False):
+        out = landing.land(spark, sources, local, force, tries=1, pause=0)
+        landing.append_manifest(out, log)
+        return {r.source_id: (r.status, r.reason) for r in out.collect()}
+
+    first = land()
+    assert first["a"] == ("success", None) and first["b"] == ("failed", "html") and first["c"][0] == "failed"
+    assert sorted(x.name for x in local.iterdir()) == ["a.csv"]
+    assert land()["a"][0] == "unchanged" and land(force=True)["a"][0] == "refreshed"
+    (remote / "a.csv").write_bytes(b"x,y\n1,3\n")
+    assert land()["a"][0] == "updated"
+    sources[0] = spec("a")
+    assert land()["a"][0] == "skipped_existing"
+    manifests = landing.read_manifests(spark, log)
+    checked = {r.source_id: (r.valid, r.reason) for r in landing.verify(manifests, landing.landed_files(spark, manifests)).collect()}
+    assert checked["a"] == (True, None) and checked["b"] == (False, "status")
+    (local / "a.csv").write_bytes(b"x,y\n1,4\n")
+    checked = {r.source_id: r.reason for r in landing.verify(manifests, landing.landed_files(spark, manifests)).collect()}
+    assert checked["a"] == "hash"
+    (local / "a.csv").unlink()
+    assert {r.source_id: r.reason for r in landing.verify(manifests, landing.landed_files(spark, manifests)).collect()}["a"] == "missing_file"
+
+
+def test_assertions_that_stop_a_load(spark):
+    n = lambda rows: spark.createDataFrame(rows, "year int, n bigint")
+    model.require_counts(n([(1, 2)]), n([(1, 2)]), "year")
+    with pytest.raises(ValueError, match="2: None instead of 1"):
+        model.require_counts(n([(1, 2)]), n([(1, 2), (2, 1)]), "year")
+    model.require_dimension_counts({"d": spark.range(3)}, {"d": 3})
+    with pytest.raises(ValueError, match="d: 3 instead of 4; *e|e is missing; d: 3 instead of 4"):
+        model.require_dimension_counts({"d": spark.range(3)}, {"d": 4, "e": 1})
+    covered = spark.createDataFrame([(1, 2, 0), (2, 3, 1)], "year int, row_count bigint, rows_missing_any bigint")
+    model.require_coverage(covered.where("year = 1"), n([(1, 2)]), "year")
+    with pytest.raises(ValueError, match="2: 1 rows"):
+        model.require_coverage(covered, n([(1, 2), (2, 3)]), "year")
+    keys = spark.createDataFrame([("a", 0, True), ("b", 2, False)], "constraint_name string, orphans bigint, valid boolean")
+    model.require_foreign_keys(keys.where("valid"), 1)
+    with pytest.raises(ValueError, match="2 constraints instead of 8; b: 2 orphans"):
+        model.require_foreign_keys(keys, 8)
+
+
+def test_candidate_keys_share_groups(spark):
+    rows = [("1", "x", "p"), ("1", "x", "q"), ("2", "x", None), ("2", "x", None)]
+    df = texts(spark, ["A", "B", "C"], rows)
+    got = {r.key_name: (r.unique_count, r.group_count, r.extra_rows, r.max_occurrences) for r in duplicates.key_uniqueness(df, {"ab": ["A", "B"], "abc": ["A", "B", "C"], "c": ["C"]}).collect()}
+    assert got == {"ab": (2, 2, 2, 2), "abc": (3, 1, 1, 2), "c": (3, 1, 1, 2)}
+    assert duplicates.sample_key({"maximal": [], "business": []}) == "business" and duplicates.sample_key({"z": [], "y": []}) == "z"
+    with pytest.raises(ValueError, match="unknown key"):
+        duplicates.sample_key({"a": []}, "b")
+
+
+def test_dictionary_review_and_report(spark):
+    known, present = texts(spark, ["column_name"], [("a",), ("b",), ("b",)]), texts(spark, ["column_name"], [("b",), ("c",)])
+    assert tuple(one(profile.dictionary_review(known, present, "h", "h"))) == (1, 1, 1, True, False)
+    assert one(profile.dictionary_review(known, known, "h", "g"))[3:] == (False, True)
+    lines = [r.line for r in files.markdown_report("T", {"One": texts(spark, ["x"], [("a|b",)]), "None": known.limit(0)}).orderBy("position").collect()]
+    assert lines == ["# T", "", "## One", "", "| x |", "| --- |", "| a\\|b |", "## None", "", "No rows.", ""]
+    variables = files.dictionary_variables(texts(spark, ["V"], [(" a",), ("a",), ("",), (None,)]), "V")
+    assert [r.variable for r in variables.collect()] == ["a"]
+
+
+def test_cli_quality_and_samples(spark, tmp_path):
+    from arqueo import cli
+
+    months = [f"MONTO_DEVENGADO_{m.upper()}" for m in contracts.MONTHS]
+    path = tmp_path / "q.csv"
+    path.write_text(",".join(["ANO_EJE", "META_NOMBRE", *months, "MONTO_DEVENGADO_ANUAL"]) + "\n" + ",".join(["2025", "  "] + ["1"] * 12 + ["20"]) + "\n")
+    assert cli.main(["quality", str(path), "--year", "2026", "--report", str(tmp_path / "r")], spark) == 0
+    got = {(r.control, r["item"], r.metric): (r.value, r.status) for r in spark.read.json(str(tmp_path / "r")).collect()}
+    assert got["year", None, "mismatches"] == ("1", "failed") and got["reconciliation", None, "mismatches"] == ("1", "failed")
+    assert got["summary", None, "critical_failed"][0] == "2" and got["blanks", "meta_nombre", "unexpected"] == ("1", "warning")
+    path.write_text("KEY,NAME,MONTO_PIM\n2,b,1\n1,a,2\n\n2,b,1\n1,a ,3\n")
+    assert cli.main(["duplicates", str(path), "--out", str(tmp_path / "d"), "--report", str(tmp_path / "dr")], spark) == 0
+    assert one(spark.read.json(str(tmp_path / "dr"))).blank_records == 1
+    assert spark.read.csv(str(tmp_path / "d"), header=True).count() == 2
+    assert cli.main(["consolidate", str(path), "--key", "key", "--tolerance", "1", "--csv", str(tmp_path / "c")], spark) == 0
+    assert [r.key for r in spark.read.csv(str(tmp_path / "c"), header=True).collect()] == ["2", "1"]
+    words = tmp_path / "dict.csv"
+    words.write_text("VARIABLE\nKEY\nother\n")
+    assert cli.main(["profile", str(path), "--dictionary", str(words), "--report", str(tmp_path / "p")], spark) == 0
+    status = {r.column_name: r.status for r in spark.read.json(str(tmp_path / "p")).collect()}
+    assert status == {"key": "documented", "name": "undocumented", "monto_pim": "undocumented", "other": "dictionary_only"}
+    assert cli.main(["dictionary", str(path), "--dictionary", str(words), "--out", str(tmp_path / "md"), "--report", str(tmp_path / "x")], spark) == 0
+    assert not one(spark.read.json(str(tmp_path / "x"))).exact_schema_match
+    assert cli.main(["audit", str(path), "--measures", "18"], spark) == 1
