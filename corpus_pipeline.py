@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arqueo.llm import bpe, decontaminate, jaccard_join, quality_classifier, quality_rules
-from arqueo.llm.common import materialize, table
+from arqueo.llm.common import Tables, table
 from arqueo.llm.queries import RANKS
 
 
@@ -52,15 +52,18 @@ STAGES = [
     ("byte-level BPE", tokens),
 ]
 
-#: Classification, weak supervision and tokenizing are beyond SQL; tests/llm has brute-force versions.
+#: Classification, weak supervision and tokenizing are beyond SQL; tests/llm checks each stage by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of ``sf_dir``; a stage's input goes once its output is written."""
+    docs, tables, before = table(spark, sf_dir, "documents"), Tables(spark), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = materialize(docs)
+            docs = tables.write(docs)
+            if before is not None:
+                tables.drop(before)
+            before = docs
     return docs
