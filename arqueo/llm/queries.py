@@ -110,6 +110,22 @@ ORACLES: dict[str, str] = {
         )
         SELECT page_id, url, text, length(text) AS n_chars FROM spaced
     """,
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0b\x0c\r]+', ' ', 'g'), ' '), lambda x: x <> '') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS s FROM w WHERE len(w) > 0
+        ), size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        near AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), edge AS (
+            SELECT u, v FROM near JOIN size x ON x.doc_id = u JOIN size y ON y.doc_id = v WHERE 100 * c >= 90 * (x.n + y.n - c)
+        ), reach AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT e.v, r.root FROM reach r JOIN edge e ON e.u = r.id),
+        least AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+        FROM documents d LEFT JOIN size USING (doc_id) JOIN least ON least.id = d.doc_id
+    """,
     "op9_decontamination": f"""
         WITH d AS ({_SHINGLES.format(id='doc_id', table='documents')}),
         b AS ({_SHINGLES.format(id='item_id', table='benchmark')}),

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arqueo.llm import bpe, chat, components, decontaminate, jaccard_join, page_text
-from arqueo.llm import quality_classifier, quality_rules, token_counts, token_files, toxicity, zdict
+from arqueo.llm import quality_classifier, quality_rules, queries, token_counts, token_files, toxicity, zdict
 from arqueo.llm.hashing import doc_shingles
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -118,7 +118,7 @@ def brute_components(rows, k, num, den):
 def test_jaccard_components(spark, k, num, den):
     rng = random.Random(k)
     words = [f"w{i}" for i in range(200)]
-    rows = [(i, t) for i, t in ODD if i is not None and len(t or "") < 1000]
+    rows = [(i, t) for i, t in ODD if i is not None]
     for g in range(6):
         base = [rng.choice(words) for _ in range(rng.randint(20, 150))]
         for _ in range(12):
@@ -219,7 +219,7 @@ def test_window_minima_cover():
 
 def test_rule_counts(spark):
     rng = random.Random(8)
-    texts = [(i, t) for i, t in ODD if len(t or "") < 2000]
+    texts = [*ODD, (40, "many words of one line and then some # " * 5000), (41, "\n".join(f"line {i % 700}" for i in range(20000)))]
     texts += [(50 + i, "".join(rng.choice(["a ", "b ", "c\n", "é# ", "D$ "]) for _ in range(rng.randint(0, 60)))) for i in range(60)]
     got = quality_rules.judge(frame(spark, texts)).collect()
     want = collections.Counter()
@@ -364,7 +364,8 @@ def test_token_count_histogram(spark):
         assert token_counts.truncated_total(limits, limit).first().tokens == sum(min(x, limit) for x in lengths)
     assert token_counts.quantile(limits, 0.5).first().n_tokens == 3
     counted = token_counts.lengths(frame(spark, ODD), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
-    assert counted.count() == len(ODD)
+    flat = bpe.codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)._flat
+    assert sorted(r.n_tokens for r in counted.collect()) == sorted(len(flat.encode_ordinary(t or "")) for _, t in ODD)
     assert token_counts.by_limit(token_counts.histogram(counted.limit(0))).count() == 0
 
 
@@ -477,15 +478,107 @@ def test_repeated_tokens_brute():
             assert got[p].tolist() == want
 
 
+D = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["op4_chat_format", "op6_page_text", "op7_jaccard_join", "op9_decontamination"])
+def test_queries_with_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{D}/{t}.parquet'")
+    got = queries.QUERIES[name](spark, D)
+    columns = sorted(got.columns)
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({queries.ORACLES[name]})").fetchall()
+    assert collections.Counter(tuple(r) for r in got.select(*columns).collect()) == collections.Counter(want)
+
+
+def test_queries_with_libraries(spark):
+    """op1, op2 and op8 on whole given tables, against the libraries' own encoding."""
+    from tokenizers import Tokenizer
+
+    rows = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{D}/documents.parquet").select("doc_id", "text").collect())
+    flat = bpe.codec(P.path(queries.RANKS), P.PATTERN)._flat
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    coded = {i: flat.encode_ordinary(t) for i, t in rows}
+    want = sorted((i, len(coded[i]), sha(",".join(map(str, coded[i])).encode()), sha(t.encode())) for i, t in rows)
+    assert sorted(tuple(r) for r in queries.op1_byte_bpe(spark, D).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()) == want
+    library, start, want = Tokenizer.from_file(P.path(queries.WORD_BPE)), 0, []
+    for i, t in rows:
+        ids = library.encode(t, add_special_tokens=False).ids + [2]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in queries.op2_token_files(spark, D).select("doc_id", "start", "n_tokens", "ids_crc32").collect()) == want
+    sizes = [len(x) for x in coded.values()]
+    got = {r.n_tokens: (r.n_docs, r.docs_at_least, r.tokens_at_least, r.truncated_tokens) for r in queries.op8_token_counts(spark, D).collect()}
+    assert got == {
+        n: (sizes.count(n), sum(x >= n for x in sizes), sum(x for x in sizes if x >= n), sum(min(x, n) for x in sizes)) for n in set(sizes)
+    }
+
+
+def test_queries_that_learn(spark):
+    """op3, op5 and op10 return every document, and op3 and op5 do well on held-out labels."""
+    d = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    n = spark.read.parquet(f"{d}/documents.parquet").count()
+    for query, label, least in ((queries.op3_toxicity, "toxic", 0.93), (queries.op5_quality_classifier, "quality", 0.95)):
+        rows = query(spark, d).collect()
+        held = [(r.predicted, labels[r.doc_id][label]) for r in rows if r.held_out and r.doc_id in labels]
+        assert len(rows) == n and sum(p == y for p, y in held) >= least * len(held)
+    rows = queries.op10_quality_rules(spark, d).collect()
+    assert len(rows) == n and not any(r.kept and r.base_failed for r in rows)
+    assert all(r.kept == (not r.base_failed and r.quality_probability >= 0.5) for r in rows)
+
+
 def test_pipeline_stages(spark):
+    """Each stage against what it should drop, on given documents with odd rows and clashing columns."""
     import corpus_pipeline
 
-    d = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{d}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, d)
+    docs = spark.read.parquet(f"{D}/documents.parquet").withColumn("set_id", F.lit("s")).withColumn("kept", F.lit("k"))
+    some = docs.limit(5).collect()
+    base = dict(lang="en", source="s", n_chars=1, set_id=None, kept="x")
+    odd = [{**base, "doc_id": i and i + 100000, "text": t} for i, t in [*ODD, (None, None), (None, "")]]
+    docs = docs.unionByName(spark.createDataFrame([*odd, *(r.asDict() for r in some)], docs.schema))
+    labels = spark.read.parquet(f"{D}/labels.parquet")
+    items = [r.text for r in spark.read.parquet(f"{D}/benchmark.parquet").collect()]
+
+    def item_share(text, item):
+        cut = lambda t: re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", " ", (t or "").lower()).split()
+        s, d = ({tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set() for w in (cut(item), cut(text)))
+        return len(s & d) / len(s) if s else 0
+
+    for (name, stage), column in zip(corpus_pipeline.STAGES[:-1], ("predicted = 1", "kept", None, None), strict=True):
+        out = stage(spark, docs, D)
         assert out.columns == docs.columns, name
-        rows, before = out.collect(), collections.Counter(docs.collect())
-        assert rows and not collections.Counter(rows) - before, name
-        docs = spark.createDataFrame(rows, docs.schema)
-    assert 0 < corpus_pipeline.STAGES[-1][1](spark, docs, d).count() == docs.count()
+        rows, before = out.collect(), docs.collect()
+        assert rows and not collections.Counter(rows) - collections.Counter(before), name
+        if name == "quality classifier":
+            want = quality_classifier.score(docs, quality_classifier.fit(docs, labels)).where(column).count()
+            assert len(rows) == want
+        if name == "quality rules":
+            assert len(rows) == quality_rules.judge(docs, keep=["doc_id"]).where(column).count()
+        if name == "n-gram Jaccard join":
+            known = [(r.doc_id, r.text) for r in before if r.doc_id is not None]
+            least = {c for _, _, c in brute_components(known, 5, 4, 5)}
+            assert {r.doc_id for r in rows if r.doc_id is not None} == least
+            assert len([r for r in rows if r.doc_id is not None]) == len(least)
+            assert sum(r.doc_id is None for r in rows) == sum(r.doc_id is None for r in before)
+        if name == "benchmark decontamination":
+            want = [r for r in before if not any(item_share(r.text, x) >= 0.8 for x in items)]
+            assert collections.Counter(rows) == collections.Counter(want)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, D).collect()
+    flat = bpe.codec(P.path(queries.RANKS), P.PATTERN)._flat
+    want = collections.Counter((r.doc_id, tuple(flat.encode_ordinary(r.text or ""))) for r in docs.collect())
+    assert want and collections.Counter((r.doc_id, tuple(r.ids)) for r in last) == want
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, D).count() == 0
+
+
+def test_pipeline_run(spark):
+    import corpus_pipeline
+
+    out = corpus_pipeline.run(spark, D)
+    assert 0 < out.count() < spark.read.parquet(f"{D}/documents.parquet").count()
+    assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
