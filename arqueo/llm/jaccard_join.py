@@ -39,10 +39,10 @@ BEST_PIVOTS = 3
 
 
 def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.ndarray:
-    """How many documents' shingles fall into each of 2 ** bits places.
+    """How many documents' shingles fall into each of 2 ** bits places, on a logarithmic scale.
 
     Every task sends its counts in rows of 1024 places; partial sums meet by row. The table's size
-    is fixed, so the driver and each worker hold 4 bytes * 2 ** bits whatever the corpus.
+    is fixed: a worker gets 2 ** bits bytes whatever the corpus, the driver holds a few times as much.
     """
     places = 1 << bits
 
@@ -52,8 +52,8 @@ def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.nd
             items = texts(batch.column("text"))
             for a, b in grouped(items, 1 << 22):
                 found = [s for x, y in grouped(items[a:b]) for s in doc_shingles(items[a + x : a + y], words)]
-                at = (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
-                total += np.bincount(at, minlength=places).astype(np.uint32)
+                at, n = np.unique((np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int32), return_counts=True)
+                total[at] += n.astype(np.uint32)
         # A byte for each place; what is beyond it follows in further rows.
         left = total.reshape(-1, _ROW)
         numbers = np.arange(len(left))
@@ -84,7 +84,7 @@ def shingle_counts(docs: DataFrame, words: int, bits: int = COUNT_BITS) -> np.nd
         rows = partial.repartition("row").mapInArrow(add, schema).collect()
     for r in rows:
         out[r["row"]] = np.frombuffer(r["counts"], np.uint32)
-    return out.reshape(-1)
+    return np.minimum(255, 8 * np.log2(1.0 + out.reshape(-1))).astype(np.uint8)
 
 
 def prefix_size(n: int, num: int, den: int) -> int:
