@@ -59,16 +59,16 @@ def messages(log: DataFrame) -> DataFrame:
     counted = rows.withColumn("number", F.sum(F.when(F.col("kind") == "message", 1).otherwise(0)).over(so_far))
     # Each replacing event starts a new version; the last version's pieces are the final text.
     versioned = counted.withColumn("version", F.sum(F.when(F.col("kind") == "delta", 0).otherwise(1)).over(so_far))
-    pieces = versioned.withColumn("place", F.row_number().over(in_order))
-    piece = F.struct("version", "place", "role", "text")
-    final = pieces.groupBy("conv_id", "number").agg(
-        F.array_sort(F.collect_list(piece)).alias("pieces"), F.max("version").alias("version")
+    placed = versioned.withColumn("place", F.row_number().over(in_order))
+    of_message = Window.partitionBy("conv_id", "number").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = placed.withColumn("last", F.max("version").over(of_message)).withColumn("role", F.first("role").over(of_message))
+    piece = F.struct("place", "text")
+    final = last.where("version = last").groupBy("conv_id", "number").agg(
+        F.array_sort(F.collect_list(piece)).alias("pieces"), F.min("role").alias("role")
     )
-    kept = F.filter("pieces", lambda x: x["version"] == F.col("version"))
     return final.select(
-        "conv_id", "number", F.col("pieces")[0]["role"].alias("role"),
-        F.array_join(F.transform(kept, lambda x: x["text"]), "").alias("text"),
-    )
+        "conv_id", "number", "role", F.array_join(F.transform("pieces", lambda x: x["text"]), "").alias("text")
+    )
 
 
 def render(final: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
