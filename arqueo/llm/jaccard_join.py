@@ -366,7 +366,6 @@ def _labelled(
     entries = tables.write(_entries(docs, words, num, den, counts, extra))
     counts.destroy()
     full = entries.where("n > 0")
-    firsts = full.groupBy("set_id").agg(F.min("doc_id").alias("first"))
     tokens = full.select(F.explode("prefix").alias("token"))
     shared = tables.write(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"))
     places = spark.sparkContext.broadcast(bit_array(shared, F.col("token")))
@@ -374,6 +373,11 @@ def _labelled(
     placed = tables.write(_passing(full, places).join(shared, "token").distinct())
     places.destroy()
     tables.drop(shared)
+    # The prefixes have been read; they are most of the entries.
+    lean = tables.write(entries.drop("prefix"))
+    tables.drop(entries)
+    entries, full = lean, lean.where("n > 0")
+    firsts = full.groupBy("set_id").agg(F.min("doc_id").alias("first"))
     index = tables.write(placed.join(_several(placed, "token", "group_id"), "token"))
     tables.drop(placed)
     wanted = index.select("group_id").unionByName(_several(full, "group_id", "set_id")).distinct()
