@@ -213,6 +213,11 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int) -> TokenFiles:
     ids; null doc_ids come first. Other columns are ignored; an empty table gives files without
     blocks. The ids are encoded once and kept in the shared folder while they are counted.
     """
+    with job_settings(docs.sparkSession):
+        return _write(docs, tokenizer_path, end_id)
+
+
+def _write(docs: DataFrame, tokenizer_path: str, end_id: int) -> TokenFiles:
     spark = docs.sparkSession
     enc = encoder(tokenizer_path)
     dtype = enc.dtype
