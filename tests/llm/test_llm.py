@@ -143,6 +143,19 @@ def test_jaccard_hub(spark):
     assert sorted(map(tuple, jaccard_join.components(frame(spark, rows)).collect())) == brute_components(rows, 3, 9, 10)
 
 
+def test_jaccard_hot_shingles(spark, monkeypatch):
+    """One passage in all texts, most of which link with nothing; pivots' pairs dealt over several parts."""
+    monkeypatch.setattr(jaccard_join, "PART_PAIRS", 3)
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for i in range(150):
+        own = [f"o{i}_{j}" for j in range(rng.choice((0, 1, 2, 3, 20)))]
+        rows.append((i, " ".join([*own, *passage] if rng.random() < 0.5 else [*passage, *own])))
+    rows += [(200 + i, rows[i][1]) for i in range(20)] + [(200, rows[3][1]), (201, "p0 p1 p2")]
+    assert sorted(map(tuple, jaccard_join.components(frame(spark, rows)).collect())) == brute_components(rows, 3, 9, 10)
+
+
 def test_one_of_each(spark):
     rows = [(3, "a b c d e f g"), (1, "a b c d e f g"), (2, "other words are here now"), (None, "a b c d e f g"), (4, None), (4, None)]
     kept = jaccard_join.one_of_each(frame(spark, rows))
@@ -352,6 +365,27 @@ def test_chat_events_fold(spark):
     assert chat.digest(out.limit(0)).count() == 0
 
 
+def test_chat_long_conversations_and_texts(spark):
+    schema = "conv_id bigint, turn bigint, seq bigint, kind string, role string, text string"
+    rng = random.Random(13)
+    log, want = [], {}
+    for conv, n in ((1, 3000), (2, 1), (3, 40)):
+        turns = []
+        for t in range(n):
+            role, text = ("assistant" if t % 2 else "user"), "".join(rng.choice("a#\\</turn>é ") for _ in range(20))
+            if conv == 3 and t == 5:
+                text *= 20000
+            log.append((conv, t, 0, "message", role, "draft " * 50 if t % 3 else text))
+            if t % 3:
+                log += [(conv, t, 1, "delta", role, "more"), (conv, t, 2, "edit", role, text[:9]), (conv, t, 3, "delta", role, text[9:])]
+            turns.append((role, text))
+        want[conv] = turns
+    rng.shuffle(log)
+    for r in chat.read_back(chat.render(chat.messages(spark.createDataFrame(log, schema)))).collect():
+        assert [tuple(t) for t in r.turns] == want[r.conv_id]
+        assert r.loss_text == "".join(t for role, t in want[r.conv_id] if role == "assistant")
+
+
 def test_token_count_histogram(spark):
     lengths = [0, 0, 3, 3, 3, 300, 5000, 5001, 70000]
     limits = token_counts.by_limit(token_counts.histogram(spark.createDataFrame([(x,) for x in lengths], "n_tokens bigint")))
