@@ -114,3 +114,11 @@ def year_end_share(monthly: DataFrame, keys: list[str], first_month: int = 11) -
     late = F.sum(F.when(F.col("month") >= first_month, F.col("amount")).otherwise(0))
     by = monthly.groupBy(*keys).agg(late.cast(TOTAL).alias("late"), total("amount").alias("annual"))
     return by.withColumn("share", safe_ratio("late", "annual"))
+
+
+def or_message(df: DataFrame, message: str) -> DataFrame:
+    """``df`` with a column ``message``, null in its rows; a selection without rows gives one row that says so."""
+    rows = df.withColumn("message", F.lit(None).cast("string"))
+    found = df.limit(1).agg(F.count(F.lit(1)).alias("_n")).where("_n = 0")
+    nothing = found.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields], F.lit(message).alias("message"))
+    return rows.unionByName(nothing)

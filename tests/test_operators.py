@@ -408,3 +408,19 @@ def test_cli_quality_and_samples(spark, tmp_path):
     assert cli.main(["dictionary", str(path), "--dictionary", str(words), "--out", str(tmp_path / "md"), "--report", str(tmp_path / "x")], spark) == 0
     assert not one(spark.read.json(str(tmp_path / "x"))).exact_schema_match
     assert cli.main(["audit", str(path), "--measures", "18"], spark) == 1
+
+
+def test_empty_selection_has_an_answer(spark):
+    df = spark.createDataFrame([(1, "a")], "x int, y string")
+    assert [tuple(r) for r in marts.or_message(df, "no data").collect()] == [(1, "a", None)]
+    assert [tuple(r) for r in marts.or_message(df.where("x > 1"), "no data").collect()] == [(None, None, "no data")]
+
+
+def test_approximate_statistics(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    exact = {r.column_name: r for r in profile.column_statistics(lines, columns).collect()}
+    for r in profile.column_statistics(lines, columns, approximate=True).collect():
+        want = exact[r.column_name]
+        assert abs(r.distinct_values - want.distinct_values) <= 0.15 * want.distinct_values
+        assert (r.null_percent, r.average_bytes) == (want.null_percent, want.average_bytes)
