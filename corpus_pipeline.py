@@ -7,6 +7,8 @@ of documents; the last returns the token ids.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +18,21 @@ from arqueo.llm.common import Tables, table
 from arqueo.llm.queries import RANKS
 
 
+def _kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], condition: str) -> DataFrame:
+    """The rows of ``docs`` that meet a condition on what ``judge`` adds, whatever their columns' names."""
+    own = docs.toDF(*[c if c in ("doc_id", "text") else f"own_{i}" for i, c in enumerate(docs.columns)])
+    return judge(own).where(condition).select(own.columns).toDF(*docs.columns)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the compression classifier takes for good ones."""
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_classifier.score(docs, model).where("predicted = 1").select(docs.columns)
+    return _kept(docs, lambda own: quality_classifier.score(own, model), "predicted = 1")
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the weakly supervised rules keep."""
-    return quality_rules.judge(docs).where("kept").select(docs.columns)
+    return _kept(docs, quality_rules.judge, "kept")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
