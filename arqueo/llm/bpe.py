@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -123,8 +123,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str]) -> D
     """``keep`` columns of ``docs`` and ``ids`` (array<int>), the tokens of the whole ``text``.
 
     A null or empty text has no ids. Rows are independent: ties and repeated rows are encoded
-    alike, other columns are left out. A text is processed whole whatever its length.
+    alike, other columns are left out, and one of ``keep`` named ids is replaced. A text is
+    processed whole whatever its length.
     """
+    keep = [c for c in keep if c != "ids"]
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "ids array<int>"])
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -54,6 +54,9 @@ def test_bpe_round_trip_frame(spark):
         ids = flat.encode_ordinary(t or "")
         want[i, len(ids), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())] += 1
     assert got == want
+    clash = frame(spark, ODD).withColumn("ids", F.lit("x"))
+    kept = bpe.encode(clash, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, ["doc_id", "ids"]).collect()
+    assert collections.Counter((r.doc_id, len(r.ids)) for r in kept) == collections.Counter((i, n) for i, n, _, _ in got.elements())
     empty = frame(spark, [])
     assert bpe.encode(empty, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, ["doc_id"]).count() == 0
 
