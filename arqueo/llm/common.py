@@ -138,30 +138,30 @@ def fold_of(doc_id: Column) -> Column:
 FILTER_BITS = 23
 
 
-def bit_words(keys: DataFrame, key: Column) -> DataFrame:
-    """word, bits: a bit table of fixed size in which the place of each key (bigint) is set. It has at
-    most 2 ** (FILTER_BITS - 6) rows, however many keys there are."""
+def bit_words(keys: DataFrame, key: Column, size: int = FILTER_BITS) -> DataFrame:
+    """word, bits: a bit table of 2 ** size places in which the place of each key (bigint) is set. It has
+    at most 2 ** (size - 6) rows, however many keys there are."""
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), key.bitwiseAND(F.lit(63)).cast("int"))
-    return keys.groupBy(_word(key)).agg(F.bit_or(bit).alias("bits"))
+    return keys.groupBy(_word(key, size)).agg(F.bit_or(bit).alias("bits"))
 
 
-def bit_array(keys: DataFrame, key: Column) -> np.ndarray:
+def bit_array(keys: DataFrame, key: Column, size: int = FILTER_BITS) -> np.ndarray:
     """The bit table of :func:`bit_words` as an array, for :func:`in_bits`."""
     with job_settings(keys.sparkSession):
-        words = bit_words(keys, key).toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+        words = bit_words(keys, key, size).toArrow()
+    out = np.zeros(1 << (size - 6), np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out
 
 
 def in_bits(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the keys (int64) have their place set."""
-    place = keys & ((1 << FILTER_BITS) - 1)
+    place = keys & (64 * len(table) - 1)
     return (table[place >> 6] >> (place & 63)) & 1 > 0
 
 
-def _word(key: Column) -> Column:
-    return F.shiftright(key.bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6).cast("int").alias("word")
+def _word(key: Column, size: int = FILTER_BITS) -> Column:
+    return F.shiftright(key.bitwiseAND(F.lit((1 << size) - 1)), 6).cast("int").alias("word")
 
 
 def parted(rows: DataFrame, key: str, words: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -48,10 +48,10 @@ def _segments(space: np.ndarray):
         start = end
 
 
-def word_hashes(buf: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Start offset and hash of each word of ``buf`` (uint8)."""
+def word_hashes(buf: np.ndarray, lower: bool = False, is_space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start offset and hash of each word of ``buf`` (uint8); ``is_space`` tells which bytes part words."""
     starts_all, hashes_all = [], []
-    space_all = IS_SPACE[buf]
+    space_all = is_space[buf]
     for a, b in _segments(space_all):
         part, space = buf[a:b], space_all[a:b]
         first = ~space
