@@ -80,8 +80,6 @@ def run_quality(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 def run_duplicates(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     """The summary of equal rows with blank and malformed records; with --out, samples of them."""
-    if a.multi_line:
-        return duplicates.duplicate_summary(_read(spark, a, keep_malformed=True).drop(files.CORRUPT))
     records = files.numbered_records(spark, a.path, a.encoding)
     rows = records.where("not _blank")
     names = [c for c in rows.columns if c not in (files.ROW_NUMBER, "_blank", files.CORRUPT)]
@@ -105,17 +103,23 @@ def run_grain(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def run_consolidate(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    """Consolidate; --out gets Parquet, --csv a CSV in the order of first rows."""
-    df = _lower(_read(spark, a))
+    """Consolidate from one scan; --out gets Parquet, --csv a CSV in the order of first rows."""
+    if a.csv:
+        numbered = _lower(files.numbered_records(spark, a.path, a.encoding)).where(f"not _blank and {files.CORRUPT} is null")
+        df = numbered.drop("_blank", files.CORRUPT)
+    else:
+        df = _lower(_read(spark, a))
+    names = [c for c in df.columns if c != files.ROW_NUMBER]
     key = tuple(a.key.split(",")) if a.key else contracts.BUSINESS_KEY
-    grain = consolidate.Grain(key, tuple(contracts.measures_of(df.columns)))
-    out = consolidate.run(df, grain, a.tolerance)
+    grain = consolidate.Grain(key, tuple(contracts.measures_of(names)))
+    loaded = consolidate.load(df, grain, a.tolerance, files.ROW_NUMBER if a.csv else None)
     if a.out:
-        files.write_table(out, a.out)
+        files.write_table(loaded.rows.drop(files.ROW_NUMBER), a.out)
     if a.csv:
-        numbered = _lower(files.numbered_records(spark, a.path, a.encoding)).where(f"not _blank and {files.CORRUPT} is null")
-        files.write_csv(consolidate.in_first_order(out, numbered.drop("_blank", files.CORRUPT), grain, files.ROW_NUMBER).select(df.columns), a.csv)
-    return consolidate.reduction_report(consolidate.normalise(df, grain), grain)
+        files.write_csv(loaded.rows.select(*names, files.ROW_NUMBER), a.csv, [files.ROW_NUMBER], [files.ROW_NUMBER])
+    report = loaded.report()
+    loaded.remove()
+    return report
 
 
 def run_audit(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -164,7 +168,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--sample-rows", type=int, default=1000)
     p.add_argument("--tolerance", default="0.01")
     p.add_argument("--encoding", default="UTF-8")
-    p.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
+    p.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks (duplicates and CSV outputs look for them anyway)")
     p.add_argument("--year", type=int)
     p.add_argument("--measures", type=int, help="how many amount columns there must be")
     p.add_argument("--dictionary")

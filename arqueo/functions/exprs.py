@@ -31,69 +31,82 @@ def is_blank(c: Column | str) -> Column:
     return c.isNotNull() & (F.regexp_replace(c, r"(?U)\s+", "") == "")
 
 
-#: A decimal number, with an exponent or without.
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
-#: A text of so many characters has no digit beyond the 18th decimal that matters for its cents.
-_SHORT = 18
-
-
-def decimal_parts(c: Column | str) -> Column:
-    """struct(whole, fraction): the digits before and after the point, an exponent resolved; null if
-    the text is blank or no number."""
-    text = F.lower(clean_text(c))
-    body = F.regexp_replace(F.substring_index(text, "e", 1), r"^[+-]", "")
-    whole = F.substring_index(body, ".", 1)
-    fraction = F.when(F.contains(body, F.lit(".")), F.substring_index(body, ".", -1)).otherwise("")
-    # The point moves by the exponent, over zeros where the digits end.
-    point = F.length(whole) + F.substring_index(text, "e", -1).try_cast("int")
-    digits = F.concat(whole, fraction)
-    before = F.repeat(F.lit("0"), F.greatest(1 - point, F.lit(0)))
-    padded = F.concat(before, digits, F.repeat(F.lit("0"), F.greatest(point - F.length(digits), F.lit(0))))
-    at = F.greatest(point, F.lit(1))
-    moved = F.struct(F.substr(padded, F.lit(1), at).alias("whole"), F.substr(padded, at + 1).alias("fraction"))
-    plain = F.struct(whole.alias("whole"), fraction.alias("fraction"))
-    return F.when(F.regexp_like(text, F.lit(_NUMBER)), F.when(F.contains(text, F.lit("e")), moved).otherwise(plain))
+#: A decimal number in ASCII digits, with an exponent of three digits at most or without.
+_NUMBER = r"(?U)^\s*([+-]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?0*[0-9]{1,3})?)\s*\z"
+#: Amounts of 34 digits before the point fit, so cents fit 38 digits.
+WIDEST = "decimal(36,2)"
+
+
+def number_text(c: Column | str) -> Column:
+    """The text of a number without white space around it; null if it is none, or blank.
+
+    A cast that fails costs much more than one of null, so texts that are no numbers should meet none.
+    """
+    return F.nullif(F.regexp_extract(_column(c), _NUMBER, 1), F.lit(""))
+
+
+def is_empty(c: Column | str) -> Column:
+    """Null, or nothing but white space."""
+    c = _column(c)
+    return c.isNull() | F.regexp_like(c, F.lit(r"(?U)^\s*\z"))
+
+
+def _zero_if_blank(c: Column | str) -> Column:
+    return F.when(is_empty(c), F.lit(0))
 
 
 def cents(c: Column | str) -> Column:
-    """Whole cents as decimal(38,0), exact whatever the number of digits, halves away from zero.
+    """Whole cents as decimal(38,0), exact whatever the digits after the point, halves away from zero.
 
-    Blank is 0; what is no number, or beyond 38 digits, is null.
+    Blank is 0; what is no number, or has more than 34 digits before the point, is null.
     """
-    text = clean_text(c)
-    short = (text.try_cast("decimal(38,18)").cast("decimal(36,2)") * 100).cast("decimal(38,0)")
-    parts = decimal_parts(c)
-    fraction = F.rpad(parts["fraction"], 3, "0")
-    size = F.concat(parts["whole"], F.substring(fraction, 1, 2)).try_cast("decimal(38,0)")
-    size = size + F.when(F.substring(fraction, 3, 1) >= "5", 1).otherwise(0)
-    exact = (F.when(text.startswith("-"), -size).otherwise(size)).try_cast("decimal(38,0)")
-    return F.when(text.isNull(), F.lit(0).cast("decimal(38,0)")).when(F.length(text) <= _SHORT, short).otherwise(exact)
+    whole = (number_text(c).try_cast(WIDEST) * 100).cast("decimal(38,0)")
+    return F.coalesce(whole, _zero_if_blank(c).cast("decimal(38,0)"))
 
 
 def parse_amount(c: Column | str) -> Column:
-    """Exact amount, halves away from zero; blank is 0, anything else that is no number is null."""
-    return (cents(c) * F.lit("0.01").cast("decimal(2,2)")).try_cast(AMOUNT)
+    """Exact amount, halves away from zero; blank is 0, what is no number or doesn't fit is null."""
+    return F.coalesce(number_text(c).try_cast(AMOUNT), _zero_if_blank(c).cast(AMOUNT))
 
 
 def is_bad_amount(c: Column | str) -> Column:
-    """Not blank, and no number."""
-    text = clean_text(c)
-    return text.isNotNull() & ~F.regexp_like(text, F.lit(_NUMBER))
+    """Not blank, and no number that fits an amount: exactly where :func:`parse_amount` is null."""
+    return parse_amount(c).isNull()
+
+
+def _decimals(number: Column) -> Column:
+    """How many digits after the point a number's text has, its exponent resolved; zeros at the end count."""
+    exponent = F.nullif(F.regexp_extract(number, "[eE](.*)", 1), F.lit("")).cast("int")
+    return F.length(F.regexp_extract(number, r"\.([0-9]*)", 1)) - F.coalesce(exponent, F.lit(0))
+
+
+def _end_zeros(number: Column) -> Column:
+    """How many zeros end the digits of a number's text."""
+    return F.length(F.replace(F.regexp_extract(number, r"([0.]*+)(?:[eE].*)?\z", 1), F.lit("."), F.lit("")))
+
+
+def extra_digits_of(number: Column) -> Column:
+    """Whether more than two digits follow the point of a :func:`number_text`; only exponents need arithmetic."""
+    scientific = number.contains("e") | number.contains("E")
+    found = F.when(scientific, _decimals(number) > 2).otherwise(F.regexp_like(number, F.lit(r"\.[0-9]{3}")))
+    return F.coalesce(found, F.lit(False))
 
 
-def fraction_digits(c: Column | str) -> Column:
-    """The digits after the point of a number, or empty."""
-    return F.coalesce(decimal_parts(c)["fraction"], F.lit(""))
+def rounding_of(number: Column) -> Column:
+    """Whether a digit beyond the second after the point of a :func:`number_text` is not zero."""
+    scientific = number.contains("e") | number.contains("E")
+    beyond = (_decimals(number) - _end_zeros(number) > 2) & F.regexp_like(number, F.lit("^[^eE]*[1-9]"))
+    return F.coalesce(F.when(scientific, beyond).otherwise(F.regexp_like(number, F.lit(r"\.[0-9]{2,}[1-9]"))), F.lit(False))
 
 
 def has_extra_digits(c: Column | str) -> Column:
-    """Whether more than two digits follow the point."""
-    return F.length(fraction_digits(c)) > 2
+    """Whether more than two digits follow the point of the amount."""
+    return extra_digits_of(number_text(c))
 
 
 def requires_rounding(c: Column | str) -> Column:
-    """Whether a digit beyond the second is not zero."""
-    return F.regexp_like(fraction_digits(c), F.lit(r"^\d\d\d*[1-9]"))
+    """Whether a digit beyond the second after the point of the amount is not zero."""
+    return rounding_of(number_text(c))
 
 
 def format_cents(c: Column | str) -> Column:

@@ -2,41 +2,54 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arqueo.functions.exprs import cents, format_cents, has_extra_digits, is_bad_amount, requires_rounding
-from arqueo.operators.profile import _tidy
+from arqueo.contracts import TOTAL
+from arqueo.functions.exprs import WIDEST, extra_digits_of, is_empty, number_text, rounding_of
+
+
+def unpivoted(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """column_name, value and the kept columns: a row for each amount text.
+
+    So that a text is parsed by one expression however many columns there are; one expression for
+    each column makes more code than the JVM compiles.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns])
+    return df.select(*keep, F.inline(pairs))
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """Rows of :func:`unpivoted` with amount, extra_digits, rounded and invalid; a number's text is found once."""
+    found = rows.withColumn("number", number_text("value")).withColumn("amount", F.col("number").try_cast(WIDEST))
+    return found.select(
+        *rows.columns, "amount", extra_digits_of(F.col("number")).alias("extra_digits"), rounding_of(F.col("number")).alias("rounded"),
+        (F.col("amount").isNull() & ~is_empty("value")).alias("invalid"),
+    )
 
 
 def audit(df: DataFrame, columns: list[str], expected: int | None = None) -> DataFrame:
     """column_name, total, extra_digits, rounded, invalid of each column of amount texts.
 
-    With ``expected``, another number of columns is an error.
+    Invalid are texts that are no numbers, or have more than 34 digits before the point; they are not
+    in the total, and have no extra digits but for numbers. With ``expected``, another number of
+    columns is an error.
     """
     if expected is not None and len(columns) != expected:
         raise ValueError(f"{expected} amount columns are needed, found {len(columns)}")
-    metrics = {
-        c: {
-            "cents": F.coalesce(F.sum(cents(c)), F.lit(0)).cast("decimal(38,0)"),
-            "extra_digits": F.count_if(has_extra_digits(c)),
-            "rounded": F.count_if(requires_rounding(c)),
-            "invalid": F.count_if(is_bad_amount(c)),
-        }
-        for c in columns
-    }
-    return _tidy(df, metrics).select("column_name", format_cents("cents").alias("total"), "extra_digits", "rounded", "invalid")
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    summed = _judged(unpivoted(df, columns)).groupBy("column_name").agg(
+        F.sum("amount").cast(TOTAL).alias("total"), F.count_if("extra_digits").alias("extra_digits"),
+        F.count_if("rounded").alias("rounded"), F.count_if("invalid").alias("invalid"),
+    )
+    filled = names.join(summed, "column_name", "left").na.fill(0, ["extra_digits", "rounded", "invalid"])
+    total = F.coalesce(F.col("total"), F.lit(0).cast(TOTAL)).cast("string")
+    return filled.select("column_name", total.alias("total"), "extra_digits", "rounded", "invalid")
 
 
 def rounding_samples(df: DataFrame, columns: list[str], row_number: str, n: int = 5) -> DataFrame:
-    """column_name, row_number, value: the first n values of each column that need rounding."""
-    parts = [
-        df.where(requires_rounding(c)).select(F.lit(c).alias("column_name"), F.col(row_number).alias("row_number"), F.col(c).alias("value"))
-        .orderBy("row_number", "value").limit(n)
-        for c in columns
-    ]
-    found = reduce(DataFrame.unionByName, parts)
-    place = F.row_number().over(Window.partitionBy("column_name").orderBy("row_number", "value"))
-    return found.withColumn("place", place.cast("bigint"))
+    """column_name, row_number, value, place: the first n values of each column that need rounding, from one scan."""
+    rows = _judged(unpivoted(df, columns, (row_number,))).where("rounded")
+    place = F.row_number().over(Window.partitionBy("column_name").orderBy(row_number, "value"))
+    found = rows.withColumn("place", place.cast("bigint")).where(F.col("place") <= n)
+    return found.select("column_name", F.col(row_number).alias("row_number"), "value", "place")

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from arqueo.contracts import AMOUNT, TOTAL, require_columns
 from arqueo.functions.exprs import clean_text, is_bad_amount, parse_amount
+from arqueo.operators.audit import unpivoted
 from arqueo.operators.profile import _tidy
+from arqueo.sources.storage import remove_shared, write_shared_at
 
 
 @dataclass(frozen=True)
@@ -38,32 +41,45 @@ def normalise(df: DataFrame, grain: Grain) -> DataFrame:
 
 
 def bad_amounts(df: DataFrame, grain: Grain) -> DataFrame:
-    """column_name, invalid: texts of measures that are no amounts."""
-    return _tidy(df, {c: {"invalid": F.count_if(is_bad_amount(c))} for c in grain.measures})
+    """column_name, invalid: texts of measures that are no amounts, of the columns that have some."""
+    rows = unpivoted(df, list(grain.measures)).where(is_bad_amount("value"))
+    return rows.groupBy("column_name").agg(F.count(F.lit(1)).alias("invalid"))
 
 
-def unique_rows(normalised: DataFrame) -> DataFrame:
-    """Without exact repeats; nulls equal nulls."""
-    return normalised.dropDuplicates()
+def unique_rows(normalised: DataFrame, row_number: str | None = None) -> DataFrame:
+    """Without exact repeats; nulls equal nulls. With ``row_number`` each row has the first of its repeats' numbers."""
+    if row_number is None:
+        return normalised.dropDuplicates()
+    others = [c for c in normalised.columns if c != row_number]
+    return normalised.groupBy(*others).agg(F.min(row_number).alias(row_number))
 
 
 def inconsistent_attributes(unique: DataFrame, grain: Grain) -> DataFrame:
     """attribute, keys: how many keys have more than one value of an attribute; null is a value."""
     attributes = grain.attributes(unique.columns)
-    grouped = unique.groupBy(*grain.key).agg(
-        *[(F.min(F.struct(c)) != F.max(F.struct(c))).alias(c) for c in attributes]
-    )
+    grouped = unique.groupBy(*grain.key).agg(*[_torn(c).alias(c) for c in attributes])
     return _tidy(grouped, {c: {"inconsistent_keys": F.count_if(F.col(c))} for c in attributes}, "attribute")
 
 
-def consolidate(unique: DataFrame, grain: Grain) -> DataFrame:
-    """A row for each key: attributes, exact sums of the measures, and rows_merged."""
-    attributes = grain.attributes(unique.columns)
-    return unique.groupBy(*grain.key).agg(
+def _torn(attribute: str) -> Column:
+    return F.min(F.struct(attribute)) != F.max(F.struct(attribute))
+
+
+def _merged(grain: Grain, columns: list[str], row_number: str | None) -> list[Column]:
+    """What a key's rows become: attributes, exact sums, rows_merged, and the first row number if there is one."""
+    attributes = grain.attributes([c for c in columns if c != row_number])
+    return [
         *[F.min_by(c, F.struct(F.col(c).isNull(), F.col(c))).alias(c) for c in attributes],
         *[F.sum(c).cast(TOTAL).alias(c) for c in grain.measures],
         F.count(F.lit(1)).alias("rows_merged"),
-    )
+        *([F.min(row_number).alias(row_number)] if row_number else []),
+    ]
+
+
+def consolidate(unique: DataFrame, grain: Grain, row_number: str | None = None) -> DataFrame:
+    """A row for each key: attributes, exact sums of the measures, and rows_merged; the first of
+    the rows' numbers too if a column has them."""
+    return unique.groupBy(*grain.key).agg(*_merged(grain, unique.columns, row_number))
 
 
 def totals(df: DataFrame, measures: tuple[str, ...] | list[str]) -> DataFrame:
@@ -78,7 +94,7 @@ def totals_check(before: DataFrame, after: DataFrame, measures, tolerance: str =
     b = totals(after, measures).withColumnRenamed("total", "after")
     apart = (F.col("after") - F.col("before")).cast(TOTAL)
     return a.join(b, "measure").select(
-        "measure", "before", "after", apart.alias("difference"), (F.abs(apart) <= F.lit(tolerance).cast("decimal(10,6)")).alias("preserved")
+        "measure", "before", "after", apart.alias("difference"), (F.abs(apart) <= F.lit(tolerance).cast("decimal(38,6)")).alias("preserved")
     )
 
 
@@ -102,35 +118,85 @@ def reduction_report(normalised: DataFrame, grain: Grain) -> DataFrame:
     )
 
 
-def run(df: DataFrame, grain: Grain, tolerance: str = "0.01") -> DataFrame:
-    """The whole consolidation; raises if amounts are unreadable, attributes disagree or totals move."""
-    texts = [c for c, t in df.dtypes if c in grain.measures and t == "string"]
-    if texts:
-        bad = [r["column_name"] for r in bad_amounts(df, Grain(grain.key, tuple(texts))).where("invalid > 0").collect()]
-        if bad:
-            raise ValueError(f"texts that are no amounts in: {', '.join(bad)}")
+@dataclass(frozen=True)
+class Load:
+    """A consolidated table and what was counted while it was written."""
+
+    rows: DataFrame
+    path: str
+    rows_before: int
+    unique_rows: int
+    rows_after: int
+
+    def report(self) -> DataFrame:
+        """As :func:`reduction_report` has it."""
+        a, u, z = self.rows_before, self.unique_rows, self.rows_after
+        names = "rows_before bigint, unique_rows bigint, rows_after bigint, exact_removed bigint, rows_consolidated bigint, total_removed bigint"
+        return self.rows.sparkSession.createDataFrame([(a, u, z, a - u, u - z, a - z)], names)
+
+    def remove(self) -> None:
+        """Delete the table, once nothing reads it any more."""
+        remove_shared(self.rows.sparkSession, self.path)
+
+
+def load(df: DataFrame, grain: Grain, tolerance: str = "0.01", row_number: str | None = None) -> Load:
+    """The whole consolidation, written to the shared folder from one scan; raises ValueError if amounts
+    are unreadable, attributes disagree or totals move.
+
+    Bad amounts and totals are observed on the rows on their way, disagreement and the new totals on
+    the groups that are written. As a stage that runs again after the loss of an executor is
+    counted again, what the observations object to is counted by jobs of its own before it is an error.
+    ``row_number`` names a column of ``df`` that is neither attribute nor measure; the result
+    has the first number of each key.
+    """
     rows = normalise(df, grain)
-    unique = unique_rows(rows)
+    attributes = grain.attributes([c for c in rows.columns if c != row_number])
+    seen, made = Observation(), Observation()
+    watched = rows.observe(
+        seen, F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"bad_{i}") for i, c in enumerate(grain.measures)],
+        *[F.sum(c).cast(TOTAL).alias(f"sum_{i}") for i, c in enumerate(grain.measures)],
+    )
+    unique = unique_rows(watched, row_number)
+    torn = [f"arqueo_torn_{i}" for i in range(len(attributes))]
+    grouped = unique.groupBy(*grain.key).agg(*_merged(grain, unique.columns, row_number), *[_torn(c).alias(t) for c, t in zip(attributes, torn, strict=True)])
+    out = grouped.observe(
+        made, F.count(F.lit(1)).alias("n"), F.sum("rows_merged").alias("unique"),
+        *[F.count_if(F.col(t)).alias(t) for t in torn],
+        *[F.sum(c).cast(TOTAL).alias(f"sum_{i}") for i, c in enumerate(grain.measures)],
+    ).drop(*torn)
+    table, path = write_shared_at(out)
+    before, after = seen.get, made.get
+    zero = Decimal(0)
+    moved = [c for i, c in enumerate(grain.measures) if abs((before[f"sum_{i}"] or zero) - (after[f"sum_{i}"] or zero)) > Decimal(tolerance)]
+    if moved or any(before[f"bad_{i}"] for i in range(len(grain.measures))) or any(after[t] for t in torn):
+        problem = _problem(df, rows.drop(row_number) if row_number else rows, table, grain, tolerance)
+        if problem:
+            remove_shared(df.sparkSession, path)
+            raise ValueError(problem)
+    return Load(table, path, before["n"], after["unique"] or 0, after["n"])
+
+
+def _problem(df: DataFrame, rows: DataFrame, out: DataFrame, grain: Grain, tolerance: str) -> str | None:
+    """What is wrong with a consolidation, counted by jobs of their own."""
+    texts = [c for c, t in df.dtypes if c in grain.measures and t == "string"]
+    bad = [r["column_name"] for r in bad_amounts(df, Grain(grain.key, tuple(texts))).collect()] if texts else []
+    if bad:
+        return f"texts that are no amounts in: {', '.join(sorted(bad))}"
     if grain.attributes(rows.columns):
-        torn = [r["attribute"] for r in inconsistent_attributes(unique, grain).where("inconsistent_keys > 0").collect()]
+        torn = [r["attribute"] for r in inconsistent_attributes(unique_rows(rows), grain).where("inconsistent_keys > 0").collect()]
         if torn:
-            raise ValueError(f"attributes differ within one key: {', '.join(torn)}")
-    out = consolidate(unique, grain)
+            return f"attributes differ within one key: {', '.join(torn)}"
     moved = [r["measure"] for r in totals_check(rows, out, grain.measures, tolerance).where("not preserved").collect()]
-    if moved:
-        raise ValueError(f"totals changed: {', '.join(moved)}")
-    return out
+    return f"totals changed: {', '.join(moved)}" if moved else None
 
 
-def in_first_order(consolidated: DataFrame, numbered: DataFrame, grain: Grain, row_number: str) -> DataFrame:
-    """The consolidated rows in the order of each key's first row number in the source."""
-    firsts = normalise(numbered, grain).groupBy(*grain.key).agg(F.min(row_number).alias("_first"))
-    a, b = consolidated.alias("a"), firsts.alias("b")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in grain.key]
-    return a.join(b, same).orderBy("_first").select("a.*")
+def run(df: DataFrame, grain: Grain, tolerance: str = "0.01") -> DataFrame:
+    """The rows of :func:`load`."""
+    return load(df, grain, tolerance).rows
 
 
 __all__ = [
-    "Grain", "bad_amounts", "consolidate", "in_first_order", "inconsistent_attributes", "normalise",
+    "Grain", "Load", "bad_amounts", "consolidate", "inconsistent_attributes", "load", "normalise",
     "reduction_report", "run", "totals", "totals_check", "unique_rows",
 ]

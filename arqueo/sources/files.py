@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arqueo.sources.records import record_texts
+
 CORRUPT = "_corrupt_record"
 
 
@@ -27,13 +29,17 @@ def read_text_csv(
     """All columns as text, by the header's names, so that leading zeros and column order don't matter.
 
     Records with too few or too many fields have their text in ``_corrupt_record``. Large files are
-    split over tasks, unless quoted fields may hold line breaks (``multi_line``).
+    split over tasks. Where quoted fields may hold line breaks (``multi_line``), the path is one file,
+    whose records are found as in :func:`numbered_records`.
     """
+    if multi_line:
+        df = numbered_records(spark, path, encoding).where("not _blank").drop(ROW_NUMBER, "_blank")
+        return df.select(*columns) if columns else df if keep_malformed else df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     names = header(spark, path, encoding)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, CORRUPT]])
     df = (
         spark.read.schema(schema)
-        .options(header=True, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, escape='"', encoding=_charset(encoding))
+        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, escape='"', encoding=_charset(encoding))
         .csv(path)
     )
     if columns:
@@ -45,26 +51,19 @@ ROW_NUMBER = "_row_number"
 
 
 def numbered_records(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """The records of one CSV file, a line each, with ``_row_number``, ``_blank`` and ``_corrupt_record``.
+    """The records of one CSV file with ``_row_number``, ``_blank`` and ``_corrupt_record``.
 
-    The header is line 1, so records are numbered from 2, blank lines included. Each task numbers
-    the lines of its splits; the counts of the splits before, one row each, are added.
+    The header is record 1, so records are numbered from 2, blank lines included, as Python's csv
+    module counts them; quoted fields may hold line breaks. The file is split over tasks.
     """
-    text = F.decode(F.col("value").cast("binary"), _charset(encoding))
-    lines = spark.read.text(path).select(
-        text.alias("value"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id")
-    )
-    blocks = lines.groupBy("_block").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_low"))
-    before = F.sum("n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.select("_block", "_low", F.coalesce(before, F.lit(0)).alias("_before"))
-    number = F.col("_id") - F.col("_low") + F.col("_before") + 1
-    numbered = lines.join(F.broadcast(blocks), "_block").select("value", number.alias(ROW_NUMBER)).where(F.col(ROW_NUMBER) > 1)
+    text = F.decode("value", _charset(encoding)).alias("value")
+    records = record_texts(spark, path).where("number > 1").select(F.col("number").alias(ROW_NUMBER), text)
     names = header(spark, path, encoding)
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, CORRUPT])
-    blank = F.trim("value") == ""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'}
+    blank = F.col("value") == ""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"', "multiLine": "true", "lineSep": "\n"}
     fields = F.when(~blank, F.from_csv("value", schema, options))
-    parsed = numbered.select(ROW_NUMBER, blank.alias("_blank"), fields.alias("r"))
+    parsed = records.select(ROW_NUMBER, blank.alias("_blank"), fields.alias("r"))
     return parsed.select(ROW_NUMBER, "_blank", *[F.col("r")[c].alias(c) for c in [*names, CORRUPT]])
 
 
@@ -108,9 +107,9 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode:
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, order: list | None = None) -> None:
-    """CSV with header in the columns' order; null is an empty field."""
-    (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, order: list | None = None, without: list[str] | None = None) -> None:
+    """CSV with header in the columns' order; null is an empty field. Columns may serve the order alone."""
+    (df.orderBy(*order) if order else df).drop(*(without or [])).write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:

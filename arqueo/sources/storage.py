@@ -6,11 +6,16 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_shared(df: DataFrame) -> DataFrame:
-    """Write to the folder that the session names in spark.checkpoint.dir, and read back.
+    """Write to the folder that the session names in spark.checkpoint.dir, and read back."""
+    return write_shared_at(df)[0]
+
+
+def write_shared_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """The table that :func:`write_shared` gives, and the folder it is in.
 
     Only where the session names none and runs on one machine, as in tests, a local temporary folder is
     used; on a cluster each executor would write to a disk of its own.
@@ -23,7 +28,13 @@ def write_shared(df: DataFrame) -> DataFrame:
         base = _local_folder()
     path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove_shared(spark: SparkSession, path: str) -> None:
+    """Delete a folder of :func:`write_shared_at` once nothing reads it any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @lru_cache(maxsize=1)

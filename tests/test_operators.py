@@ -1,6 +1,10 @@
 """Operators on small frames of the budget schema's shape."""
 
+import csv
 import hashlib
+import io
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -424,3 +428,122 @@ def test_approximate_statistics(spark):
         want = exact[r.column_name]
         assert abs(r.distinct_values - want.distinct_values) <= 0.15 * want.distinct_values
         assert (r.null_percent, r.average_bytes) == (want.null_percent, want.average_bytes)
+
+
+@pytest.mark.parametrize(
+    "text,cents,amount",
+    [("1.5e20", 15 * 10**21, "150000000000000000000.00"), ("2e25", 2 * 10**27, None), ("1e30", 10**32, None), ("-1e22", -(10**24), None),
+     ("123456789012345678901234567890.125", 12345678901234567890123456789013, None), ("１２", None, None), ("1e40", None, None), ("1_000", None, None),
+     ("9999999999999999999999.994", 10**24 - 1, "9999999999999999999999.99"), ("9999999999999999999999.995", 10**24, None), ("　", 0, "0.00"), ("1e0002", 10000, "100.00"),
+     ("1" * 400 + "x", None, None), ("1e-999", 0, "0.00")],
+)
+def test_no_amount_vanishes(spark, text, cents, amount):
+    df = texts(spark, ["k", "pim"], [("a", text)])
+    r = one(df.select(exprs.cents("pim").alias("c"), exprs.parse_amount("pim").alias("p"), exprs.is_bad_amount("pim").alias("bad")))
+    assert (None if r.c is None else int(r.c), None if r.p is None else str(r.p), r.bad) == (cents, amount, amount is None)
+    a = one(audit.audit(df, ["pim"]))
+    assert a.invalid == (cents is None) and a.total == str(exprs_total(cents))
+    if amount is None:
+        with pytest.raises(ValueError, match="no amounts in: pim"):
+            consolidate.run(df, consolidate.Grain(("k",), ("pim",)))
+
+
+def exprs_total(cents):
+    from decimal import Context, Decimal
+
+    return Decimal(cents or 0).scaleb(-2, Context(prec=60)).quantize(Decimal("0.01"), context=Context(prec=60))
+
+
+def test_eighteen_text_measures_compile(spark, capfd):
+    """Code for the parsing of all measures is compiled: the JVM's limit of 64 KB a method isn't met."""
+    measures = list(contracts.MEASURES)
+    df = spark.range(3000).select(F.col("id").cast("string").alias("k"), *[F.concat((F.col("id") * (i + 1)).cast("string"), F.lit(".125")).alias(m) for i, m in enumerate(measures)])
+    grain = consolidate.Grain(("k",), tuple(measures))
+    loaded = consolidate.load(df, grain)
+    assert loaded.report().first() == (3000, 3000, 3000, 0, 0, 0)
+    got = {r.column_name: r for r in audit.audit(df, measures, 18).collect()}
+    n = 3000 * 2999 // 2
+    assert [got[m].total for m in measures] == [f"{n * (i + 1) + 3000 * 13 // 100}.{3000 * 13 % 100:02d}" for i, m in enumerate(measures)]
+    assert all(r.rounded == r.extra_digits == 3000 and r.invalid == 0 for r in got.values())
+    assert "64 KB" not in "".join(capfd.readouterr())
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", loaded_code(spark, consolidate.normalise(df, grain)))]
+    assert sizes and max(sizes) < 60_000
+
+
+def loaded_code(spark, df):
+    return spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(df._jdf.queryExecution().executedPlan())
+
+
+def test_load_scans_once(spark, tmp_path):
+    path = str(tmp_path / "in")
+    texts(spark, ["k", "d", "pim"], [("a", "u", "1.50"), ("a", "u", "2"), ("b", None, "0"), ("b", None, "0")]).write.parquet(path)
+    df, grain = spark.read.parquet(path), consolidate.Grain(("k",), ("pim",))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("load", "load")
+    try:
+        loaded = consolidate.load(df.withColumn("no", F.monotonically_increasing_id()), grain, row_number="no")
+        jobs = tracker.getJobIdsForGroup("load")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # A job for each exchange and one that writes; none reads the source again.
+    assert len(jobs) <= 3
+    assert loaded.report().first() == (4, 3, 2, 1, 1, 2)
+    assert {r.k: (str(r.pim), r.rows_merged) for r in loaded.rows.collect()} == {"a": ("3.50", 2), "b": ("0.00", 1)}
+    loaded.remove()
+
+
+def test_records_over_splits(spark, tmp_path):
+    """Quoted line breaks, in splits of any size: numbers and fields as Python's csv module has them."""
+    rng = random.Random(7)
+
+    def cell():
+        kind = rng.random()
+        if kind < 0.4:
+            return '"' + "".join(rng.choice(["a", "\n", "\r\n", ",", '""', "é"]) for _ in range(rng.randint(0, 8))) + '"'
+        return 'x"y' if kind < 0.5 else str(rng.randint(0, 9999))
+
+    for eol in ("\n", "\r\n"):
+        body = f"A,B,C{eol}" + "".join((eol if rng.random() < 0.05 else ",".join(cell() for _ in range(3)) + eol) for _ in range(400))
+        path = tmp_path / f"r{len(eol)}.csv"
+        path.write_bytes(body.encode())
+        want = {i: [x or None for x in r] for i, r in enumerate(csv.reader(io.StringIO(body, newline="")), 1) if r and i > 1}
+        for size in (1 << 20, 2000, 300):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            try:
+                rows = files.numbered_records(spark, str(path)).where("not _blank").collect()
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+            assert {r[files.ROW_NUMBER]: [r.A, r.B, r.C] for r in rows} == want
+    empty = tmp_path / "empty.csv"
+    empty.write_bytes(b"A,B\n")
+    assert files.numbered_records(spark, str(empty)).count() == 0
+
+
+def test_open_quote_is_an_error(spark, tmp_path):
+    from arqueo.sources import records
+
+    path = tmp_path / "open.csv"
+    path.write_text('A,B\n1,"never closed\n' + "x,y\n" * (records.MAX_RECORD_LINES + 10))
+    with pytest.raises(Exception, match="not closed"):
+        records.record_texts(spark, str(path)).count()
+
+
+def test_cli_keeps_records_with_line_breaks(spark, tmp_path):
+    from arqueo import cli
+
+    path = tmp_path / "m.csv"
+    path.write_text('KEY,NAME,MONTO_PIM\n2,"two\nlines",1.5\n1,a,2\n2,"two\nlines",3\n')
+    assert cli.main(["consolidate", str(path), "--key", "key", "--out", str(tmp_path / "o"), "--csv", str(tmp_path / "c"), "--report", str(tmp_path / "r")], spark) == 0
+    assert {r.key: (r["name"], str(r.monto_pim)) for r in spark.read.parquet(str(tmp_path / "o")).collect()} == {"2": ("two\nlines", "4.50"), "1": ("a", "2.00")}
+    out = "".join(x.read_text() for x in sorted((tmp_path / "c").glob("part-*")))
+    assert [r[0] for r in csv.reader(io.StringIO(out)) if r and r[0] != "key"] == ["2", "1"]
+    assert one(spark.read.json(str(tmp_path / "r"))).rows_before == 3
+    assert cli.main(["consolidate", str(path), "--key", "key", "--multi-line", "--report", str(tmp_path / "r2")], spark) == 0
+    assert one(spark.read.json(str(tmp_path / "r2"))).rows_after == 2
+    path.write_text('KEY,NAME\n1,"x\ny"\n2,b\n1,"x\ny"\n')
+    assert cli.main(["duplicates", str(path), "--multi-line", "--out", str(tmp_path / "d"), "--report", str(tmp_path / "dr")], spark) == 0
+    assert spark.read.option("multiLine", True).csv(str(tmp_path / "d"), header=True).count() == 2
+    assert cli.main(["grain", str(path), "--key", "key", "--multi-line", "--out", str(tmp_path / "g"), "--report", str(tmp_path / "gr")], spark) == 0
+    assert one(spark.read.json(str(tmp_path / "gr"))).row_count == 3
