@@ -8,8 +8,8 @@ Bands of a signature are buckets. BANDS and ROWS are chosen so that two sets at
 share no bucket with a probability of (1 - 0.85 ** ROWS) ** BANDS, below 1e-8; sets that are more alike
 with a smaller one. Sets are linked by their full shingles alone.
 
-Only components are asked for. In each bucket all sets are compared with the least; a set is verified
-with the best of those. What is then left is every pair of a bucket whose components differ: pairs are
+Only components are asked for. In each bucket all sets are compared with a pivot, a few times; a set is
+verified with the best of its buckets' pivots. What is then left is every pair of a bucket whose components differ: pairs are
 dealt by bucket and size class and pass size and parity bitmap first, whose distance never exceeds the
 sets' true difference. So no bucket is too large to be looked at whole, and no link within one is lost.
 """
@@ -34,6 +34,8 @@ BANDS, ROWS = 40, 6
 #: The circle has 2 ** CIRCLE places. Shingles that meet in a place make sets look more alike, never less.
 CIRCLE = 22
 _CHUNK = 2048
+#: How often sets are compared with pivots before the rest of the pairs.
+PIVOT_ROUNDS = 3
 
 
 @lru_cache(maxsize=2)
@@ -96,7 +98,7 @@ class _Buckets:
         self.tables, self.docs, self.words, self.num, self.den = tables, docs, words, num, den
         tokens = full.select("set_id", F.explode("bands").alias("token"))
         shared = tokens.groupBy("token").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"))
-        shared = tables.write(shared.where("lo <> hi").select("token", F.col("lo").alias("pivot")))
+        shared = tables.write(shared.where("lo <> hi").select("token"))
         # Copies of a set fall into the same buckets.
         self.placed = tables.write(tokens.join(shared, "token").distinct())
         tables.drop(shared)
@@ -117,26 +119,41 @@ class _Buckets:
         rounds.drop_all()
         self.tables.drop(asked, edges, *([before] if before is not None else []))
 
-    def pivot_round(self) -> DataFrame:
-        """Verify each set with the best of its buckets' least sets; returns those pairs."""
-        pairs = self.placed.where("set_id <> pivot").select("set_id", "pivot").distinct()
-        pairs = pairs.join(self.sets, "set_id").alias("a").join(self.sets.alias("b"), F.col("a.pivot") == F.col("b.set_id"))
-        pairs = pairs.where(_close("a", "b", self.num, self.den))
+    def labelled(self) -> DataFrame:
+        """set_id, n, bitmap and comp."""
+        if self.labels is None:
+            return self.sets.withColumn("comp", F.col("set_id"))
+        known = self.labels.select(F.col("node").alias("set_id"), F.col("component").alias("known"))
+        return self.sets.join(known, "set_id", "left").withColumn("comp", F.coalesce("known", "set_id")).drop("known")
+
+    def mixed(self, sets: DataFrame) -> DataFrame:
+        """The sets of each bucket that has several components."""
+        members = self.tables.write(self.placed.join(sets, "set_id"))
+        several = members.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        return members.join(several.select("token"), "token")
+
+    def pivot_round(self, number: int) -> DataFrame:
+        """Verify each set with the best of its buckets' pivots that are of other components; returns those pairs.
+
+        Each bucket and round has a pivot of its own, so a set meets many members of its group, its
+        source among them, and a group is one component before its pairs are looked at.
+        """
+        members = self.mixed(self.labelled())
+        turn = F.struct(F.xxhash64("token", "set_id", F.lit(number)).alias("turn"), "set_id", "n", "bitmap", "comp")
+        pivots = members.groupBy("token").agg(F.min(turn).alias("p")).select("token", "p.*")
+        pairs = members.alias("a").join(pivots.alias("b"), "token")
+        pairs = pairs.where((F.col("a.comp") != F.col("b.comp")) & _close("a", "b", self.num, self.den))
         # A set has no more pivots than bands.
-        pivots = F.array_sort(F.collect_set(F.struct(_distance("a", "b").alias("d"), F.col("b.set_id").alias("v"))))
-        best = pairs.groupBy(F.col("a.set_id").alias("u")).agg(F.slice(pivots, 1, BEST_PIVOTS).alias("x"))
-        found = self.tables.write(best.select("u", F.inline("x")).select("u", "v"))
+        best = F.array_sort(F.collect_set(F.struct(_distance("a", "b").alias("d"), F.col("b.set_id").alias("v"))))
+        best = pairs.groupBy(F.col("a.set_id").alias("u")).agg(F.slice(best, 1, BEST_PIVOTS).alias("x"))
+        ends = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
+        found = self.tables.write(best.select("u", F.inline("x")).select(*ends).distinct())
         self.link(found)
         return found
 
-    def rest(self, seen: DataFrame) -> None:
+    def rest(self, seen: list[DataFrame]) -> None:
         """Verify all other pairs of a bucket whose components differ."""
-        known = self.labels.select(F.col("node").alias("set_id"), F.col("component").alias("known"))
-        comp = F.coalesce("known", "set_id").alias("comp")
-        sets = self.sets.join(known, "set_id", "left").select("set_id", "n", "bitmap", comp, _size_class(self.num, self.den).alias("class"))
-        members = self.tables.write(self.placed.select("token", "set_id").join(sets, "set_id"))
-        mixed = members.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        members = members.join(mixed.select("token"), "token")
+        members = self.mixed(self.labelled()).withColumn("class", _size_class(self.num, self.den))
         # A set looks for partners that are of its class or of the one below.
         reach = members.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1)))
         pairs = reach.alias("a").join(
@@ -147,8 +164,11 @@ class _Buckets:
             & (F.col("a.comp") != F.col("b.comp"))
             & _close("a", "b", self.num, self.den),
         )
-        ends = F.least("a.set_id", "b.set_id").alias("v"), F.greatest("a.set_id", "b.set_id").alias("u")
-        found = self.tables.write(pairs.select(*ends).distinct().join(seen, ["u", "v"], "left_anti").select("u", "v"))
+        ends = F.greatest("a.set_id", "b.set_id").alias("u"), F.least("a.set_id", "b.set_id").alias("v")
+        pairs = pairs.select(*ends).distinct()
+        for some in seen:
+            pairs = pairs.join(some, ["u", "v"], "left_anti")
+        found = self.tables.write(pairs)
         self.link(found)
         self.tables.drop(found)
 
@@ -169,7 +189,7 @@ def components(docs: DataFrame, words: int = 5, num: int = 17, den: int = 20, ba
     full = entries.where("n > 0")
     firsts = tables.write(full.groupBy("set_id").agg(F.min("doc_id").alias("first")))
     buckets = _Buckets(tables, docs, full, firsts, words, num, den)
-    buckets.rest(buckets.pivot_round())
+    buckets.rest([buckets.pivot_round(i) for i in range(PIVOT_ROUNDS)])
     known = buckets.labels.select(F.col("node").alias("set_id"), "component")
     labels = firsts.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     least = labels.groupBy("component").agg(F.min("first").alias("component_id"))
