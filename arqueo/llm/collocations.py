@@ -27,7 +27,7 @@ from arqueo.llm.common import Tables, bit_array, in_bits, materialize, texts
 from arqueo.llm.hashing import IS_SPACE, LOWER, mix, windows, word_hashes
 
 #: Bytes of text in a shard (one text at least).
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
 #: Places of a bit table for each frequent phrase, and the largest table (2 ** MAX_GATE_BITS places).
 PLACES_EACH, MAX_GATE_BITS = 16, 28
 
