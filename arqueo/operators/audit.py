@@ -19,6 +19,15 @@ def unpivoted(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) ->
     return df.select(*keep, F.inline(pairs))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where the input is smaller than a split for each: a small file may be one
+    split, and a row's texts are as much work as many rows. Larger inputs have splits enough and stay."""
+    spark = df.sparkSession
+    cores, split = spark.sparkContext.defaultParallelism, 128 << 20
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df
+
+
 def _judged(rows: DataFrame) -> DataFrame:
     """Rows of :func:`unpivoted` with amount, extra_digits, rounded and invalid; a number's text is found once."""
     found = rows.withColumn("number", number_text("value")).withColumn("amount", F.col("number").try_cast(WIDEST))
@@ -38,7 +47,7 @@ def audit(df: DataFrame, columns: list[str], expected: int | None = None) -> Dat
     if expected is not None and len(columns) != expected:
         raise ValueError(f"{expected} amount columns are needed, found {len(columns)}")
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    summed = _judged(unpivoted(df, columns)).groupBy("column_name").agg(
+    summed = _judged(unpivoted(_spread(df.select(*columns)), columns)).groupBy("column_name").agg(
         F.sum("amount").cast(TOTAL).alias("total"), F.count_if("extra_digits").alias("extra_digits"),
         F.count_if("rounded").alias("rounded"), F.count_if("invalid").alias("invalid"),
     )

@@ -306,6 +306,46 @@ _AMOUNT_TEXTS = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE W
     ELSE CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 + CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,3)) AS VARCHAR) END AS amount_text FROM lineitem"""
 
 
+_TEXT_MEASURES = tuple(contracts.MEASURES)
+
+
+def _text_measures(spark, d):
+    """The 18 measures of the contract as they are written: a price's shares with more digits than cents,
+    plain or with an exponent, some of them blank and some no numbers."""
+    key, price = F.col("l_orderkey"), F.col("l_extendedprice").cast("decimal(12,2)")
+    out = []
+    for i, m in enumerate(_TEXT_MEASURES):
+        text = (price * F.lit(i + 1)).cast("decimal(18,2)").cast("string")
+        out.append(
+            F.when((key + i) % 101 == 0, "n/a").when((key + i) % 103 == 0, "  ").when((key + i) % 7 == 0, F.concat(text, F.lit("5")))
+            .when((key + i) % 11 == 0, F.concat(text, F.lit("e-1"))).when((key + i) % 13 == 0, F.concat(text, F.lit("00"))).otherwise(text).alias(m)
+        )
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *out)
+
+
+def _text_measure_sql(i: int) -> tuple[str, str]:
+    """The text of a measure, and the thousandths of its number, for DuckDB."""
+    t, k = f"CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * {i + 1} AS DECIMAL(18,2)) AS VARCHAR)", f"(l_orderkey + {i})"
+    text = f"""CASE WHEN {k} % 101 = 0 THEN 'n/a' WHEN {k} % 103 = 0 THEN '  ' WHEN {k} % 7 = 0 THEN {t} || '5' WHEN {k} % 11 = 0 THEN {t} || 'e-1'
+        WHEN {k} % 13 = 0 THEN {t} || '00' ELSE {t} END"""
+    amount = f"CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * {i + 1} AS DECIMAL(18,4))"
+    number = f"""CASE WHEN {k} % 101 = 0 OR {k} % 103 = 0 THEN NULL WHEN {k} % 7 = 0 THEN {amount} + 0.005 WHEN {k} % 11 = 0 THEN CAST({amount} * 0.1 AS DECIMAL(18,4)) ELSE {amount} END"""
+    return text, number
+
+
+def _audit_sql() -> str:
+    parts = []
+    for i, m in enumerate(_TEXT_MEASURES):
+        text, number = _text_measure_sql(i)
+        parts.append(
+            rf"""SELECT '{m}' AS column_name, CAST(CAST(coalesce(sum(CAST(n AS DECIMAL(36,2))), 0) AS DECIMAL(38,2)) AS VARCHAR) AS total,
+            count(*) FILTER (WHERE t LIKE '%e-1' OR regexp_matches(t, '^[0-9]+\.[0-9][0-9][0-9]')) AS extra_digits, count(*) FILTER (WHERE n <> CAST(n AS DECIMAL(36,2))) AS rounded,
+            count(*) FILTER (WHERE t = 'n/a') AS invalid FROM (SELECT {text} AS t, {number} AS n FROM lineitem)"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+
 @query(f"SELECT 'amount_text' AS column_name, count(*) FILTER (WHERE trim(amount_text) <> '' AND try_cast(amount_text AS DOUBLE) IS NULL) AS parse_errors FROM ({_AMOUNT_TEXTS})")
 def amount_parse_errors(spark, d):
     return quality.amount_parse_errors(_amount_texts(spark, d), ["amount_text"])
@@ -526,6 +566,11 @@ def exact_amount_audit(spark, d):
     return audit.audit(_amount_texts(spark, d), ["amount_text"])
 
 
+@query(_audit_sql())
+def text_measures_audit(spark, d):
+    return audit.audit(_text_measures(spark, d), list(_TEXT_MEASURES), 18)
+
+
 @query(
     f"""SELECT 'amount_text' AS column_name, l_orderkey AS row_number, amount_text AS value, row_number() OVER (ORDER BY l_orderkey, amount_text) AS place
     FROM ({_AMOUNT_TEXTS}) WHERE regexp_matches({_FRACTION}, '^[0-9][0-9][0-9]*[1-9]') ORDER BY l_orderkey, amount_text LIMIT 5"""

@@ -208,12 +208,49 @@ def test_landing(spark):
 
 
 def test_fetch(tmp_path):
-    source = tmp_path / "s.csv"
+    source, target = tmp_path / "s.csv", tmp_path / "t.csv"
     source.write_bytes(b"a,b\n")
-    assert landing.fetch(source.as_uri(), tmp_path / "x" / "t.csv") == 4
+    got = landing.fetch(source.as_uri(), lambda: target.open("wb"))
+    assert (got.size, got.expected, got.head, got.sha256) == (4, 4, b"a,b\n", hashlib.sha256(b"a,b\n").hexdigest())
     with pytest.raises(OSError):
-        landing.fetch((tmp_path / "none").as_uri(), tmp_path / "t2.csv", tries=2, pause=0)
-    assert not list(tmp_path.glob("*.part"))
+        landing.fetch((tmp_path / "none").as_uri(), lambda: target.open("wb"), tries=2, pause=0)
+
+
+def test_short_body_and_retries(spark, tmp_path):
+    """A server that ends a body early, one that fails twice, one that answers with an error."""
+    import http.server
+    import threading
+
+    from arqueo.sources.config import SourceSpec
+
+    asked = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            if self.path == "/gone" or (self.path == "/busy" and asked.count("/busy") < 3):
+                return self.send_error(404 if self.path == "/gone" else 503)
+            body = b"x,y\n" * 1000
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body[:1500] if self.path == "/short" else body)
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        sources = [SourceSpec(i, download_url=f"http://127.0.0.1:{server.server_port}/{i}", mutable=True) for i in ("short", "busy", "gone", "whole")]
+        rows = {r.source_id: r for r in landing.land(spark, sources, tmp_path / "in", tries=3, pause=0.01).collect()}
+    finally:
+        server.shutdown()
+    assert (rows["short"].status, rows["short"].reason, rows["short"].expected_size_bytes) == ("failed", "incomplete", 4000)
+    assert rows["busy"].status == "success" and asked.count("/busy") == 3
+    assert rows["gone"].status == "failed" and asked.count("/gone") == 1
+    assert (rows["whole"].status, rows["whole"].file_size_bytes) == ("success", 4000)
+    assert sorted(x.name for x in (tmp_path / "in").iterdir()) == ["busy.csv", "whole.csv"]
 
 
 def test_csv(spark, tmp_path):
