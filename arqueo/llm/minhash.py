@@ -35,7 +35,7 @@ BANDS, ROWS = 40, 6
 CIRCLE = 22
 _CHUNK = 2048
 #: How often sets are compared with pivots before the rest of the pairs.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 
 
 @lru_cache(maxsize=2)
