@@ -25,13 +25,13 @@ FEATURES = 4
 
 @dataclass(frozen=True)
 class Params:
-    """Bounds of what the dictionaries are learnt from: rows of each class, windows of each such text,
-    which stand at even distances over the whole text where it has more."""
+    """Bounds of what is learnt from: rows of each class, whose texts are read whole, for the dictionaries
+    and for the calibration."""
 
     window: int = 512
     dictionary_bytes: int = 112 * 1024
-    rows_per_class: int = 1500
-    windows_per_text: int = 32
+    rows_per_class: int = 800
+    calibration_rows: int = 1500
     threshold: float = 0.5
 
 
@@ -69,16 +69,11 @@ def _features_of(docs: DataFrame, bad: bytes, good: bytes, window: int, keep: st
     return map_texts(docs, f"{keep}, features array<double>", run)
 
 
-def spread_windows(text: bytes, window: int, most: int) -> list[bytes]:
-    """At most ``most`` windows of the whole text: all, or those at even distances."""
-    n = -(-len(text) // window)
-    at = range(n) if n <= most else np.linspace(0, n - 1, most).astype(int)
-    return [text[i * window : (i + 1) * window] for i in at]
-
-
 def _windows_of(sample: DataFrame, params: Params) -> DataFrame:
+    """label and windows of each whole text."""
+
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        got = [spread_windows(t, params.window, params.windows_per_text) for t in texts(batch.column("text"))]
+        got = [[t[i : i + params.window] for i in range(0, len(t), params.window)] for t in texts(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(got, pa.list_(pa.binary()))], ["label", "windows"])
 
     return map_texts(sample.select("label", "text"), "label int, windows array<binary>", run)
@@ -93,7 +88,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", params: Para
     for value in (0, 1):
         own = sorted(r["windows"] for r in rows if r["label"] == value)
         dictionaries.append(zdict.train_dictionary([bytes(w) for t in own for w in t], params.dictionary_bytes))
-    sample = zdict.labelled_sample(docs, labels, label, zdict.CALIBRATION_FOLD, params.rows_per_class)
+    sample = zdict.labelled_sample(docs, labels, label, zdict.CALIBRATION_FOLD, params.calibration_rows)
     measured = _features_of(sample.select("label", "text"), *dictionaries, params.window, "label int")
     counts = zdict.class_counts(labels, label, zdict.CALIBRATION_FOLD)
     calibration = zdict.calibrate(measured.collect(), counts, FEATURES)

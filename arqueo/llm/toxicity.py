@@ -29,8 +29,8 @@ PRIMER = bytes([0, 1, 2, 3, 4, 5, 6, 7, 8, 14, 15, 16, 17, 18, 19, 20, 21, 22, 2
 OVERLAP = 8
 
 #: Bytes that a window gains, each of which is a threshold whose weight is learnt.
-GAINS = (1, 2, 3, 4)
-FEATURES = 8 + len(GAINS)
+GAINS = (1, 2, 3, 4, 5, 6, 7, 8)
+FEATURES = 6 + 2 * len(GAINS)
 
 
 @dataclass(frozen=True)
@@ -38,10 +38,10 @@ class Params:
     """Bounds of what is learnt from: rows of each class, whose texts are read whole, and segments.
     ``miss_cost``: how many false alarms weigh as much as a toxic text that is missed."""
 
-    window: int = 48
+    window: int = 24
     segments: int = 160
     cover: int = 8
-    rows_per_class: int = 400
+    rows_per_class: int = 1000
     calibration_rows: int = 1500
     miss_cost: float = 3.0
     threshold: float = 0.7
@@ -55,35 +55,28 @@ class Model:
     params: Params
 
 
-#: Longer runs without white space are no words to learn from; scoring reads them like all else.
-LONGEST_WORD = 64
-#: A text counts for a segment at most so often.
-MOST_COUNTED = 8
-
-
 def _word_counts(sample: DataFrame) -> DataFrame:
-    """label, words and counts (at most MOST_COUNTED) of each whole text, in lower case."""
+    """label, words and counts of each whole text, in lower case."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        words, counts = [], []
-        for t in texts(batch.column("text")):
-            found = Counter(w for w in t.lower().split() if len(w) <= LONGEST_WORD)
-            words.append(list(found))
-            counts.append([min(MOST_COUNTED, n) for n in found.values()])
-        columns = [batch.column("label"), pa.array(words, pa.list_(pa.binary())), pa.array(counts, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(columns, ["label", "words", "counts"])
+        found = [Counter(t.lower().split()) for t in texts(batch.column("text"))]
+        words = pa.array([list(x) for x in found], pa.list_(pa.binary()))
+        counts = pa.array([list(x.values()) for x in found], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("label"), words, counts], ["label", "words", "counts"])
 
-    return map_texts(sample.select("label", "text"), "label int, words array<binary>, counts array<int>", run)
+    return map_texts(sample.select("label", "text"), "label int, words array<binary>, counts array<bigint>", run)
 
 
 def _segments(words: dict[bytes, int], low: int = 5, high: int = 9) -> Counter[bytes]:
-    """How often the text has each byte segment of its words; a word's first has the space before it."""
+    """What each byte segment of a text's words counts: log2(1 + how often it is there), so that a text which
+    repeats itself doesn't decide. A word's first segments have the space before it; texts without
+    spaces are one long word."""
     out: Counter[bytes] = Counter()
     for w, k in words.items():
         w = b" " + w
         for g in {w[i : i + n] for n in range(low, high + 1) for i in range(len(w) - n + 1)}:
-            out[g] = min(MOST_COUNTED, out[g] + k)
-    return out
+            out[g] += k
+    return Counter({g: math.log2(1 + k) for g, k in out.items()})
 
 
 def _surprise(k: int, n: int, k2: int, n2: int) -> float:
@@ -94,7 +87,7 @@ def _surprise(k: int, n: int, k2: int, n2: int) -> float:
 
 
 def distinctive(
-    own: list[dict[bytes, int]], other: list[dict[bytes, int]], most: int, cover: int, ratio: float = 15, least_surprise: float = 10
+    own: list[dict[bytes, int]], other: list[dict[bytes, int]], most: int, cover: int, ratio: float = 5, least_surprise: float = 15
 ) -> bytes:
     """Dictionary content: segments frequent in ``own`` texts (words with counts) and rare in ``other`` ones.
 
@@ -168,9 +161,8 @@ def features(text: bytes, ordinary: bytes, toxic: bytes, window: int) -> list[fl
         math.log1p(50 * max(0.0, g.sum() / n)),
         against / n,
         *(math.log1p(k) for k in hits),
+        *(math.log1p(20 * k / n) for k in hits),
         10 * hits[0] / n,
-        math.log1p(20 * hits[0] / n),
-        math.log1p(20 * hits[1] / n),
         float(min(10, hits[2])),
         math.log1p(n),
     ]
