@@ -110,10 +110,15 @@ def classify_columns(columns: DataFrame, stem: str = "devengado") -> DataFrame:
     )
 
 
-def measure_catalog(df: DataFrame, prefix: str = "monto_") -> DataFrame:
-    """position, column_name, data_type of the columns whose name starts with ``prefix``."""
+def measure_catalog(df: DataFrame, prefix: str = "monto_", counted: bool = False) -> DataFrame:
+    """position, column_name, data_type of the columns whose name starts with ``prefix``; if counted, also
+    the non_null and non_zero values of each, from one pass."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema, 1) if f.name.lower().startswith(prefix)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    listed = df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    if not counted or not rows:
+        return listed
+    found = _tidy(df, {c: {"non_null": F.count(F.col(c)), "non_zero": F.count_if(F.col(c) != 0)} for _, c, _ in rows})
+    return listed.join(found, "column_name").select("position", "column_name", "data_type", "non_null", "non_zero")
 
 
 def compare_names(left: DataFrame, right: DataFrame, column: str = "column_name") -> DataFrame:

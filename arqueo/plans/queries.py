@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arqueo import contracts
@@ -770,59 +770,82 @@ def not_null_violations(spark, d):
 # ---- structure, landing, dictionary ------------------------------------------------------------
 
 
+_SEEN = """seen AS (SELECT o_orderpriority AS source, o_orderstatus || '_' || o_custkey % 3 AS column_name, min(o_orderkey) AS f FROM orders WHERE o_orderkey % 11 <> o_custkey % 7 AND o_orderkey < 120 GROUP BY ALL),
+    c AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY f) AS position, column_name FROM seen)"""
+
+
+def _columns_of_sources(spark, d):
+    """Each priority is a source, the statuses of its first orders its columns, in the order in which they come."""
+    rows = table(spark, d, "orders").where("o_orderkey % 11 <> o_custkey % 7 and o_orderkey < 120")
+    name = F.concat("o_orderstatus", F.lit("_"), (F.col("o_custkey") % 3).cast("string"))
+    seen = rows.groupBy(F.col("o_orderpriority").alias("source"), name.alias("column_name")).agg(F.min("o_orderkey").alias("f"))
+    return seen.select("source", F.row_number().over(Window.partitionBy("source").orderBy("f")).alias("position"), "column_name")
+
+
 @query(
-    """SELECT * FROM (VALUES ('customer_a', true, true, true, '', ''), ('customer_b', true, true, false, '', ''),
-    ('customer_c', false, false, false, 'c_name', ''), ('customer_d', true, false, false, 'c_name', 'c_title'))
-    AS t(source, same_count, same_names, same_order, missing, additional)"""
+    f"""WITH {_SEEN}, base AS (SELECT * FROM c WHERE source = '1-URGENT'), pairs AS (SELECT s.source, base.column_name, base.position AS b FROM (SELECT DISTINCT source FROM c) s, base),
+    x AS (SELECT coalesce(pairs.source, c.source) AS source, coalesce(pairs.column_name, c.column_name) AS column_name, b, position AS p FROM pairs FULL JOIN c ON c.source = pairs.source AND c.column_name = pairs.column_name)
+    SELECT source, count(p) = count(b) AS same_count, count(*) FILTER (WHERE p IS NULL OR b IS NULL) = 0 AS same_names, count(*) FILTER (WHERE p IS DISTINCT FROM b) = 0 AS same_order,
+        coalesce(string_agg(column_name, ',' ORDER BY column_name) FILTER (WHERE p IS NULL), '') AS missing,
+        coalesce(string_agg(column_name, ',' ORDER BY column_name) FILTER (WHERE b IS NULL), '') AS additional FROM x GROUP BY source"""
 )
 def schema_comparison(spark, d):
-    names = table(spark, d, "customer").columns
-    variants = {
-        "customer_a": names,
-        "customer_b": [names[1], names[0], *names[2:]],
-        "customer_c": [names[0], *names[2:]],
-        "customer_d": [names[0], "c_title", *names[2:]],
-    }
-    return profile.schema_comparison(profile.schema_table(variants, spark), "customer_a")
+    return profile.schema_comparison(_columns_of_sources(spark, d), "1-URGENT")
+
+
+_CATALOG = {"monto_price": "CAST(l_extendedprice AS DECIMAL(24,2))", "monto_tax": "CASE WHEN l_linenumber <> 3 THEN CAST(l_tax AS DECIMAL(24,2)) END"}
 
 
 @query(
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"({i}, '{c}', 'decimal(24,2)')" for i, c in enumerate(contracts.MEASURES, 1 + 1 + len(contracts.CODES) + len(contracts.NAMES)))
-    + ") AS t(position, column_name, data_type)"
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, 'decimal(24,2)' AS data_type, count({x}) AS non_null, count(*) FILTER (WHERE {x} <> 0) AS non_zero FROM lineitem"
+        for i, (c, x) in enumerate(_CATALOG.items(), 2)
+    )
 )
 def measure_catalog(spark, d):
-    return profile.measure_catalog(spark.createDataFrame([], contracts.staging_schema()))
+    amounts = [F.expr(x).alias(c) for c, x in _CATALOG.items()]
+    return profile.measure_catalog(table(spark, d, "lineitem").select("l_orderkey", *amounts), counted=True)
+
+
+_NAMED = "SELECT DISTINCT CASE WHEN l_linenumber = 1 THEN 'monto_devengado_anual' WHEN l_linenumber = 2 THEN 'DEVENGADO_' || l_returnflag WHEN l_linenumber = 3 THEN l_linestatus ELSE 'MONTO_DEVENGADO_' || m END AS column_name"
 
 
 @query(
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"('{c}', 'monthly', {i})" for i, c in enumerate(contracts.MONTHLY, 1))
-    + ", ('monto_devengado_anual', 'annual', NULL)) AS t(column_name, class, month_number)"
+    f"""WITH months(i, m) AS (VALUES {', '.join(f"({i}, '{m.upper()}')" for i, m in enumerate(contracts.MONTHS, 1))}),
+    n AS ({_NAMED} FROM lineitem JOIN months ON i = month(l_shipdate))
+    SELECT column_name, CASE WHEN i IS NOT NULL THEN 'monthly' WHEN column_name = 'monto_devengado_anual' THEN 'annual' ELSE 'other' END AS class, i AS month_number
+    FROM n LEFT JOIN months ON column_name = 'MONTO_DEVENGADO_' || m WHERE contains(lower(column_name), 'devengado')"""
 )
 def column_classification(spark, d):
-    columns = [(c,) for c in contracts.staging_schema().names]
-    return profile.classify_columns(spark.createDataFrame(columns, "column_name string"))
-
-
-_EVENTS = [
-    ("a", "success", 10, "h1", "2026-01-01T00:00:00"), ("a", "updated", 12, "h2", "2026-02-01T00:00:00"),
-    ("b", "success", 20, "h3", "2026-01-05T00:00:00"), ("c", "failed", 0, "h4", "2026-01-06T00:00:00"),
-    ("d", "unchanged", 7, "h5", "2026-01-07T00:00:00"), ("e", "refreshed", 9, "h6", "2026-01-08T00:00:00"),
-]
-_FILES = [("a", 12, "h2"), ("b", 20, "other"), ("c", 0, "h4"), ("e", 8, "h6")]
-_EVENTS_SQL = "m(source_id, status, file_size_bytes, sha256_hash, recorded_at) AS (VALUES " + ", ".join(map(str, _EVENTS)) + ")"
-_FILES_SQL = "f(source_id, length, sha256) AS (VALUES " + ", ".join(map(str, _FILES)) + ")"
+    month = F.element_at(F.array(*[F.lit(m.upper()) for m in contracts.MONTHS]), F.month("l_shipdate"))
+    line = F.col("l_linenumber")
+    name = F.when(line == 1, "monto_devengado_anual").when(line == 2, F.concat(F.lit("DEVENGADO_"), "l_returnflag")).when(line == 3, F.col("l_linestatus"))
+    names = table(spark, d, "lineitem").select(name.otherwise(F.concat(F.lit("MONTO_DEVENGADO_"), month)).alias("column_name")).distinct()
+    return profile.classify_columns(names)
+
+
+_STATUSES = ("success", "updated", "failed", "unchanged", "refreshed", "success")
+_EVENTS_SQL = f"""m AS (SELECT 's' || user_id % 60 AS source_id, list_extract({list(_STATUSES)}, CAST(event_id % 6 + 1 AS INT)) AS status,
+    user_id % 60 * 10 + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS file_size_bytes, 'h' || CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END AS sha256_hash, lpad(CAST(event_id // 2 AS VARCHAR), 12, '0') || event_type AS recorded_at FROM events)"""
+_FILES_SQL = "f AS (SELECT 's' || c_custkey AS source_id, c_custkey * 10 AS length, 'h0' AS sha256 FROM customer WHERE c_custkey % 7 <> 3)"
 _LATEST_SQL = "latest AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY recorded_at DESC, sha256_hash DESC) = 1)"
 
 
-def _manifests(spark):
-    return spark.createDataFrame(_EVENTS, "source_id string, status string, file_size_bytes int, sha256_hash string, recorded_at string")
+def _manifests(spark, d):
+    """Events as those of landings: a source, what happened, size and hash, and when."""
+    event, source = F.col("event_id"), F.col("user_id") % 60
+    return table(spark, d, "events").select(
+        F.concat(F.lit("s"), source).alias("source_id"),
+        F.element_at(F.array(*[F.lit(x) for x in _STATUSES]), (event % 6 + 1).cast("int")).alias("status"),
+        (source * 10 + F.when(event % 5 == 0, 1).otherwise(0)).alias("file_size_bytes"),
+        F.concat(F.lit("h"), F.when(event % 4 == 0, "1").otherwise("0")).alias("sha256_hash"),
+        F.concat(F.lpad(F.floor(event / 2).cast("string"), 12, "0"), "event_type").alias("recorded_at"),
+    )
 
 
 @query(f"WITH {_EVENTS_SQL}, {_LATEST_SQL} SELECT * FROM latest")
 def manifest_latest(spark, d):
-    return landing.latest_manifests(_manifests(spark))
+    return landing.latest_manifests(_manifests(spark, d))
 
 
 @query(
@@ -832,8 +855,9 @@ def manifest_latest(spark, d):
     SELECT *, reason IS NULL AS valid FROM x"""
 )
 def verify_sources(spark, d):
-    files = spark.createDataFrame(_FILES, "source_id string, length int, sha256 string")
-    return landing.verify(_manifests(spark), files)
+    key = F.col("c_custkey")
+    files = table(spark, d, "customer").where(key % 7 != 3).select(F.concat(F.lit("s"), key).alias("source_id"), (key * 10).alias("length"), F.lit("h0").alias("sha256"))
+    return landing.verify(_manifests(spark, d), files)
 
 
 @query(
@@ -867,11 +891,13 @@ def content_digest(spark, d):
     return table(spark, d, "pages").select("page_id", landing.content_digest(F.encode("html", "UTF-8")).alias("sha256"))
 
 
-@query("SELECT * FROM (VALUES ('left', 'o_comment'), ('right', 'o_orderpriority'), ('right', 'o_orderdate')) AS t(side, column_name)")
+@query(
+    """WITH n AS (SELECT p_name || ' ' || p_brand AS column_name, p_size FROM part), l AS (SELECT DISTINCT column_name FROM n WHERE p_size % 5 = 0), r AS (SELECT DISTINCT column_name FROM n WHERE p_size % 7 = 0)
+    SELECT 'left' AS side, column_name FROM (FROM l EXCEPT FROM r) UNION ALL SELECT 'right', column_name FROM (FROM r EXCEPT FROM l)"""
+)
 def dictionary_diff(spark, d):
-    names = [(c,) for c in table(spark, d, "orders").columns]
-    documented = [(c,) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_comment")]
-    return profile.compare_names(spark.createDataFrame(documented, "column_name string"), spark.createDataFrame(names, "column_name string"))
+    parts = table(spark, d, "part").select("p_size", F.concat_ws(" ", "p_name", "p_brand").alias("column_name"))
+    return profile.compare_names(parts.where("p_size % 5 = 0"), parts.where("p_size % 7 = 0"))
 
 
 @query("SELECT '| ' || r_regionkey || ' | ' || replace(r_name || '|' || chr(10) || 'x', '|', '\\|') || ' |' AS line FROM region".replace("chr(10)", "' '"))

@@ -1,8 +1,7 @@
-"""Catalog tables: layers as databases, statistics, sizes, and publishing after validation."""
+"""Catalog tables: layers as databases, statistics, sizes."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,33 +42,3 @@ def table_sizes(spark: SparkSession, tables: list[str]) -> DataFrame:
         number = lambda pattern: F.regexp_extract("data_type", pattern, 1).try_cast("bigint")
         parts.append(detail.select(F.lit(t).alias("table_name"), number(r"(\d+) bytes").alias("bytes"), number(r"(\d+) rows").alias("row_count")))
     return reduce(DataFrame.unionByName, parts)
-
-
-def publish(df: DataFrame, path: str, check: Callable[[DataFrame], None]) -> DataFrame:
-    """Write beside ``path``, validate what was written, and only then put it in its place.
-
-    ``check`` raises if the data is not fit; what stood at ``path`` then stays as it was. The old table
-    is set aside before the new one takes its name, and put back if that fails or, on the next
-    call, if the process was stopped in between.
-    """
-    spark = df.sparkSession
-    path = path.rstrip("/")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    target, source, aside = hadoop(path), hadoop(f"{path}__staged"), hadoop(f"{path}__old")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(aside) and not fs.exists(target):
-        fs.rename(aside, target)
-    df.write.mode("overwrite").parquet(f"{path}__staged")
-    try:
-        check(spark.read.parquet(f"{path}__staged"))
-    except Exception:
-        fs.delete(source, True)
-        raise
-    fs.delete(aside, True)
-    if fs.exists(target) and not fs.rename(target, aside):
-        raise OSError(f"could not set {path} aside")
-    if not fs.rename(source, target):
-        fs.rename(aside, target)
-        raise OSError(f"could not move {path}__staged to {path}")
-    fs.delete(aside, True)
-    return spark.read.parquet(path)

@@ -303,18 +303,9 @@ def test_cli(spark, tmp_path, capsys):
     assert "missing" in capsys.readouterr().err
 
 
-def test_publish_and_catalog(spark, tmp_path):
+def test_catalog(spark):
     from arqueo.sources import catalog
 
-    def refuse(df):
-        if df.count() < 3:
-            raise ValueError("too few")
-
-    target = str(tmp_path / "t")
-    assert catalog.publish(spark.range(5), target, refuse).count() == 5
-    with pytest.raises(ValueError):
-        catalog.publish(spark.range(2), target, refuse)
-    assert spark.read.parquet(target).count() == 5
     catalog.create_layer(spark, "layer_x", "it's a layer")
     catalog.save_layer_table(spark.range(7), "layer_x.t")
     catalog.analyze(spark, "layer_x.t")
@@ -584,3 +575,89 @@ def test_cli_keeps_records_with_line_breaks(spark, tmp_path):
     assert spark.read.option("multiLine", True).csv(str(tmp_path / "d"), header=True).count() == 2
     assert cli.main(["grain", str(path), "--key", "key", "--multi-line", "--out", str(tmp_path / "g"), "--report", str(tmp_path / "gr")], spark) == 0
     assert one(spark.read.json(str(tmp_path / "gr"))).row_count == 3
+
+
+def test_snapshots(spark, tmp_path):
+    from arqueo.sources.snapshots import Snapshots
+
+    def refuse(tables):
+        if tables["table"].count() < 3:
+            raise ValueError("too few")
+
+    store = Snapshots(spark, f"file://{tmp_path}/t")
+    with pytest.raises(ValueError, match="nothing"):
+        store.read()
+    assert store.publish(spark.range(5), refuse) == 1
+    with pytest.raises(ValueError, match="too few"):
+        store.publish(spark.range(2), refuse)
+    assert store.versions() == [1] and len(list((tmp_path / "t" / "versions").iterdir())) == 1
+    old = store.read()
+    assert store.publish({"table": spark.range(9), "other": spark.range(1)}) == 2
+    assert (old.count(), store.read().count(), store.read("other").count(), store.read(version=1).count()) == (5, 9, 1, 5)
+    (tmp_path / "t" / "pointers" / "0000000003").write_bytes(b"")  # a publisher that is about to write
+    assert store.current() == 2 and store.publish(spark.range(4)) == 4
+    assert store.expire(1) == 2 and store.versions() == [4] and store.read().count() == 4
+    with pytest.raises(ValueError, match="no version 1"):
+        store.read(version=1)
+
+
+def test_readers_find_a_version_while_others_publish(spark, tmp_path):
+    """Two publishers and a reader at once: the reader always finds a whole version, and none is lost."""
+    import threading
+
+    from arqueo.sources.snapshots import Snapshots
+
+    path = f"file://{tmp_path}/t"
+    Snapshots(spark, path).publish(spark.range(10).withColumn("v", F.lit(0)))
+    problems, done = [], threading.Event()
+
+    def publish(v):
+        try:
+            for i in range(4):
+                Snapshots(spark, path).publish(spark.range(10).withColumn("v", F.lit(v + i)))
+        except Exception as e:
+            problems.append(e)
+
+    def read():
+        while not done.is_set():
+            try:
+                rows = Snapshots(spark, path).read().collect()
+                if len(rows) != 10 or len({r.v for r in rows}) != 1:
+                    problems.append(rows)
+            except Exception as e:
+                problems.append(e)
+
+    reader = threading.Thread(target=read)
+    writers = [threading.Thread(target=publish, args=(v,)) for v in (10, 20)]
+    for t in (reader, *writers):
+        t.start()
+    for t in writers:
+        t.join()
+    done.set()
+    reader.join()
+    assert not problems
+    assert Snapshots(spark, path).versions() == list(range(1, 10))
+
+
+def test_stream_upsert_equals_one_batch(spark, tmp_path):
+    """Three files as three batches, one of them sent again, with a restart between, equal one consolidation."""
+    from arqueo.sources.snapshots import Snapshots
+    from arqueo.streaming import intake, upsert
+
+    grain = consolidate.Grain(("k",), ("pim",))
+    parts = [
+        [("a", "u", "1.005"), ("b", None, "2"), ("b", None, "2")], [("a", "u", "1.005"), ("a", "u", "3"), ("c", "w", "")], [("b", None, "2"), (None, "x", "7"), ("c", "w", "-1")],
+    ]
+    src, mark = str(tmp_path / "in"), str(tmp_path / "mark")
+    schema = texts(spark, ["k", "d", "pim"], []).schema
+    store = Snapshots(spark, f"file://{tmp_path}/out")
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        upsert.upsert_available(intake.file_stream(spark, src, schema), store, grain, mark)
+    upsert.merge(store, spark.createDataFrame(parts[2], schema), 2, grain)
+    whole = consolidate.consolidate(consolidate.unique_rows(consolidate.normalise(spark.createDataFrame(sum(parts, []), schema), grain)), grain)
+    assert sorted(map(tuple, store.read("keys").collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    assert len(store.versions()) == 2
+    with pytest.raises(ValueError, match="no amounts"):
+        upsert.merge(store, spark.createDataFrame([("z", "q", "1,5")], schema), 9, grain)
+    assert store.read("progress").first().batch_id == 2
