@@ -4,31 +4,38 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arqueo.contracts import require_columns
 from arqueo.functions.exprs import row_digest
 
 
-def group_summary(counts: DataFrame, none: int) -> DataFrame:
-    """From group sizes ``n``: rows, unique, groups, extra rows, rows in groups, largest, rate.
-
-    ``none`` is the largest size where no group has more than one row.
-    """
+def _group_metrics(none: int) -> list[Column]:
     many = F.col("n") > 1
-    summed = counts.agg(
+    return [
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.count(F.lit(1)).alias("unique_count"),
         F.count_if(many).alias("group_count"),
         F.coalesce(F.sum(F.when(many, F.col("n") - 1)), F.lit(0)).alias("extra_rows"),
         F.coalesce(F.sum(F.when(many, F.col("n"))), F.lit(0)).alias("rows_in_groups"),
         F.coalesce(F.max(F.when(many, F.col("n"))), F.lit(none).cast("bigint")).alias("max_occurrences"),
-    )
-    rate = F.round(F.coalesce(F.try_divide(F.col("extra_rows").cast("double"), F.col("row_count").cast("double")), F.lit(0.0)), 10)
+    ]
+
+
+def _with_rate(summed: DataFrame) -> DataFrame:
+    rate = F.bround(F.coalesce(F.try_divide(F.col("extra_rows").cast("double"), F.col("row_count").cast("double")), F.lit(0.0)), 10)
     return summed.withColumn("duplicate_rate", rate)
 
 
+def group_summary(counts: DataFrame, none: int) -> DataFrame:
+    """From group sizes ``n``: rows, unique, groups, extra rows, rows in groups, largest, rate.
+
+    ``none`` is the largest size where no group has more than one row.
+    """
+    return _with_rate(counts.agg(*_group_metrics(none)))
+
+
 def duplicate_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows that are equal in all ``columns``, on raw values; nulls equal nulls."""
     counts = df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("n"))
@@ -43,24 +50,35 @@ def largest_groups(df: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
 
 
 def key_uniqueness(df: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
-    """For each candidate key, what ``group_summary`` says.
+    """For each candidate key, what ``group_summary`` says; keys may nest, cross or have nothing in common.
 
-    The groups of a key are counted from those of a finer key where there is one, whose exchange
-    the plan shares; so rows are shuffled once for a chain of keys. No digest and no explosion of
-    rows is needed.
+    Rows are tagged by key and counted in their tasks first, so that all keys take one scan and one
+    exchange, in which a hot key value is a row for each task. No digest of rows is needed.
     """
     for columns in keys.values():
         require_columns(df.columns, columns)
-    counts: dict[str, DataFrame] = {}
-    for name in sorted(keys, key=lambda k: -len(set(keys[k]))):
-        finer = [k for k in counts if set(keys[name]) < set(keys[k])]
-        if finer:
-            source, size = counts[min(finer, key=lambda k: len(keys[k]))], F.sum("_n")
-        else:
-            source, size = df, F.count(F.lit(1))
-        counts[name] = source.groupBy(*keys[name]).agg(size.alias("_n"))
-    parts = [group_summary(counts[k].select(F.col("_n").alias("n")), 0).select(F.lit(k).alias("key_name"), "*") for k in keys]
-    return reduce(DataFrame.unionByName, parts)
+    tagged = tag_groups(df, {k: tuple(c) for k, c in keys.items()}, F.count(F.lit(1)).alias("arqueo_n"))
+    summed = tagged.select("key_name", F.col("arqueo_n").alias("n")).groupBy("key_name").agg(*_group_metrics(0))
+    names = df.sparkSession.createDataFrame([(k,) for k in keys], "key_name string")
+    return _with_rate(names.join(summed, "key_name", "left").na.fill(0))
+
+
+def tag_groups(df: DataFrame, groups: dict[str, tuple[str, ...]], *metrics: Column) -> DataFrame:
+    """key_name, the metrics and all columns of the groupings (null where they are none of the key's) of
+    each group of each named grouping, by one exchange of grouping sets. Nulls equal nulls.
+    """
+    columns = list(dict.fromkeys(c for own in groups.values() for c in own))
+    sets = {name: frozenset(own) for name, own in groups.items()}
+    distinct = sorted({tuple(c for c in columns if c in own) for own in sets.values()})
+    # The bits of grouping_id, the first column's the highest, tell which columns are left out.
+    bits = {own: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in own) for own in distinct}
+    mark = "arqueo_grouping"
+    found = df.groupingSets([[F.col(f"`{c}`") for c in own] for own in distinct], *[F.col(f"`{c}`") for c in columns]).agg(F.grouping_id().alias(mark), *metrics)
+    named: dict[int, list[str]] = {}
+    for name, own in sets.items():
+        named.setdefault(bits[tuple(c for c in columns if c in own)], []).append(name)
+    names = F.explode(F.map_from_entries(F.array(*[F.struct(F.lit(b).cast("bigint"), F.array(*map(F.lit, n))) for b, n in named.items()]))[F.col(mark).cast("bigint")])
+    return found.withColumn("key_name", names).drop(mark)
 
 
 def collision_samples(df: DataFrame, key: list[str], order: list[str], groups: int = 20, rows: int = 2) -> DataFrame:

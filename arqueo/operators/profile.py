@@ -26,7 +26,7 @@ def null_counts(df: DataFrame, columns: list[str] | None = None, digits: int = 8
     metrics = {
         c: {"row_count": F.count(F.lit(1)), "null_count": F.count_if(F.col(c).isNull())} for c in columns or df.columns
     }
-    rate = F.round(F.try_divide(F.col("null_count").cast("double"), F.col("row_count").cast("double")), digits)
+    rate = F.bround(F.try_divide(F.col("null_count").cast("double"), F.col("row_count").cast("double")), digits)
     return _tidy(df, metrics).withColumn("null_rate", rate)
 
 

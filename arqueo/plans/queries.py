@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from arqueo import contracts
 from arqueo.contracts import BlankRule
 from arqueo.functions import exprs
-from arqueo.operators import audit, consolidate, duplicates, model, profile, quality, reconcile, relationships
+from arqueo.operators import audit, consolidate, duplicates, model, profile, quality, reconcile, relationships, sketches
 from arqueo.plans import marts
+from arqueo.plans.cube import Cube
+from arqueo.plans.marts import AMOUNTS
 from arqueo.plans.tables import DIMENSIONS, MEASURES, STAGING_SQL, staging, table
 from arqueo.sources import landing
 from arqueo.sources.files import markdown_rows
@@ -440,6 +443,34 @@ def column_statistics_approximate(spark, d):
     return profile.column_statistics(table(spark, d, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"], approximate=True)
 
 
+_SKETCHED = ("l_orderkey", "l_partkey", "l_extendedprice")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, CAST(count(*) - count({c}) AS BIGINT) AS nulls, count(DISTINCT {c}) AS exact_distinct, true AS distinct_close, true AS median_close FROM lineitem"
+        for c in _SKETCHED
+    )
+)
+def merged_sketches(spark, d):
+    """Sketches stored by year and merged over years, held against exact counts: distinct values within 5 %,
+    the median's rank within 2 %."""
+    lines = table(spark, d, "lineitem").select(F.year("l_shipdate").alias("year"), *_SKETCHED)
+    stored = write_shared(sketches.sketched(lines, ["year"], list(_SKETCHED)))
+    asked = sketches.answers(sketches.merged(stored), (0.5,))
+    medians = asked.groupBy().pivot("column_name", list(_SKETCHED)).agg(F.first(F.col("quantiles")[0]))
+    below = [F.count_if(F.col(f"lineitem.{c}") <= F.col(f"m.{c}")).alias(c) for c in _SKETCHED]
+    ranked = lines.alias("lineitem").crossJoin(F.broadcast(medians.alias("m"))).agg(*below)  # one row of medians
+    ranks = ranked.unpivot([], list(_SKETCHED), "column_name", "rank")
+    exact = lines.agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED]).unpivot([], list(_SKETCHED), "column_name", "exact_distinct")
+    both = asked.join(exact, "column_name").join(ranks, "column_name")
+    return both.select(
+        "column_name", "row_count", "nulls", "exact_distinct",
+        (F.abs(F.col("distinct_values") - F.col("exact_distinct")) <= 0.05 * F.col("exact_distinct")).alias("distinct_close"),
+        (F.col("rank") >= 0.48 * F.col("row_count")).alias("median_close"),
+    )
+
+
 # ---- duplicates, grain, consolidation ----------------------------------------------------------
 
 _LENGTH = "unhex(lpad(hex(strlen({v})), 16, '0')) || encode({v})"
@@ -476,16 +507,26 @@ def duplicate_groups_topk(spark, d):
 _KEYS = {"maximal": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], "compact": ["l_orderkey", "l_linenumber"]}
 
 
-@query(
-    " UNION ALL ".join(
+_CROSSING = {"line": ["l_orderkey", "l_linenumber"], "supply": ["l_partkey", "l_suppkey"], "place": ["l_suppkey", "l_linenumber"]}
+
+
+def _keys_sql(keys: dict[str, list[str]]) -> str:
+    return " UNION ALL ".join(
         f"SELECT '{n}' AS key_name, * FROM ({_GROUPS.format(none=0, counts=f'SELECT count(*) AS n FROM lineitem GROUP BY {chr(44).join(k)}')})"
-        for n, k in _KEYS.items()
+        for n, k in keys.items()
     )
-)
+
+
+@query(_keys_sql(_KEYS))
 def candidate_key_uniqueness(spark, d):
     return duplicates.key_uniqueness(table(spark, d, "lineitem"), _KEYS)
 
 
+@query(_keys_sql(_CROSSING))
+def crossing_key_uniqueness(spark, d):
+    return duplicates.key_uniqueness(table(spark, d, "lineitem"), _CROSSING)
+
+
 @query(
     """WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY ALL HAVING count(*) > 1 ORDER BY occurrences DESC, l_orderkey, l_linenumber LIMIT 20),
     r AS (SELECT l.l_orderkey, l.l_linenumber, l_partkey, l_suppkey, occurrences,
@@ -579,6 +620,33 @@ def rounding_samples(spark, d):
     return audit.rounding_samples(_amount_texts(spark, d), ["amount_text"], "l_orderkey", 5)
 
 
+# ---- slices from a stored cube -----------------------------------------------------------------
+
+_LEVELS = {
+    "month": ("year", "month", "segment"), "place": ("year", "segment", "region", "nation"), "function": ("year", "brand", "type"),
+    "financing": ("returnflag", "linestatus", "priority"), "year": ("year",), "finest": ("year", "month", "segment", "region", "nation", "returnflag", "priority"),
+}
+#: What is asked of the cube: columns, and filters.
+_SLICES = {
+    "by_year": (["year"], {}), "segments_of_1996": (["segment"], {"year": 1996}), "nations_of_asia": (["nation"], {"region": "ASIA", "year": [1995, 1996]}),
+    "brands": (["brand"], {"type": "ECONOMY"}), "flags": (["returnflag", "linestatus"], {}), "late_months": (["year"], {"month": [11, 12], "segment": "MACHINERY"}),
+}
+
+
+def _slice_sql(name: str) -> str:
+    by, filters = _SLICES[name]
+    values = lambda v: ", ".join(repr(x) for x in (v if isinstance(v, list) else [v]))
+    where = " AND ".join(f"{c} IN ({values(v)})" for c, v in filters.items()) or "true"
+    return f"""SELECT '{name}' AS slice, concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in by)}) AS item, {sums('budget', 'committed', 'accrued')} FROM staging WHERE {where} GROUP BY ALL"""
+
+
+@query("|" + " UNION ALL ".join(_slice_sql(n) for n in _SLICES), True)
+def cube_slices(spark, d):
+    cube = Cube.build(staging(spark, d), _LEVELS)
+    parts = [cube.slice(by, **filters).select(F.lit(n).alias("slice"), F.concat_ws("|", *by).alias("item"), *AMOUNTS) for n, (by, filters) in _SLICES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- relationships -----------------------------------------------------------------------------
 
 _CHECKS = {
@@ -598,7 +666,7 @@ def _relationship_sql(name: str, key: list[str], attributes: list[str]) -> str:
 
 @query("|" + " UNION ALL ".join(_relationship_sql(n, k, a) for n, (k, a) in _CHECKS.items()), True)
 def relationship_check(spark, d):
-    return relationships.relationships(write_shared(staging(spark, d)), _CHECKS)
+    return relationships.relationships(staging(spark, d), _CHECKS)
 
 
 _REFINED = {"partial": (["type"], ["brand"]), "full": (["type", "size"], ["brand"])}

@@ -15,20 +15,24 @@ def write_shared(df: DataFrame) -> DataFrame:
 
 
 def write_shared_at(df: DataFrame) -> tuple[DataFrame, str]:
-    """The table that :func:`write_shared` gives, and the folder it is in.
+    """The table that :func:`write_shared` gives, and the folder it is in."""
+    path = shared_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A fresh folder's path in the folder that the session names in spark.checkpoint.dir.
 
     Only where the session names none and runs on one machine, as in tests, a local temporary folder is
     used; on a cluster each executor would write to a disk of its own.
     """
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = _local_folder()
-    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
 
 
 def remove_shared(spark: SparkSession, path: str) -> None:

@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -661,3 +662,67 @@ def test_stream_upsert_equals_one_batch(spark, tmp_path):
     with pytest.raises(ValueError, match="no amounts"):
         upsert.merge(store, spark.createDataFrame([("z", "q", "1,5")], schema), 9, grain)
     assert store.read("progress").first().batch_id == 2
+
+
+def exchanges(df):
+    """The exchanges of a plan that are dealt by keys."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_checks_share_one_exchange(spark):
+    """Nine dependencies and three keys that cross read the rows once and exchange them once."""
+    rng = random.Random(3)
+    rows = [tuple(rng.choice([None, "1", "2", "3", "4"]) for _ in range(6)) for _ in range(300)]
+    df = texts(spark, list("abcdef"), rows)
+    checks = {f"r{i}": (["a", "b", "c"][: i % 3 + 1], ["d", "e", "f"][: i // 3 + 1]) for i in range(9)}
+    out = relationships.relationships(df, checks)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Scan ExistingRDD[a#") == 1
+    got = {r.relationship: tuple(r)[1:] for r in out.collect()}
+    for name, (key, attributes) in checks.items():
+        at = {c: i for i, c in enumerate("abcdef")}
+        variants = {(tuple(r[at[c]] for c in key), tuple(r[at[c]] for c in attributes)) for r in rows}
+        n = Counter(k for k, _ in variants)
+        assert got[name] == (len(n), len(variants), sum(v > 1 for v in n.values()), len(variants) - len(n), max(n.values()))
+    assert {tuple(r)[1:] for r in relationships.relationships(df.limit(0), checks).collect()} == {(0, 0, 0, 0, 0)}
+    keys = {"ab": ["a", "b"], "cd": ["c", "d"], "bd": ["b", "d"], "ba": ["b", "a"]}
+    out = duplicates.key_uniqueness(df, keys)
+    # One exchange of groups by key, one of their summaries, and that of the names.
+    assert exchanges(out) <= 3
+    for r in out.collect():
+        n = Counter(tuple(x["abcdef".index(c)] for c in keys[r.key_name]) for x in rows)
+        assert (r.row_count, r.unique_count, r.max_occurrences) == (300, len(n), max(n.values()))
+    assert [r.row_count for r in duplicates.key_uniqueness(df.limit(0), keys).collect()] == [0] * 4
+
+
+def test_cube_answers_from_the_smallest_level(spark, tmp_path):
+    from arqueo.plans.cube import Cube
+
+    df = spark.range(600).selectExpr("cast(id % 3 as int) y", "cast(id % 5 as int) m", "cast(id % 7 as int) s", "cast(id as decimal(24,2)) budget", "cast(1 as decimal(24,2)) accrued")
+    df.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    cube = Cube.build(facts, {"fine": ("y", "m", "s"), "ym": ("y", "m"), "y": ("y",)}, ("budget", "accrued"), str(tmp_path / "cube"))
+    assert cube.sizes == {"fine": 105, "ym": 15, "y": 3}
+    assert (cube.level_for({"y"}), cube.level_for({"m"}), cube.level_for({"s", "y"})) == ("y", "ym", "fine")
+    for by, filters in ((["y"], {}), (["y"], {"m": [1, 2]}), (["s"], {"y": 2, "m": None}), (["m", "y"], {})):
+        out = cube.slice(by, **filters)
+        assert not [x for x in out.inputFiles() if "/facts/" in x]
+        want = marts.amounts_by(marts.sliced(facts, **filters), by, ("budget", "accrued"))
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    with pytest.raises(ValueError, match="no level"):
+        cube.slice(["z"])
+    cube.remove()
+
+
+def test_sketches_merge(spark):
+    from arqueo.operators import sketches
+
+    df = spark.range(20000).selectExpr("cast(id % 4 as int) p", "id % 5000 as a", "cast(id % 100 as string) t", "case when id % 2 = 0 then cast(id as double) end as h", "cast(null as int) as z")
+    parts = sketches.sketched(df, ["p"], ["a", "t", "h", "z"])
+    assert parts.count() == 16
+    got = {r.column_name: r for r in sketches.answers(sketches.merged(parts), (0.5,)).collect()}
+    assert abs(got["a"].distinct_values - 5000) < 250 and abs(got["t"].distinct_values - 100) < 5 and got["z"].distinct_values == 0
+    assert abs(got["a"].quantiles[0] - 2500) < 100 and got["t"].quantiles is None and got["z"].quantiles is None
+    assert (got["h"].null_percent, got["z"].null_percent, got["a"].row_count) == (50.0, 100.0, 20000)
+    assert sketches.merged(parts, ["p"]).count() == 16
+    assert sketches.answers(sketches.merged(sketches.sketched(df.where("false"), ["p"], ["a"]))).count() == 0
