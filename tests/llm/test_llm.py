@@ -518,7 +518,7 @@ def test_repeated_tokens_brute():
 D = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op4_chat_format", "op6_page_text", "op7_jaccard_join", "op9_decontamination"])
+@pytest.mark.parametrize("name", ["op4_chat_format", "op6_page_text", "op7_jaccard_join", "op9_decontamination", "op11_collocations", "op12_minhash_dedup", "op13_prefix_trie"])
 def test_queries_with_sql(spark, name):
     import duckdb
 
