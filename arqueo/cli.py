@@ -38,10 +38,13 @@ def _tidy_report(parts: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
 
 
 def run_profile(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    """Null counts and inferred types of a sample, and with a dictionary which columns it documents."""
+    """Null counts and inferred types of a sample, the classes of accrual columns (of the others null), and
+    with a dictionary which columns it documents."""
     df = files.sample(_read(spark, a), a.sample_rows)
     nulls = profile.null_counts(df)
     out = nulls.join(spark.createDataFrame(list(files.inferred_types(df).items()), "column_name string, inferred_type string"), "column_name", "left")
+    names = spark.createDataFrame([(c,) for c in df.columns], "column_name string")
+    out = out.join(profile.classify_columns(names), "column_name", "left")
     if a.dictionary:
         known = files.read_text_csv(spark, a.dictionary, encoding=a.encoding).drop(files.CORRUPT)
         names = files.dictionary_variables(known, known.columns[0]).select(F.lower("variable").alias("column_name"))

@@ -426,6 +426,9 @@ def test_cli_quality_and_samples(spark, tmp_path):
     assert cli.main(["quality", str(path), "--year", "2026", "--report", str(tmp_path / "r")], spark) == 0
     got = {(r.control, r["item"], r.metric): (r.value, r.status) for r in spark.read.json(str(tmp_path / "r")).collect()}
     assert got["year", None, "mismatches"] == ("1", "failed") and got["reconciliation", None, "mismatches"] == ("1", "failed")
+    assert cli.main(["profile", str(path), "--report", str(tmp_path / "classes")], spark) == 0
+    kinds = {r.column_name: (r["class"], r["month_number"]) for r in spark.read.json(str(tmp_path / "classes")).select("column_name", "class", "month_number").collect()}
+    assert kinds["MONTO_DEVENGADO_MARZO"] == ("monthly", 3) and kinds["MONTO_DEVENGADO_ANUAL"] == ("annual", None) and kinds["ANO_EJE"] == (None, None)
     assert got["summary", None, "critical_failed"][0] == "2" and got["blanks", "meta_nombre", "unexpected"] == ("1", "warning")
     path.write_text("KEY,NAME,MONTO_PIM\n2,b,1\n1,a,2\n\n2,b,1\n1,a ,3\n")
     assert cli.main(["duplicates", str(path), "--out", str(tmp_path / "d"), "--report", str(tmp_path / "dr")], spark) == 0
@@ -443,6 +446,18 @@ def test_cli_quality_and_samples(spark, tmp_path):
     assert cli.main(["audit", str(path), "--measures", "18"], spark) == 1
 
 
+def test_entry_without_the_libraries_of_the_subpackage(tmp_path):
+    """The core queries load where a library that only arqueo.llm needs is missing."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    code = "import sys; sys.modules['zstandard'] = None; sys.modules['tiktoken'] = None; import __spark_entry__ as e; q = e.queries(); print(len(q), any(x.startswith('op1_') for x in q))"
+    out = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) > 70 and out[1] == "False"
+
+
 def test_empty_selection_has_an_answer(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     assert [tuple(r) for r in marts.or_message(df, "no data").collect()] == [(1, "a", None)]
