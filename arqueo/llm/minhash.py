@@ -8,10 +8,10 @@ Bands of a signature are buckets. BANDS and ROWS are chosen so that two sets at
 share no bucket with a probability of (1 - 0.85 ** ROWS) ** BANDS, below 1e-8; sets that are more alike
 with a smaller one. Sets are linked by their full shingles alone.
 
-Only components are asked for. In each bucket all sets are compared with a pivot, a few times; a set is
-verified with the best of its buckets' pivots. What is then left is every pair of a bucket whose components differ: pairs are
-dealt by bucket and size class and pass size and parity bitmap first, whose distance never exceeds the
-sets' true difference. So no bucket is too large to be looked at whole, and no link within one is lost.
+Only components are asked for. In each bucket all sets are compared with a pivot, and with another one
+while many pairs come of it; a set is verified with the best of its buckets' pivots. What is then left is
+every pair of a bucket whose components differ: pairs are dealt by bucket and size class and pass size
+and parity bitmap first, whose distance never exceeds the sets' true difference. So no bucket is too large to be looked at whole, and no link within one is lost.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ BANDS, ROWS = 40, 6
 #: The circle has 2 ** CIRCLE places. Shingles that meet in a place make sets look more alike, never less.
 CIRCLE = 22
 _CHUNK = 2048
-#: How often sets are compared with pivots before the rest of the pairs.
-PIVOT_ROUNDS = 2
+#: Pivots are chosen anew until a round has no more pairs than this, or not half as many as the one before;
+#: what then is left is looked at whole.
+FEW_PAIRS = 50_000
 
 
 @lru_cache(maxsize=2)
@@ -189,7 +190,11 @@ def components(docs: DataFrame, words: int = 5, num: int = 17, den: int = 20, ba
     full = entries.where("n > 0")
     firsts = tables.write(full.groupBy("set_id").agg(F.min("doc_id").alias("first")))
     buckets = _Buckets(tables, docs, full, firsts, words, num, den)
-    buckets.rest([buckets.pivot_round(i) for i in range(PIVOT_ROUNDS)])
+    seen, before, pairs = [], float("inf"), float("inf")
+    while not seen or FEW_PAIRS < pairs <= before / 2:
+        seen.append(buckets.pivot_round(len(seen)))
+        before, pairs = pairs, seen[-1].count()
+    buckets.rest(seen)
     known = buckets.labels.select(F.col("node").alias("set_id"), "component")
     labels = firsts.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     least = labels.groupBy("component").agg(F.min("first").alias("component_id"))
