@@ -230,9 +230,14 @@ def _write(docs: DataFrame, tokenizer_path: str, end_id: int) -> TokenFiles:
     rank_of_id = np.empty(size, np.uint32)
     rank_of_id[id_of_rank] = np.arange(size, dtype=np.uint32)
 
+    # The ranges are found from the ids alone, so that the texts are coded once.
+    bounds = _range_bounds(packed.select("doc_id"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, control, data = [], [], []
+            doc_ids = batch.column("doc_id")
+            shards = np.searchsorted(bounds, doc_ids.fill_null(0).to_numpy(), "right") * doc_ids.is_valid().to_numpy(False)
             for x in batch.column("ids").to_pylist():
                 ranks = rank_of_id[_unplanes(x, dtype)]
                 c, d = encode_ranks(ranks)
@@ -240,14 +245,12 @@ def _write(docs: DataFrame, tokenizer_path: str, end_id: int) -> TokenFiles:
                 control.append(c)
                 data.append(d)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int32()), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                ["doc_id", "n", "control", "data"],
+                [doc_ids, pa.array(counts, pa.int32()), pa.array(control, pa.binary()), pa.array(data, pa.binary()), pa.array(shards.astype(np.int32))],
+                ["doc_id", "n", "control", "data", "shard"],
             )
 
-    coded = packed.mapInArrow(code, "doc_id bigint, n int, control binary, data binary")
-    # The ranges are found from the ids alone, so that the texts are coded once.
-    bounds = _range_bounds(packed.select("doc_id"), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = coded.withColumn("shard", _shard_of(bounds)).repartitionById(len(bounds) + 1, F.col("shard"))
+    coded = packed.mapInArrow(code, "doc_id bigint, n int, control binary, data binary, shard int")
+    ordered = coded.repartitionById(len(bounds) + 1, F.col("shard"))
     ordered = ordered.sortWithinPartitions("doc_id", "n", "control", "data")
     files = TokenFiles(shared_dir(spark))
     ordered.mapInArrow(_blocks, _BLOCK_SCHEMA).write.option("compression", "none").parquet(files.blocks)
@@ -265,18 +268,6 @@ def _range_bounds(ids: DataFrame, n: int) -> list[int]:
     return sorted({int(x) for x in found})
 
 
-def _shard_of(bounds: list[int]) -> F.Column:
-    """Number of bounds that doc_id reaches, by halving."""
-
-    def pick(a: int, b: int) -> F.Column:
-        if a == b:
-            return F.lit(a)
-        mid = (a + b) // 2
-        return F.when(F.col("doc_id") >= bounds[mid], pick(mid + 1, b)).otherwise(pick(a, mid))
-
-    return F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(pick(0, len(bounds)))
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Gather consecutive documents into blocks of about BLOCK_IDS ids."""
     shard, block, rows, held = TaskContext.get().partitionId(), 0, [], 0
