@@ -60,27 +60,34 @@ def run_scan(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return profile.monthly_coverage(df.select(*[df[c].try_cast("decimal(24,2)").alias(c) for c in months]), months)
 
 
-def run_quality(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    """All controls that the columns allow, and their summary."""
-    df = _lower(_read(spark, a))
-    measures = [c for c in df.columns if c.startswith("monto_")]
-    amounts = df.select(*[c for c in df.columns if c not in measures], *[F.col(c).try_cast(contracts.AMOUNT).alias(c) for c in measures])
-    parts: dict[str, tuple[DataFrame, str | None]] = {
-        "nulls": (profile.null_counts(df), "column_name"),
-        "blanks": (quality.blank_counts(df, [c for c in df.columns if c not in measures]), "column_name"),
-    }
-    if measures:
-        parts["amounts"] = quality.amount_parse_errors(df, measures), "column_name"
-        parts["negatives"] = quality.negative_amounts(amounts, measures), "column_name"
-    months = [c for c in contracts.MONTHLY if c in df.columns]
-    if a.year and contracts.YEAR in df.columns and len(months) == 12:
-        parts["year"] = quality.year_control(df, contracts.YEAR, a.year), None
-        parts["reconciliation"] = quality.annual_reconciliation(amounts, months, contracts.annual_of(df.columns), a.tolerance), None
+def _controls(df: DataFrame, a: argparse.Namespace) -> dict[str, profile.Control]:
+    """The controls that the columns allow."""
+    columns = [c for c in df.columns if c != files.ROW_NUMBER]
+    measures = contracts.measures_of(columns) if any(c.startswith("monto_") for c in columns) else []
+    months = [c for c in contracts.MONTHLY if c in columns]
+    whole = bool(a.year) and contracts.YEAR in columns and len(months) == 12
+    return quality.controls_of(
+        columns, measures, (contracts.YEAR, a.year) if whole else None, months if whole else None, contracts.annual_of(columns) if whole else None, a.tolerance
+    )
+
+
+def _quality_report(found: dict[str, DataFrame]) -> DataFrame:
+    labels = {"nulls": "column_name", "blanks": "column_name", "amounts": "column_name", "negatives": "column_name"}
+    parts: dict[str, tuple[DataFrame, str | None]] = {k: (v, labels.get(k)) for k, v in found.items()}
+    if "year" in found and "amounts" in found:
         order = ("year", "reconciliation", "nulls", "blanks", "amounts", "negatives")
-        parts["summary"] = quality.quality_summary(*[parts[k][0] for k in order]), None
+        parts["summary"] = quality.quality_summary(*[found[k] for k in order]), None
     return _tidy_report(parts)
 
 
+def run_quality(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """All controls that the columns allow, and their summary, from one scan."""
+    df = _lower(_read(spark, a))
+    watched, results = profile.observed(df, _controls(df, a))
+    watched.write.format("noop").mode("overwrite").save()
+    return _quality_report(results())
+
+
 def run_duplicates(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     """The summary of equal rows with blank and malformed records; with --out, samples of them."""
     records = files.numbered_records(spark, a.path, a.encoding)
@@ -106,7 +113,8 @@ def run_grain(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def run_consolidate(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    """Consolidate from one scan; --out gets Parquet, --csv a CSV in the order of first rows."""
+    """Consolidate from one scan; --out gets Parquet, --csv a CSV in the order of first rows, and --quality-report
+    the results of all controls, which look at the rows on their way."""
     if a.csv:
         numbered = _lower(files.numbered_records(spark, a.path, a.encoding)).where(f"not _blank and {files.CORRUPT} is null")
         df = numbered.drop("_blank", files.CORRUPT)
@@ -115,7 +123,10 @@ def run_consolidate(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     names = [c for c in df.columns if c != files.ROW_NUMBER]
     key = tuple(a.key.split(",")) if a.key else contracts.BUSINESS_KEY
     grain = consolidate.Grain(key, tuple(contracts.measures_of(names)))
-    loaded = consolidate.load(df, grain, a.tolerance, files.ROW_NUMBER if a.csv else None)
+    controls = _controls(df, a) if a.quality_report else None
+    loaded = consolidate.load(df, grain, a.tolerance, files.ROW_NUMBER if a.csv else None, controls)
+    if a.quality_report:
+        files.write_report(_quality_report(loaded.controls), a.quality_report)
     if a.out:
         files.write_table(loaded.rows.drop(files.ROW_NUMBER), a.out)
     if a.csv:
@@ -177,6 +188,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--dictionary")
     p.add_argument("--expected-hash")
     p.add_argument("--csv")
+    p.add_argument("--quality-report", help="folder to which a consolidation appends the results of its controls")
     p.add_argument("--manifest")
     p.add_argument("--force", action="store_true")
     p.add_argument("--quick", action="store_true")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from arqueo.contracts import AMOUNT, TOTAL, require_columns
 from arqueo.functions.exprs import clean_text, is_bad_amount, parse_amount
 from arqueo.operators.audit import unpivoted
-from arqueo.operators.profile import _tidy
+from arqueo.operators.profile import Control, _tidy, observed
 from arqueo.sources.storage import remove_shared, write_shared_at
 
 
@@ -120,13 +121,14 @@ def reduction_report(normalised: DataFrame, grain: Grain) -> DataFrame:
 
 @dataclass(frozen=True)
 class Load:
-    """A consolidated table and what was counted while it was written."""
+    """A consolidated table, what was counted while it was written, and results of controls of its source."""
 
     rows: DataFrame
     path: str
     rows_before: int
     unique_rows: int
     rows_after: int
+    controls: dict[str, DataFrame]
 
     def report(self) -> DataFrame:
         """As :func:`reduction_report` has it."""
@@ -139,42 +141,51 @@ class Load:
         remove_shared(self.rows.sparkSession, self.path)
 
 
-def load(df: DataFrame, grain: Grain, tolerance: str = "0.01", row_number: str | None = None) -> Load:
+_COPIES = "arqueo_copies"
+
+
+def load(df: DataFrame, grain: Grain, tolerance: str = "0.01", row_number: str | None = None, controls: dict[str, Control] | None = None) -> Load:
     """The whole consolidation, written to the shared folder from one scan; raises ValueError if amounts
     are unreadable, attributes disagree or totals move.
 
-    Bad amounts and totals are observed on the rows on their way, disagreement and the new totals on
-    the groups that are written. As a stage that runs again after the loss of an executor is
-    counted again, what the observations object to is counted by jobs of its own before it is an error.
+    Controls, bad amounts and totals are observed on the rows on their way, disagreement and the new
+    totals on the groups that are written. What is written is counted exactly. Rows of a stage that
+    runs again after the loss of an executor are observed again; the number of rows then differs
+    from that of the groups, and all that was observed is counted by jobs of its own. So is what
+    the observations object to, before it is an error.
     ``row_number`` names a column of ``df`` that is neither attribute nor measure; the result
     has the first number of each key.
     """
-    rows = normalise(df, grain)
+    results: Callable[[], dict[str, DataFrame]] = dict
+    source = df
+    if controls:
+        source, results = observed(df, controls)
+    rows = normalise(source, grain)
     attributes = grain.attributes([c for c in rows.columns if c != row_number])
     seen, made = Observation(), Observation()
-    watched = rows.observe(
-        seen, F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"bad_{i}") for i, c in enumerate(grain.measures)],
-        *[F.sum(c).cast(TOTAL).alias(f"sum_{i}") for i, c in enumerate(grain.measures)],
-    )
-    unique = unique_rows(watched, row_number)
+    sums = [F.sum(c).cast(TOTAL).alias(f"sum_{i}") for i, c in enumerate(grain.measures)]
+    bad = [F.count_if(F.col(c).isNull()).alias(f"bad_{i}") for i, c in enumerate(grain.measures)]
+    watched = rows.observe(seen, F.count(F.lit(1)).alias("n"), *bad, *sums)
+    others = [c for c in rows.columns if c != row_number]
+    first = [F.min(row_number).alias(row_number)] if row_number else []
+    unique = watched.groupBy(*others).agg(F.count(F.lit(1)).alias(_COPIES), *first)
     torn = [f"arqueo_torn_{i}" for i in range(len(attributes))]
-    grouped = unique.groupBy(*grain.key).agg(*_merged(grain, unique.columns, row_number), *[_torn(c).alias(t) for c, t in zip(attributes, torn, strict=True)])
-    out = grouped.observe(
-        made, F.count(F.lit(1)).alias("n"), F.sum("rows_merged").alias("unique"),
-        *[F.count_if(F.col(t)).alias(t) for t in torn],
-        *[F.sum(c).cast(TOTAL).alias(f"sum_{i}") for i, c in enumerate(grain.measures)],
-    ).drop(*torn)
+    marks = [_torn(c).alias(t) for c, t in zip(attributes, torn, strict=True)]
+    grouped = unique.groupBy(*grain.key).agg(*_merged(grain, [*others, *([row_number] if row_number else [])], row_number), F.sum(_COPIES).alias(_COPIES), *marks)
+    counts = [F.count(F.lit(1)).alias("n"), F.sum("rows_merged").alias("unique"), F.sum(_COPIES).alias("rows")]
+    out = grouped.observe(made, *counts, *[F.count_if(F.col(t)).alias(t) for t in torn], *sums).drop(_COPIES, *torn)
     table, path = write_shared_at(out)
-    before, after = seen.get, made.get
-    zero = Decimal(0)
+    before, after, zero = seen.get, made.get, Decimal(0)
+    again = before["n"] != (after["rows"] or 0)
     moved = [c for i, c in enumerate(grain.measures) if abs((before[f"sum_{i}"] or zero) - (after[f"sum_{i}"] or zero)) > Decimal(tolerance)]
-    if moved or any(before[f"bad_{i}"] for i in range(len(grain.measures))) or any(after[t] for t in torn):
-        problem = _problem(df, rows.drop(row_number) if row_number else rows, table, grain, tolerance)
+    if again or moved or any(before[f"bad_{i}"] for i in range(len(grain.measures))) or any(after[t] for t in torn):
+        plain = normalise(df, grain)
+        problem = _problem(df, plain.drop(row_number) if row_number else plain, table, grain, tolerance)
         if problem:
             remove_shared(df.sparkSession, path)
             raise ValueError(problem)
-    return Load(table, path, before["n"], after["unique"] or 0, after["n"])
+    found = {name: c.of(df) for name, c in (controls or {}).items()} if again else results()
+    return Load(table, path, after["rows"] or 0, after["unique"] or 0, after["n"], found)
 
 
 def _problem(df: DataFrame, rows: DataFrame, out: DataFrame, grain: Grain, tolerance: str) -> str | None:

@@ -2,32 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arqueo.contracts import MONTHS
 from arqueo.functions.exprs import any_null
 
 
-def _tidy(df: DataFrame, metrics: dict[str, dict[str, F.Column]], label: str = "column_name") -> DataFrame:
-    """One row for each entry of ``metrics``: a label and its values, all from one pass over ``df``."""
+@dataclass(frozen=True)
+class Control:
+    """A control as aggregates that one pass computes, and what makes its result of their one row.
+
+    So a control can be asked of a table, or observed on rows that are on their way elsewhere.
+    """
+
+    aggregates: list[Column]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def of(self, df: DataFrame) -> DataFrame:
+        return self.finish(df.agg(*self.aggregates))
+
+
+def observed(df: DataFrame, controls: dict[str, Control]) -> tuple[DataFrame, Callable[[], dict[str, DataFrame]]]:
+    """``df`` with controls that look at its rows as they pass, and what gives their results after an action.
+
+    Rows of stages that run again after a loss are seen again; see :func:`arqueo.operators.consolidate.load`.
+    """
+    seen = Observation()
+    whole = [F.struct(*c.aggregates).alias(f"control_{i}") for i, c in enumerate(controls.values())]
+    schemas = [df.agg(*c.aggregates).schema for c in controls.values()]
+
+    def results() -> dict[str, DataFrame]:
+        found = seen.get
+        rows = [df.sparkSession.createDataFrame([tuple(found[f"control_{i}"])], schema) for i, schema in enumerate(schemas)]
+        return {name: c.finish(row) for (name, c), row in zip(controls.items(), rows, strict=True)}
+
+    return df.observe(seen, *whole), results
+
+
+def tidy_control(metrics: dict[str, dict[str, Column]], label: str = "column_name") -> Control:
+    """One row for each entry of ``metrics``: a label and its values."""
     names = list(next(iter(metrics.values())))
-    wide = df.agg(*[c.alias(f"{i}_{m}") for i, (_, own) in enumerate(metrics.items()) for m, c in own.items()])
     rows = F.array(
         *[F.struct(F.lit(k).alias(label), *[F.col(f"{i}_{m}").alias(m) for m in names]) for i, k in enumerate(metrics)]
     )
-    return wide.select(F.inline(rows))
+    wide = [c.alias(f"{i}_{m}") for i, (_, own) in enumerate(metrics.items()) for m, c in own.items()]
+    return Control(wide, lambda row: row.select(F.inline(rows)))
 
 
-def null_counts(df: DataFrame, columns: list[str] | None = None, digits: int = 8) -> DataFrame:
+def _tidy(df: DataFrame, metrics: dict[str, dict[str, Column]], label: str = "column_name") -> DataFrame:
+    return tidy_control(metrics, label).of(df)
+
+
+def null_control(columns: list[str], digits: int = 8) -> Control:
     """column_name, row_count, null_count, null_rate (null for an empty table)."""
-    metrics = {
-        c: {"row_count": F.count(F.lit(1)), "null_count": F.count_if(F.col(c).isNull())} for c in columns or df.columns
-    }
+    counted = tidy_control({c: {"row_count": F.count(F.lit(1)), "null_count": F.count_if(F.col(c).isNull())} for c in columns})
     rate = F.bround(F.try_divide(F.col("null_count").cast("double"), F.col("row_count").cast("double")), digits)
-    return _tidy(df, metrics).withColumn("null_rate", rate)
+    return Control(counted.aggregates, lambda row: counted.finish(row).withColumn("null_rate", rate))
+
+
+def null_counts(df: DataFrame, columns: list[str] | None = None, digits: int = 8) -> DataFrame:
+    """:func:`null_control` of all columns or some."""
+    return null_control(columns or df.columns, digits).of(df)
 
 
 def rows_with_any_null(df: DataFrame, columns: list[str]) -> DataFrame:

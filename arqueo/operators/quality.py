@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arqueo.contracts import BLANK_RULES, BlankRule
-from arqueo.functions.exprs import is_bad_amount, is_blank, row_sum
-from arqueo.operators.profile import _tidy
+from arqueo.contracts import AMOUNT, BLANK_RULES, BlankRule
+from arqueo.functions.exprs import is_bad_amount, is_blank, number_text
+from arqueo.operators.profile import Control, null_control, tidy_control
 
 
 def blank_status(unexpected: Column, structural: Column) -> Column:
@@ -18,13 +21,13 @@ def reconciliation_status(mismatched: Column, not_evaluated: Column) -> Column:
     return F.when(mismatched > 0, "failed").when(not_evaluated > 0, "warning").otherwise("passed")
 
 
-def blank_counts(df: DataFrame, columns: list[str], rules: tuple[BlankRule, ...] = BLANK_RULES) -> DataFrame:
+def blank_control(available: list[str], columns: list[str], rules: tuple[BlankRule, ...] = BLANK_RULES) -> Control:
     """column_name, blanks, structural, unexpected, status of each text column.
 
-    A blank is structural where a rule for its column holds; without the rule's context column no
-    blank is.
+    A blank is structural where a rule for its column holds; where the rule's context column is not
+    ``available``, no blank is.
     """
-    present = {c.lower(): c for c in df.columns}
+    present = {c.lower(): c for c in available}
     metrics = {}
     for c in columns:
         excused = F.lit(False)
@@ -33,50 +36,93 @@ def blank_counts(df: DataFrame, columns: list[str], rules: tuple[BlankRule, ...]
                 excused = excused | (F.trim(F.col(present[rule.context]).cast("string")).eqNullSafe(rule.value))
         blank = is_blank(c)
         metrics[c] = {"blanks": F.count_if(blank), "structural": F.count_if(blank & excused)}
-    counted = _tidy(df, metrics).withColumn("unexpected", F.col("blanks") - F.col("structural"))
-    return counted.withColumn("status", blank_status(F.col("unexpected"), F.col("structural")))
+    counted = tidy_control(metrics)
+    left = F.col("blanks") - F.col("structural")
+    status = blank_status(F.col("unexpected"), F.col("structural"))
+    return Control(counted.aggregates, lambda row: counted.finish(row).withColumn("unexpected", left).withColumn("status", status))
 
 
-def year_control(df: DataFrame, column: str, year: int) -> DataFrame:
+def blank_counts(df: DataFrame, columns: list[str], rules: tuple[BlankRule, ...] = BLANK_RULES) -> DataFrame:
+    return blank_control(df.columns, columns, rules).of(df)
+
+
+def year_check(column: str, year: int) -> Control:
     """Nulls, unreadable and other years of a column, the years seen (sorted as text), and the status."""
     value = F.col(column).cast("string").try_cast("int")
-    counted = df.agg(
+    aggregates = [
         F.count_if(F.col(column).isNull()).alias("nulls"),
         F.count_if(F.col(column).isNotNull() & value.isNull()).alias("parse_errors"),
         F.count_if(value != year).alias("mismatches"),
         F.array_join(F.array_sort(F.collect_set(value.cast("string"))), ",").alias("years"),
-    )
+    ]
     bad = F.col("nulls") + F.col("parse_errors") + F.col("mismatches")
-    return counted.withColumn("status", F.when(bad == 0, "passed").otherwise("failed"))
+    return Control(aggregates, lambda row: row.withColumn("status", F.when(bad == 0, "passed").otherwise("failed")))
 
 
-def amount_parse_errors(df: DataFrame, columns: list[str]) -> DataFrame:
+def year_control(df: DataFrame, column: str, year: int) -> DataFrame:
+    return year_check(column, year).of(df)
+
+
+def parse_control(columns: list[str]) -> Control:
     """column_name, parse_errors: texts that are no amounts."""
-    return _tidy(df, {c: {"parse_errors": F.count_if(is_bad_amount(c))} for c in columns})
+    return tidy_control({c: {"parse_errors": F.count_if(is_bad_amount(c))} for c in columns})
+
+
+def amount_parse_errors(df: DataFrame, columns: list[str]) -> DataFrame:
+    return parse_control(columns).of(df)
+
+
+def negative_control(columns: list[str], amount: Callable[[str], Column] = F.col) -> Control:
+    """column_name, negatives, status. Negative amounts are reported and never changed. ``amount``: how a
+    column is read, for texts."""
+    counted = tidy_control({c: {"negatives": F.count_if(amount(c) < 0)} for c in columns})
+    status = F.when(F.col("negatives") > 0, "warning").otherwise("passed")
+    return Control(counted.aggregates, lambda row: counted.finish(row).withColumn("status", status))
 
 
 def negative_amounts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """column_name, negatives, status. Negative amounts are reported and never changed."""
-    counted = _tidy(df, {c: {"negatives": F.count_if(F.col(c) < 0)} for c in columns})
-    return counted.withColumn("status", F.when(F.col("negatives") > 0, "warning").otherwise("passed"))
+    return negative_control(columns).of(df)
 
 
-def annual_reconciliation(df: DataFrame, months: list[str], annual: str, tolerance: str = "0.01") -> DataFrame:
+def annual_control(months: list[str], annual: str, tolerance: str = "0.01", amount: Callable[[str], Column] = F.col) -> Control:
     """Rows whose months add up to the annual amount: matches, mismatches, not_evaluated, largest difference.
 
     A row is evaluated if all of its amounts are there.
     """
     if len(months) != 12:
         raise ValueError(f"12 monthly columns are needed, found {len(months)}")
-    apart = F.abs(row_sum(months) - F.col(annual))
-    limit = F.lit(tolerance).cast("decimal(10,6)")
-    counted = df.agg(
+    apart = F.abs(reduce(lambda x, y: x + y, (amount(m) for m in months)) - amount(annual))
+    limit = F.lit(tolerance).cast("decimal(38,6)")
+    aggregates = [
         F.count_if(apart <= limit).alias("matches"),
         F.count_if(apart > limit).alias("mismatches"),
         F.count_if(apart.isNull()).alias("not_evaluated"),
         F.coalesce(F.max(apart), F.lit(0)).cast("decimal(38,2)").alias("max_difference"),
-    )
-    return counted.withColumn("status", reconciliation_status(F.col("mismatches"), F.col("not_evaluated")))
+    ]
+    status = reconciliation_status(F.col("mismatches"), F.col("not_evaluated"))
+    return Control(aggregates, lambda row: row.withColumn("status", status))
+
+
+def annual_reconciliation(df: DataFrame, months: list[str], annual: str, tolerance: str = "0.01") -> DataFrame:
+    return annual_control(months, annual, tolerance).of(df)
+
+
+def text_amount(c: str) -> Column:
+    """The amount of a text as it is written; null if it is blank or no number."""
+    return number_text(c).try_cast(AMOUNT)
+
+
+def controls_of(columns: list[str], measures: list[str], year: tuple[str, int] | None = None, months: list[str] | None = None, annual: str | None = None, tolerance: str = "0.01") -> dict[str, Control]:
+    """All controls of a table of texts as one set, for one pass: nulls, blanks and, where there are such
+    columns, amounts, negatives, year and reconciliation."""
+    out = {"nulls": null_control(columns), "blanks": blank_control(columns, [c for c in columns if c not in measures])}
+    if measures:
+        out |= {"amounts": parse_control(measures), "negatives": negative_control(measures, text_amount)}
+    if year:
+        out["year"] = year_check(*year)
+    if months and annual:
+        out["reconciliation"] = annual_control(months, annual, tolerance, text_amount)
+    return out
 
 
 def quality_summary(

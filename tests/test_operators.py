@@ -741,3 +741,25 @@ def test_sketches_merge(spark):
     assert (got["h"].null_percent, got["z"].null_percent, got["a"].row_count) == (50.0, 100.0, 20000)
     assert sketches.merged(parts, ["p"]).count() == 16
     assert sketches.answers(sketches.merged(sketches.sketched(df.where("false"), ["p"], ["a"]))).count() == 0
+
+
+def test_controls_observed_in_the_load(spark, tmp_path):
+    """A consolidation with all controls reads its source once; the controls say what they say of a table."""
+    months = list(contracts.MONTHLY)
+    rows = [("2026", " ", "GOBIERNOS LOCALES", *["1.5"] * 12, "18"), ("2025", "x", None, *["2"] * 11, "", "-3"), ("2026", "z", "y", *["1"] * 12, "20")]
+    names = ["ano_eje", "sector", "nivel_gobierno_nombre", *months, "monto_devengado_anual"]
+    texts(spark, names, rows).write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    measures = [*months, "monto_devengado_anual"]
+    controls = quality.controls_of(names, measures, ("ano_eje", 2026), months, "monto_devengado_anual")
+    loaded = consolidate.load(df, consolidate.Grain(("ano_eje", "sector"), tuple(measures)), controls=controls)
+    for name, control in controls.items():
+        assert sorted(map(tuple, loaded.controls[name].collect()), key=repr) == sorted(map(tuple, control.of(df).collect()), key=repr), name
+    assert tuple(one(loaded.controls["year"])) == (0, 0, 1, "2025,2026", "failed")
+    assert one(loaded.controls["reconciliation"])[:3] == (1, 1, 1)
+    assert {r.column_name: r.structural for r in loaded.controls["blanks"].collect()}["sector"] == 1
+    assert one(quality.quality_summary(*[loaded.controls[k] for k in ("year", "reconciliation", "nulls", "blanks", "amounts", "negatives")])).critical_failed == 2
+    loaded.remove()
+    plan = spark.read.parquet(str(tmp_path / "in"))
+    watched, results = profile.observed(plan, controls)
+    assert watched._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
