@@ -95,30 +95,24 @@ def _size_class(num: int, den: int) -> Column:
 class _Buckets:
     """The sets that share a bucket with another, and the components found so far."""
 
-    def __init__(self, tables: Tables, docs: DataFrame, full: DataFrame, firsts: DataFrame, words: int, num: int, den: int):
+    def __init__(self, tables: Tables, docs: DataFrame, unique: DataFrame, words: int, num: int, den: int):
         self.tables, self.docs, self.words, self.num, self.den = tables, docs, words, num, den
-        tokens = full.select("set_id", F.explode("bands").alias("token"))
+        tokens = unique.select("set_id", F.explode("bands").alias("token"))
         shared = tokens.groupBy("token").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"))
-        shared = tables.write(shared.where("lo <> hi").select("token"))
-        # Copies of a set fall into the same buckets.
-        self.placed = tables.write(tokens.join(shared, "token").distinct())
-        tables.drop(shared)
-        members = self.placed.select("set_id").distinct()
-        self.sets = tables.write(full.select("set_id", "n", "bitmap").join(members, "set_id").dropDuplicates(["set_id"]))
-        self.readers = tables.write(members.join(firsts, "set_id").where("first is not null"))
+        self.placed = tables.write(tokens.join(shared.where("lo <> hi").select("token"), "token"))
+        self.sets = unique.select("set_id", "n", "bitmap")
+        self.readers = unique.where("first is not null").select("set_id", "first")
         self.labels = None
 
     def link(self, pairs: DataFrame) -> None:
         """Verify pairs (u, v) and merge the components that they connect."""
         asked = self.tables.write(_asked(pairs, self.readers))
-        edges, before = _linked(self.docs, asked, self.words, self.num, self.den), self.labels
-        if before is not None:
-            edges = edges.unionByName(before.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        edges = _linked(self.docs, asked, self.words, self.num, self.den)
+        if self.labels is not None:
+            edges = edges.unionByName(self.labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
         edges = self.tables.write(edges)
-        rounds = Tables(edges.sparkSession)
-        self.labels = self.tables.write(connected_components(edges, rounds))
-        rounds.drop_all()
-        self.tables.drop(asked, edges, *([before] if before is not None else []))
+        self.labels = connected_components(edges, self.tables)
+        self.tables.drop(asked, edges)
 
     def labelled(self) -> DataFrame:
         """set_id, n, bitmap and comp."""
@@ -128,8 +122,10 @@ class _Buckets:
         return self.sets.join(known, "set_id", "left").withColumn("comp", F.coalesce("known", "set_id")).drop("known")
 
     def mixed(self, sets: DataFrame) -> DataFrame:
-        """The sets of each bucket that has several components."""
+        """The sets of each bucket that has several components, which all have at first."""
         members = self.tables.write(self.placed.join(sets, "set_id"))
+        if self.labels is None:
+            return members
         several = members.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
         return members.join(several.select("token"), "token")
 
@@ -187,16 +183,17 @@ def components(docs: DataFrame, words: int = 5, num: int = 17, den: int = 20, ba
     """
     tables = Tables(docs.sparkSession)
     entries = tables.write(_entries(docs, words, bands, rows))
-    full = entries.where("n > 0")
-    firsts = tables.write(full.groupBy("set_id").agg(F.min("doc_id").alias("first")))
-    buckets = _Buckets(tables, docs, full, firsts, words, num, den)
+    # Copies of a set are one row from here on.
+    copies = entries.where("n > 0").groupBy("set_id")
+    unique = tables.write(copies.agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("n", "bands", "bitmap")]))
+    buckets = _Buckets(tables, docs, unique, words, num, den)
     seen, before, pairs = [], float("inf"), float("inf")
     while not seen or FEW_PAIRS < pairs <= before / 2:
         seen.append(buckets.pivot_round(len(seen)))
         before, pairs = pairs, seen[-1].count()
     buckets.rest(seen)
     known = buckets.labels.select(F.col("node").alias("set_id"), "component")
-    labels = firsts.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    labels = unique.select("set_id", "first").join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     least = labels.groupBy("component").agg(F.min("first").alias("component_id"))
     by_set = labels.join(least, "component").select("set_id", "component_id")
     found = entries.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(by_set, "set_id", "left")

@@ -215,3 +215,81 @@ def test_toxicity_query_recalls(spark):
     held = [(r.predicted, labels[r.doc_id]) for r in queries.op3_toxicity(spark, d).where(F.col("held_out")).collect() if labels.get(r.doc_id) is not None]
     hits = sum(p and y for p, y in held)
     assert hits >= 0.85 * sum(y for _, y in held) and hits >= 0.85 * sum(p for p, _ in held)
+
+
+def rule_votes(text):
+    """The nine rules' votes on a text, counted and judged here in plain Python: 'bad', 'good' or None."""
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    n, chars = len(w), sum(map(len, w))
+    grams = collections.Counter(tuple(w[j : j + 5]) for j in range(n - 4))
+    repeat = len({x for j in range(n - 4) if grams[tuple(w[j : j + 5])] > 1 for x in range(j, j + 5)})
+    return n, repeat, chars
+
+
+def second_em(patterns):
+    """Expectation-maximisation as quality_rules documents it, in scalar loops over vote patterns (tuples)."""
+    size = sum(patterns.values())
+    pseudo = 0.01 * size
+    good = {v: 0.1 if 0 in v else 0.9 for v in patterns}
+    k = len(next(iter(patterns)))
+    for _ in range(500):
+        prior = (sum(n * good[v] for v, n in patterns.items()) + pseudo * 0.9) / (size + pseudo)
+        on_good, on_bad = [], []
+        for i in range(k):
+            rate = []
+            for share, expected in ((lambda v: good[v], 0.02), (lambda v: 1 - good[v], 0.5)):
+                bad = sum(n * share(v) for v, n in patterns.items() if v[i] == 0)
+                cast = sum(n * share(v) for v, n in patterns.items() if v[i] != 1)
+                rate.append((bad + pseudo * expected) / (cast + pseudo))
+            on_good.append(rate[0])
+            on_bad.append(max(rate))
+        new = {}
+        for v in patterns:
+            odds = prior / (1 - prior)
+            for i in range(k):
+                if v[i] == 0:
+                    odds *= on_good[i] / on_bad[i]
+                elif v[i] == 2:
+                    odds *= (1 - on_good[i]) / (1 - on_bad[i])
+            new[v] = odds / (1 + odds)
+        apart = max(abs(new[v] - good[v]) for v in patterns)
+        good = new
+        if apart < 1e-10:
+            break
+    return good
+
+
+def test_kept_by_a_second_em(spark):
+    """op10's verdicts on whole given documents: base rules counted anew, posteriors by scalar loops."""
+    from arqueo.llm import quality_rules
+
+    d = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    rows = {r.doc_id: r for r in queries.op10_quality_rules(spark, d).collect()}
+    assert rows.keys() == texts.keys()
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    votes = quality_rules.with_counts(docs, ["doc_id"]).select("doc_id", *[quality_rules.vote(r).alias(f"v{i}") for i, r in enumerate(quality_rules.RULES)])
+    votes = {r.doc_id: tuple(r)[1:] for r in votes.collect()}
+    good = second_em(collections.Counter(votes.values()))
+    for i, r in rows.items():
+        n, repeat, chars = rule_votes(texts[i])
+        assert (r.n_words, r.n_repeat_words, r.word_chars) == (n, repeat, chars)
+        assert r.base_failed == (n < 10 or 100 * repeat > 20 * n)
+        assert abs(r.quality_probability - good[votes[i]]) < 1e-5
+        assert r.kept == (not r.base_failed and good[votes[i]] >= 0.5)
+
+
+def test_pipeline_filters_against_labels(spark):
+    """What stages 1 and 2 of the pipeline keep, held against labels rather than their own functions."""
+    import corpus_pipeline
+
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect() if r.quality is not None}
+    failing = {r.doc_id for r in docs.collect() if (lambda n, repeat, _: n < 10 or 100 * repeat > 20 * n)(*rule_votes(r.text))}
+    for stage, spared in ((corpus_pipeline.quality, set()), (corpus_pipeline.rules, failing)):
+        kept = {r.doc_id for r in stage(spark, docs, d).collect()}
+        good = [i in kept for i, q in labels.items() if q == 1 and i not in spared]
+        bad = [i in kept for i, q in labels.items() if q == 0]
+        assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.06 * len(bad)
