@@ -8,17 +8,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arqueo.contracts import Dimension
-from arqueo.sources.storage import write_shared
+from arqueo.operators.duplicates import tag_groups
+from arqueo.sources.storage import shared_path, write_shared
 
 
-def candidates(df: DataFrame, dim: Dimension) -> DataFrame:
-    """The distinct rows of a dimension, with default labels."""
-    rows = df.select(*dim.key, *dim.attributes).distinct()
+def _labelled(rows: DataFrame, dim: Dimension) -> DataFrame:
     for label, (source, default) in dim.labels.items():
         rows = rows.withColumn(label, F.coalesce(source, F.lit(default)))
     return rows
 
 
+def candidates(df: DataFrame, dim: Dimension) -> DataFrame:
+    """The distinct rows of a dimension, with default labels."""
+    return _labelled(df.select(*dim.key, *dim.attributes).distinct(), dim)
+
+
+def all_candidates(df: DataFrame, dims: tuple[Dimension, ...]) -> dict[str, DataFrame]:
+    """The distinct rows of several dimensions, from one scan and one exchange of ``df``, written once."""
+    path = shared_path(df.sparkSession)
+    tagged = tag_groups(df, {d.name: (*d.key, *d.attributes) for d in dims})
+    tagged.write.partitionBy("key_name").parquet(path)
+    stored = df.sparkSession.read.schema(tagged.schema).parquet(path)
+    return {d.name: _labelled(stored.where(F.col("key_name") == d.name).select(*d.key, *d.attributes), d) for d in dims}
+
+
 def _order(columns) -> list[Column]:
     return [F.asc_nulls_last(c) for c in columns]
 
@@ -48,9 +61,18 @@ def number_large(rows: DataFrame, key: tuple[str, ...], name: str) -> DataFrame:
     return numbered.select(name, *rows.columns)
 
 
+def _numbered(rows: DataFrame, dim: Dimension) -> DataFrame:
+    return (number_small if dim.small else number_large)(rows, dim.key, dim.surrogate)
+
+
 def build_dimension(df: DataFrame, dim: Dimension) -> DataFrame:
-    number = number_small if dim.small else number_large
-    return number(candidates(df, dim), dim.key, dim.surrogate)
+    return _numbered(candidates(df, dim), dim)
+
+
+def build_dimensions(df: DataFrame, dims: tuple[Dimension, ...]) -> dict[str, DataFrame]:
+    """:func:`build_dimension` of each, with ``df`` read once; every dimension is written, as facts and
+    checks read it."""
+    return {d.name: write_shared(_numbered(rows, d)) for d, rows in zip(dims, all_candidates(df, dims).values(), strict=True)}
 
 
 def _look_up(rows: DataFrame, table: DataFrame, dim: Dimension, how: str) -> DataFrame:

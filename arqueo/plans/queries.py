@@ -743,7 +743,7 @@ _DIM_JOINS = " ".join(f"{{how}} JOIN (SELECT {x.surrogate}, {', '.join(x.key)} F
 def _star(spark, d):
     """Staging and the dimensions, each written once, as several readers follow."""
     rows = write_shared(staging(spark, d))
-    return rows, {x.name: write_shared(model.build_dimension(rows, x)) for x in DIMENSIONS}
+    return rows, model.build_dimensions(rows, DIMENSIONS)
 
 
 _FACT = f"{_DIM_CTES}, fact AS (SELECT {', '.join(x.surrogate for x in DIMENSIONS)}, {', '.join(MEASURES)} FROM staging {_DIM_JOINS.format(how='')})"
@@ -768,7 +768,8 @@ _HOLED_DIMS = tuple(x for x in DIMENSIONS if x.name in ("institution", "function
 def dimension_coverage(spark, d):
     """Coverage by dimensions from which a fifth of the rows was taken out."""
     rows = write_shared(staging(spark, d))
-    dims = {x.name: model.build_dimension(rows, x).where(F.col(x.surrogate) % 5 != 1) for x in _HOLED_DIMS}
+    built = model.build_dimensions(rows, _HOLED_DIMS)
+    dims = {x.name: built[x.name].where(F.col(x.surrogate) % 5 != 1) for x in _HOLED_DIMS}
     return model.coverage(rows, dims, _HOLED_DIMS, "year")
 
 
