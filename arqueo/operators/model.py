@@ -126,6 +126,36 @@ def foreign_keys(child: DataFrame, parents: dict[str, tuple[DataFrame, str, str]
     return reduce(DataFrame.unionByName, parts).withColumn("valid", F.col("orphans") == 0)
 
 
+def constraint_catalog(tables: dict[str, DataFrame], dims: tuple[Dimension, ...], fact: DataFrame, fact_name: str = "fact") -> DataFrame:
+    """table_name, column_count, row_count, constraint_name, kind, columns, violations, valid: what a database's
+    catalog says of a star schema's tables joined with their constraints, each checked on the data.
+
+    Of each dimension: primary key, unique natural key, and keys that are not null, from one pass; of the
+    fact: a foreign key for each dimension. Violations of keys are rows too many, of others rows.
+    """
+    spark = fact.sparkSession
+    checked, described = [], []
+    for d in dims:
+        table = tables[d.name]
+        counted = table.agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct(d.surrogate).alias("p"), F.count_distinct(F.struct(*d.key)).alias("u"),
+            F.count_if(reduce(lambda x, y: x | y, (F.col(c).isNull() for c in (d.surrogate, *d.key)))).alias("m"),
+        )
+        found = [("primary", d.surrogate, F.col("n") - F.col("p")), ("unique", ",".join(d.key), F.col("n") - F.col("u")), ("not_null", ",".join((d.surrogate, *d.key)), F.col("m"))]
+        structs = [F.struct(F.lit(k).alias("kind"), F.lit(c).alias("columns"), v.alias("violations")) for k, c, v in found]
+        checked.append(counted.select(F.lit(d.name).alias("table_name"), F.inline(F.array(*structs))))
+        described.append(table.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(d.name).alias("table_name"), "row_count"))
+    orphans = foreign_keys(fact, {d.name: (tables[d.name], d.surrogate, d.surrogate) for d in dims})
+    names = spark.createDataFrame([(d.name, d.surrogate) for d in dims], "constraint_name string, columns string")
+    checked.append(orphans.join(names, "constraint_name").select(F.lit(fact_name).alias("table_name"), F.lit("foreign").alias("kind"), "columns", F.col("orphans").alias("violations")))
+    described.append(fact.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(fact_name).alias("table_name"), "row_count"))
+    widths = [(d.name, len(tables[d.name].columns)) for d in dims] + [(fact_name, len(fact.columns))]
+    listed = spark.createDataFrame(widths, "table_name string, column_count int").join(reduce(DataFrame.unionByName, described), "table_name")
+    every = listed.join(reduce(DataFrame.unionByName, checked), "table_name")
+    name = F.concat_ws("_", "table_name", F.when(F.col("kind") == "foreign", F.col("columns")), "kind")
+    return every.select("table_name", "column_count", "row_count", name.alias("constraint_name"), "kind", "columns", "violations", (F.col("violations") == 0).alias("valid"))
+
+
 def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """column_name, nulls: what NOT NULL constraints would reject."""
     from arqueo.operators.profile import _tidy

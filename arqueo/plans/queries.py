@@ -783,6 +783,27 @@ def fact_counts_vs_expected(spark, d):
     return model.count_check(actual, expected, "year")
 
 
+def _constraints_sql() -> str:
+    parts = []
+    for x in DIMENSIONS:
+        n, key, cols = f"d_{x.name}", ", ".join(x.key), 1 + len(x.key) + len(x.attributes)
+        head = f"SELECT '{x.name}' AS table_name, {cols} AS column_count, (SELECT count(*) FROM {n}) AS row_count, '{x.name}_"
+        parts += [
+            f"{head}primary' AS constraint_name, 'primary' AS kind, '{x.surrogate}' AS columns, (SELECT count(*) - count(DISTINCT {x.surrogate}) FROM {n}) AS violations",
+            f"{head}unique', 'unique', '{','.join(x.key)}', (SELECT count(*) FROM {n}) - (SELECT count(*) FROM (SELECT DISTINCT {key} FROM {n}))",
+            f"{head}not_null', 'not_null', '{','.join((x.surrogate, *x.key))}', (SELECT count(*) FROM {n} WHERE {' OR '.join(f'{c} IS NULL' for c in (x.surrogate, *x.key))})",
+            f"""SELECT 'fact', {len(DIMENSIONS) + len(MEASURES)}, (SELECT count(*) FROM fact), 'fact_{x.surrogate}_foreign', 'foreign', '{x.surrogate}',
+                (SELECT count(*) FROM fact WHERE {x.surrogate} NOT IN (SELECT {x.surrogate} FROM {n}))""",
+        ]
+    return " UNION ALL ".join(parts)
+
+
+@query(f"{_FACT}|SELECT *, violations = 0 AS valid FROM ({_constraints_sql()})", True)
+def constraint_catalog(spark, d):
+    rows, dims = _star(spark, d)
+    return model.constraint_catalog(dims, DIMENSIONS, write_shared(model.load_fact(rows, dims, DIMENSIONS, MEASURES)))
+
+
 _RECONCILED = f"""{_FACT}, e AS (SELECT year, {sums(*MEASURES)} FROM staging GROUP BY year),
     a AS (SELECT year, {sums(*MEASURES)} FROM fact JOIN d_time USING (time_key) GROUP BY year), c AS (""" + " UNION ALL ".join(
     f"SELECT year, '{m}' AS measure, e.{m} AS expected, a.{m} AS actual FROM e FULL JOIN a USING (year)" for m in MEASURES
