@@ -10,6 +10,7 @@ toxic dictionary gains nothing. Thresholds on the gains are calibrated on other
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -86,6 +87,9 @@ def _surprise(k: int, n: int, k2: int, n2: int) -> float:
     return 2 * (part(k, n * p) + part(n - k, n * (1 - p)) + part(k2, n2 * p) + part(n2 - k2, n2 * (1 - p)))
 
 
+_PLACES = 1 << 22
+
+
 def distinctive(
     own: list[dict[bytes, int]], other: list[dict[bytes, int]], most: int, cover: int, ratio: float = 5, least_surprise: float = 15
 ) -> bytes:
@@ -96,13 +100,17 @@ def distinctive(
     ``cover`` of them where it can; the strongest stand last, where a dictionary's matches are
     cheapest.
     """
+    least = max(2, math.ceil(0.01 * len(own)))
+    # Most segments stand in one text. A table of counts by hash spares the memory of listing them.
+    texts_with = np.zeros(_PLACES, np.uint16)
+    for t in own:
+        texts_with[list({zlib.crc32(g) % _PLACES for g in _segments(t)})] += 1
     sets, df, tf = [], Counter(), Counter()
     for t in own:
-        found = _segments(t)
+        found = {g: k for g, k in _segments(t).items() if texts_with[zlib.crc32(g) % _PLACES] >= least}
         df.update(found.keys())
         tf.update(found)
         sets.append(found.keys())
-    least = max(2, math.ceil(0.01 * len(own)))
     df = Counter({g: k for g, k in df.items() if k >= least})
     df2, tf2 = Counter(), Counter()
     for t in other:
