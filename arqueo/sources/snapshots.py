@@ -2,18 +2,22 @@
 
 A version is a folder that nobody changes once it is named. Its name stands in a pointer file, and pointers
 are numbered: the greatest is the current version. A pointer is created only if its number is free, which
-file systems do atomically, so of two publishers one takes the next number. What a reader has opened
-stays as it is until the version is expired.
+HDFS and object stores do atomically, so of two publishers one takes the next number; a local disk doesn't,
+so there the publishers of one process take turns. What a reader has opened stays as it is until the
+version is expired.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+_TURN = threading.Lock()
+
 
 class Snapshots:
     """The versions below ``path``, a folder that the driver and all executors share."""
@@ -80,18 +84,19 @@ class Snapshots:
         except Exception:
             self._fs.delete(place, True)
             raise
-        number = max((int(x) for x in self._names("pointers") if x.isdigit()), default=0)
-        while True:
-            number += 1
-            try:
-                out = self._fs.create(self._at(f"pointers/{number:010d}"), False)
-            except Py4JJavaError as e:
-                if "AlreadyExists" not in e.java_exception.getClass().getName():
-                    raise
-                continue
-            out.write(f"{folder}\n".encode())
-            out.close()
-            return number
+        with _TURN:
+            number = max((int(x) for x in self._names("pointers") if x.isdigit()), default=0)
+            while True:
+                number += 1
+                try:
+                    out = self._fs.create(self._at(f"pointers/{number:010d}"), False)
+                except Py4JJavaError as e:
+                    if "AlreadyExists" not in e.java_exception.getClass().getName():
+                        raise
+                    continue
+                out.write(f"{folder}\n".encode())
+                out.close()
+                return number
 
     def expire(self, keep: int = 2) -> int:
         """Remove all but the last ``keep`` versions, once nobody reads them any more; how many went."""
