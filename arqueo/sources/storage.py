@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from functools import lru_cache
 
@@ -41,6 +42,21 @@ def remove_shared(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def sweep_shared(spark: SparkSession, older_than: float) -> int:
+    """Delete the tables in the shared folder that were written more than ``older_than`` seconds ago, such as
+    those that results of ended sessions have read; how many went. Nothing else in the folder is touched."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        return 0
+    limit = (time.time() - older_than) * 1000
+    old = [x for x in fs.listStatus(place) if x.getPath().getName().startswith(("table-", "arqueo-")) and x.getModificationTime() < limit]
+    for x in old:
+        fs.delete(x.getPath(), True)
+    return len(old)
+
+
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
     return "file://" + tempfile.mkdtemp(prefix="arqueo-")

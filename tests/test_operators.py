@@ -763,3 +763,19 @@ def test_controls_observed_in_the_load(spark, tmp_path):
     plan = spark.read.parquet(str(tmp_path / "in"))
     watched, results = profile.observed(plan, controls)
     assert watched._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_old_shared_tables_are_swept(spark, tmp_path):
+    from arqueo.sources import storage
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
+    try:
+        assert storage.sweep_shared(spark, 0) == 0
+        (tmp_path / "shared" / "other").mkdir(parents=True)
+        table = storage.write_shared(spark.range(3))
+        assert storage.sweep_shared(spark, 3600) == 0 and table.count() == 3
+        assert storage.sweep_shared(spark, -60) == 1
+        assert [x.name for x in (tmp_path / "shared").iterdir()] == ["other"]
+    finally:
+        spark.conf.set("spark.checkpoint.dir", base)
