@@ -42,10 +42,11 @@ def remove_shared(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def sweep_shared(spark: SparkSession, older_than: float) -> int:
+def sweep_shared(spark: SparkSession, older_than: float, base: str | None = None) -> int:
     """Delete the tables in the shared folder that were written more than ``older_than`` seconds ago, such as
-    those that results of ended sessions have read; how many went. Nothing else in the folder is touched."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    those that results of ended sessions have read; how many went. Nothing else in the folder is touched.
+    ``base``: another folder than the session's."""
+    base = base or spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
     fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(place):

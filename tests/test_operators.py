@@ -768,14 +768,11 @@ def test_controls_observed_in_the_load(spark, tmp_path):
 def test_old_shared_tables_are_swept(spark, tmp_path):
     from arqueo.sources import storage
 
-    base = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
-    try:
-        assert storage.sweep_shared(spark, 0) == 0
-        (tmp_path / "shared" / "other").mkdir(parents=True)
-        table = storage.write_shared(spark.range(3))
-        assert storage.sweep_shared(spark, 3600) == 0 and table.count() == 3
-        assert storage.sweep_shared(spark, -60) == 1
-        assert [x.name for x in (tmp_path / "shared").iterdir()] == ["other"]
-    finally:
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = f"file://{tmp_path}/shared"
+    assert storage.sweep_shared(spark, 0, base) == 0
+    (tmp_path / "shared" / "other").mkdir(parents=True)
+    for name in ("table-1", "arqueo-2"):
+        spark.range(3).write.parquet(f"{base}/{name}")
+    assert storage.sweep_shared(spark, 3600, base) == 0 and spark.read.parquet(f"{base}/table-1").count() == 3
+    assert storage.sweep_shared(spark, -60, base) == 2
+    assert [x.name for x in (tmp_path / "shared").iterdir()] == ["other"]
