@@ -201,7 +201,7 @@ def collocations(
     heads = counts.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l"))
     tails = counts.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r"))
     wide = "decimal(38,0)"
-    score = F.call_function("div", F.col("a").cast("decimal(28,0)") * F.lit(scale).cast("decimal(10,0)"), (F.col("l").cast("decimal(20,0)") + F.col("r")).cast("decimal(21,0)"))
+    score = F.call_function("div", F.col("a").cast("decimal(19,0)") * F.lit(scale).cast("decimal(19,0)"), (F.col("l").cast("decimal(20,0)") + F.col("r")).cast("decimal(21,0)"))
     scored = cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).withColumn("score", score.cast(wide))
     lowest = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("x"))
     rows = lowest.select("lang", "phrase", "a", "x.l", "x.r", F.col("x.score").cast("bigint").alias("score")).join(sizes, "lang")

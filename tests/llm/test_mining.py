@@ -56,7 +56,7 @@ def test_collocations(spark, monkeypatch, shard, top):
 
 def test_collocations_beyond_64_bits_and_empty(spark):
     """Counts are multiplied exactly; tables without rows or frequent phrases give no rows."""
-    df = spark.createDataFrame([("a", "u v " * 40, 1, "n")], PHRASES)
+    df = spark.createDataFrame([("a", "u v. " * 40, 1, "n")], PHRASES)
     few = collocations.collocations(df, scale=10**18).where("phrase = 'u v'").first()
     assert few.score == 10**18 * 40 // 80
     assert collocations.collocations(df, min_count=500).count() == 0
@@ -284,7 +284,7 @@ def test_pipeline_filters_against_labels(spark):
     """What stages 1 and 2 of the pipeline keep, held against labels rather than their own functions."""
     import corpus_pipeline
 
-    d = "/root/testdata/sf0.01"
+    d = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{d}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect() if r.quality is not None}
     failing = {r.doc_id for r in docs.collect() if (lambda n, repeat, _: n < 10 or 100 * repeat > 20 * n)(*rule_votes(r.text))}
