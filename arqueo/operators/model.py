@@ -24,12 +24,17 @@ def candidates(df: DataFrame, dim: Dimension) -> DataFrame:
 
 
 def all_candidates(df: DataFrame, dims: tuple[Dimension, ...]) -> dict[str, DataFrame]:
-    """The distinct rows of several dimensions, from one scan and one exchange of ``df``, written once."""
-    path = shared_path(df.sparkSession)
-    tagged = tag_groups(df, {d.name: (*d.key, *d.attributes) for d in dims})
-    tagged.write.partitionBy("key_name").parquet(path)
-    stored = df.sparkSession.read.schema(tagged.schema).parquet(path)
-    return {d.name: _labelled(stored.where(F.col("key_name") == d.name).select(*d.key, *d.attributes), d) for d in dims}
+    """The distinct rows of several dimensions. The small ones come from one scan and one exchange of ``df``,
+    written once; a large one from its own columns, as nearly each row of ``df`` may be one of its rows, and
+    would be exchanged and written with the columns of all the others."""
+    found = {d.name: candidates(df, d) for d in dims if not d.small}
+    if small := [d for d in dims if d.small]:
+        path = shared_path(df.sparkSession)
+        tagged = tag_groups(df, {d.name: (*d.key, *d.attributes) for d in small})
+        tagged.write.partitionBy("key_name").parquet(path)
+        stored = df.sparkSession.read.schema(tagged.schema).parquet(path)
+        found |= {d.name: _labelled(stored.where(F.col("key_name") == d.name).select(*d.key, *d.attributes), d) for d in small}
+    return {d.name: found[d.name] for d in dims}
 
 
 def _order(columns) -> list[Column]:
@@ -47,16 +52,17 @@ def number_large(rows: DataFrame, key: tuple[str, ...], name: str) -> DataFrame:
     """The same numbers for a dimension of any size, without putting its rows into one task.
 
     The rows are sorted by ranges and written, so that partitions can't change; each partition's
-    rows are numbered alone, and get the number of rows of the partitions before.
+    rows are numbered alone, and get the number of rows of the partitions before. What is returned only
+    adds these numbers while it reads, so it need not be written again.
     """
-    part = F.spark_partition_id()
-    ordered = rows.orderBy(*_order(key)).select("*", part.alias("_part"), F.monotonically_increasing_id().alias("_id"))
-    fixed = write_shared(ordered)
-    parts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_low"))
+    # The place in the partition: the lower 33 bits of the id.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("int")
+    fixed = write_shared(rows.orderBy(*_order(key)).select("*", F.spark_partition_id().alias("_part"), place.alias("_place")))
+    parts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     # One row for each partition.
-    offsets = parts.select("_part", "_low", F.coalesce(before, F.lit(0)).alias("_before"))
-    number = F.col("_id") - F.col("_low") + F.col("_before") + 1
+    offsets = write_shared(parts.select("_part", F.coalesce(before, F.lit(0)).alias("_before")))
+    number = F.col("_place") + F.col("_before") + 1
     numbered = fixed.join(F.broadcast(offsets), "_part").withColumn(name, number.cast("int"))
     return numbered.select(name, *rows.columns)
 
@@ -70,9 +76,10 @@ def build_dimension(df: DataFrame, dim: Dimension) -> DataFrame:
 
 
 def build_dimensions(df: DataFrame, dims: tuple[Dimension, ...]) -> dict[str, DataFrame]:
-    """:func:`build_dimension` of each, with ``df`` read once; every dimension is written, as facts and
-    checks read it."""
-    return {d.name: write_shared(_numbered(rows, d)) for d, rows in zip(dims, all_candidates(df, dims).values(), strict=True)}
+    """:func:`build_dimension` of each, with ``df`` read once for all small ones; every dimension is written
+    once, as facts and checks read it."""
+    rows = all_candidates(df, dims)
+    return {d.name: write_shared(_numbered(rows[d.name], d)) if d.small else _numbered(rows[d.name], d) for d in dims}
 
 
 def _look_up(rows: DataFrame, table: DataFrame, dim: Dimension, how: str) -> DataFrame:
@@ -85,18 +92,50 @@ def _look_up(rows: DataFrame, table: DataFrame, dim: Dimension, how: str) -> Dat
     return rows.join(keyed, list(dim.key), how)
 
 
+def _small_first(dims: tuple[Dimension, ...]) -> list[Dimension]:
+    """So that the rows that large dimensions' joins exchange hold the small ones' keys and no texts; small
+    ones whose own key is exchanged anyway come last."""
+    exchanged = {c for d in dims if not d.small for c in d.key}
+    return sorted(dims, key=lambda d: 2 * (exchanged >= set(d.key)) if d.small else 1)
+
+
 def load_fact(df: DataFrame, tables: dict[str, DataFrame], dims: tuple[Dimension, ...], measures: list[str]) -> DataFrame:
     """A fact row for each row of ``df``: the surrogate keys and the measures."""
+    ordered = _small_first(dims)
+    large = [i for i, d in enumerate(ordered) if not d.small]
+    first = ordered[: large[0]] if large else []
     out = df
-    for dim in dims:
+    for dim in first:
+        out = _look_up(out, tables[dim.name], dim, "inner")
+    if first:
+        packed, unpacked = _packed({d.surrogate: tables[d.name] for d in first})
+        out = out.select("*", *packed).drop(*[d.surrogate for d in first])
+    for dim in ordered[len(first) :]:
         out = _look_up(out, tables[dim.name], dim, "inner")
+    if first:
+        out = out.withColumns(unpacked)
     return out.select(*[d.surrogate for d in dims], *measures)
 
 
+def _packed(tables: dict[str, DataFrame]) -> tuple[list[Column], dict[str, Column]]:
+    """Numbers of dimensions, by their column's name, as bits of as few bigints as hold them, and what reads
+    them back: a few bits each where an exchanged row has eight bytes for every column."""
+    packed, unpacked, shift, parts = [], {}, 0, []
+    for name, table in tables.items():
+        bits = max(1, int(table.agg(F.max(name)).first()[0] or 0).bit_length())
+        if shift + bits > 63:
+            packed, shift, parts = [*packed, parts], 0, []
+        parts.append(F.call_function("shiftleft", F.col(name).cast("bigint"), F.lit(shift)))
+        at = F.shiftright(F.col(f"_packed{len(packed)}"), shift).bitwiseAND(F.lit((1 << bits) - 1))
+        unpacked[name] = at.cast(table.schema[name].dataType)
+        shift += bits
+    return [reduce(Column.bitwiseOR, p).alias(f"_packed{i}") for i, p in enumerate([*packed, parts])], unpacked
+
+
 def coverage(df: DataFrame, tables: dict[str, DataFrame], dims: tuple[Dimension, ...], year: str) -> DataFrame:
     """By year: rows, and rows without a match in each dimension, and in all together."""
     out = df
-    for dim in dims:
+    for dim in _small_first(dims):
         out = _look_up(out, tables[dim.name], dim, "left")
     missing = {d.name: F.col(d.surrogate).isNull() for d in dims}
     return out.groupBy(year).agg(
@@ -126,29 +165,45 @@ def foreign_keys(child: DataFrame, parents: dict[str, tuple[DataFrame, str, str]
     return reduce(DataFrame.unionByName, parts).withColumn("valid", F.col("orphans") == 0)
 
 
+def _references(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
+    """repeated: rows of ``parent`` whose ``column`` is null or that of another row counted before; orphans:
+    rows of ``child`` whose ``column`` no row of ``parent`` has. One row, by one exchange of both sides,
+    counted in their tasks first."""
+    sides = child.select(column, F.lit(1).alias("c"), F.lit(0).alias("p")).unionByName(parent.select(column, F.lit(0).alias("c"), F.lit(1).alias("p")))
+    by = sides.groupBy(column).agg(F.sum("c").alias("c"), F.sum("p").alias("p"))
+    known = F.col(column).isNotNull()
+    orphans = F.sum(F.when(known & (F.col("p") == 0), F.col("c")))
+    repeated = F.sum("p") - F.count_if(known & (F.col("p") > 0))
+    return by.agg(F.coalesce(repeated, F.lit(0)).alias("repeated"), F.coalesce(orphans, F.lit(0)).alias("orphans"))
+
+
 def constraint_catalog(tables: dict[str, DataFrame], dims: tuple[Dimension, ...], fact: DataFrame, fact_name: str = "fact") -> DataFrame:
     """table_name, column_count, row_count, constraint_name, kind, columns, violations, valid: what a database's
     catalog says of a star schema's tables joined with their constraints, each checked on the data.
 
-    Of each dimension: primary key, unique natural key, and keys that are not null, from one pass; of the
-    fact: a foreign key for each dimension. Violations of keys are rows too many, of others rows.
+    Of each dimension: primary key, unique natural key, and keys that are not null; of the fact: a foreign
+    key for each dimension, from the exchange that checks the primary key. Violations of keys are rows too
+    many, of others rows. The fact's keys are written for the checks, which read nothing else of it.
     """
     spark = fact.sparkSession
+    keys = write_shared(fact.select(*[d.surrogate for d in dims]))
     checked, described = [], []
+
+    def listed_as(counted: DataFrame, *found: tuple[str, str, str, Column]) -> DataFrame:
+        names = ("table_name", "kind", "columns", "violations")
+        return counted.select(F.inline(F.array(*[F.struct(*[(x if isinstance(x, Column) else F.lit(x)).alias(n) for n, x in zip(names, row, strict=True)]) for row in found])))
+
     for d in dims:
         table = tables[d.name]
         counted = table.agg(
-            F.count(F.lit(1)).alias("n"), F.count_distinct(d.surrogate).alias("p"), F.count_distinct(F.struct(*d.key)).alias("u"),
+            F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*d.key)).alias("u"),
             F.count_if(reduce(lambda x, y: x | y, (F.col(c).isNull() for c in (d.surrogate, *d.key)))).alias("m"),
         )
-        found = [("primary", d.surrogate, F.col("n") - F.col("p")), ("unique", ",".join(d.key), F.col("n") - F.col("u")), ("not_null", ",".join((d.surrogate, *d.key)), F.col("m"))]
-        structs = [F.struct(F.lit(k).alias("kind"), F.lit(c).alias("columns"), v.alias("violations")) for k, c, v in found]
-        checked.append(counted.select(F.lit(d.name).alias("table_name"), F.inline(F.array(*structs))))
+        unique, filled = (d.name, "unique", ",".join(d.key), F.col("n") - F.col("u")), (d.name, "not_null", ",".join((d.surrogate, *d.key)), F.col("m"))
+        primary, foreign = (d.name, "primary", d.surrogate, F.col("repeated")), (fact_name, "foreign", d.surrogate, F.col("orphans"))
+        checked += [listed_as(counted, unique, filled), listed_as(_references(keys, table, d.surrogate), primary, foreign)]
         described.append(table.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(d.name).alias("table_name"), "row_count"))
-    orphans = foreign_keys(fact, {d.name: (tables[d.name], d.surrogate, d.surrogate) for d in dims})
-    names = spark.createDataFrame([(d.name, d.surrogate) for d in dims], "constraint_name string, columns string")
-    checked.append(orphans.join(names, "constraint_name").select(F.lit(fact_name).alias("table_name"), F.lit("foreign").alias("kind"), "columns", F.col("orphans").alias("violations")))
-    described.append(fact.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(fact_name).alias("table_name"), "row_count"))
+    described.append(keys.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(fact_name).alias("table_name"), "row_count"))
     widths = [(d.name, len(tables[d.name].columns)) for d in dims] + [(fact_name, len(fact.columns))]
     listed = spark.createDataFrame(widths, "table_name string, column_count int").join(reduce(DataFrame.unionByName, described), "table_name")
     every = listed.join(reduce(DataFrame.unionByName, checked), "table_name")

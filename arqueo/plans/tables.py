@@ -28,14 +28,14 @@ def _amounts() -> list[Column]:
 def staging(spark: SparkSession, sf_dir: str, parts: bool = True, places: bool = True) -> DataFrame:
     """One wide row for each line, as the staging layer has it.
 
-    Only the joins that a query needs are made; a date in the order gives year and month.
+    Only the joins that a query needs are made; a date in the order gives year and month. Orders meet their
+    customers, and lines their parts, before lines meet orders, so lines are exchanged while they are narrow.
     """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderpriority"
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-    out = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey"))
     columns = [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_returnflag").alias("returnflag"),
         F.col("l_linestatus").alias("linestatus"), "year", "month", F.col("c_custkey").alias("custkey"),
@@ -44,11 +44,13 @@ def staging(spark: SparkSession, sf_dir: str, parts: bool = True, places: bool =
     if places:
         nation = table(spark, sf_dir, "nation")
         region = table(spark, sf_dir, "region")
-        out = out.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        customer = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         columns += [F.col("n_name").alias("nation"), F.col("r_name").alias("region")]
     if parts:
-        out = out.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        lines = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         columns += [F.col("p_brand").alias("brand"), F.col("p_type").alias("type"), F.col("p_size").alias("size")]
+    ordered = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    out = lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
     return out.select(*columns, *_amounts())
 
 

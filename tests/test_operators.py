@@ -776,3 +776,35 @@ def test_old_shared_tables_are_swept(spark, tmp_path):
     assert storage.sweep_shared(spark, 3600, base) == 0 and spark.read.parquet(f"{base}/table-1").count() == 3
     assert storage.sweep_shared(spark, -60, base) == 2
     assert [x.name for x in (tmp_path / "shared").iterdir()] == ["other"]
+
+
+def test_large_dimensions_exchange_narrow_rows(spark):
+    """Rows meet large dimensions with the small ones' numbers in one column, and without their texts."""
+    dims = (contracts.Dimension("big", ("k", "j"), small=False), *(contracts.Dimension(f"d{i}", (f"t{i}",)) for i in range(9)))
+    df = spark.range(600).select((F.col("id") % 37).alias("k"), (F.col("id") % 29).alias("j"), *[F.concat(F.lit("t"), F.col("id") % (i + 2)).alias(f"t{i}") for i in range(9)], F.col("id").alias("m"))
+    tables = model.build_dimensions(df, dims)
+    rows = df.collect()
+    numbers = {d.name: {v: i for i, v in enumerate(sorted({tuple(r[c] for c in d.key) for r in rows}), 1)} for d in dims}
+    want = {(*(numbers[d.name][tuple(r[c] for c in d.key)] for d in dims), r.m) for r in rows}
+    assert {tuple(r) for r in model.load_fact(df, tables, dims, ["m"]).collect()} == want
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = model.load_fact(df, tables, dims, ["m"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    (exchanged,) = re.findall(r"Exchange hashpartitioning\(k#\d+L, j#\d+L.*\n.*Project \[(.*m#.*)\]", plan)
+    assert "_packed0" in exchanged and not re.search(r"\bt\d#|d\d_key#\d+[,\]]", re.sub(r"\(.*\) AS ", "", exchanged))
+    # More bits than one column has; what no bit holds stays apart.
+    tops = {f"n{i}": spark.createDataFrame([((1 << 30) + i,)], f"n{i} int") for i in range(5)}
+    wide = spark.createDataFrame([tuple((1 << 30) + i for i in range(5))], ", ".join(f"n{i} int" for i in range(5)))
+    packed, unpacked = model._packed(tops)
+    assert len(packed) == 3 and tuple(one(wide.select(*packed).select(*[c.alias(n) for n, c in unpacked.items()]))) == tuple(one(wide))
+
+
+def test_constraints_that_do_not_hold(spark):
+    dims = (contracts.Dimension("d", ("k",)),)
+    table = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (None, "c"), (3, None)], "d_key int, k string")
+    fact = spark.createDataFrame([(1, 5), (1, 5), (4, 5), (4, 5), (None, 5)], "d_key int, m int")
+    got = {r.kind: (r.table_name, r.column_count, r.row_count, r.violations) for r in model.constraint_catalog({"d": table}, dims, fact).collect()}
+    assert got == {"primary": ("d", 2, 5, 2), "unique": ("d", 2, 5, 1), "not_null": ("d", 2, 5, 2), "foreign": ("fact", 2, 5, 2)}
