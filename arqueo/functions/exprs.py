@@ -85,18 +85,24 @@ def _end_zeros(number: Column) -> Column:
     return F.length(F.replace(F.regexp_extract(number, r"([0.]*+)(?:[eE].*)?\z", 1), F.lit("."), F.lit("")))
 
 
+def _scientific(number: Column) -> Column:
+    return number.contains("e") | number.contains("E")
+
+
 def extra_digits_of(number: Column) -> Column:
     """Whether more than two digits follow the point of a :func:`number_text`; only exponents need arithmetic."""
-    scientific = number.contains("e") | number.contains("E")
-    found = F.when(scientific, _decimals(number) > 2).otherwise(F.regexp_like(number, F.lit(r"\.[0-9]{3}")))
+    point = F.instr(number, ".")
+    found = F.when(_scientific(number), _decimals(number) > 2).otherwise((point > 0) & (F.length(number) - point > 2))
     return F.coalesce(found, F.lit(False))
 
 
 def rounding_of(number: Column) -> Column:
     """Whether a digit beyond the second after the point of a :func:`number_text` is not zero."""
-    scientific = number.contains("e") | number.contains("E")
+    point = F.instr(number, ".")
     beyond = (_decimals(number) - _end_zeros(number) > 2) & F.regexp_like(number, F.lit("^[^eE]*[1-9]"))
-    return F.coalesce(F.when(scientific, beyond).otherwise(F.regexp_like(number, F.lit(r"\.[0-9]{2,}[1-9]"))), F.lit(False))
+    # Behind the point and two digits; no pattern is needed.
+    plain = (point > 0) & (F.rtrim(F.substring(number, point + 3, F.length(number)), F.lit("0")) != "")
+    return F.coalesce(F.when(_scientific(number), beyond).otherwise(plain), F.lit(False))
 
 
 def has_extra_digits(c: Column | str) -> Column:

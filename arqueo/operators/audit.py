@@ -44,10 +44,20 @@ def audit(df: DataFrame, columns: list[str], expected: int | None = None) -> Dat
     in the total, and have no extra digits but for numbers. With ``expected``, another number of
     columns is an error.
     """
+    _require(columns, expected)
+    return audit_texts(unpivoted(_spread(df.select(*columns)), columns), columns)
+
+
+def _require(columns: list[str], expected: int | None) -> None:
     if expected is not None and len(columns) != expected:
         raise ValueError(f"{expected} amount columns are needed, found {len(columns)}")
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    summed = _judged(unpivoted(_spread(df.select(*columns)), columns)).groupBy("column_name").agg(
+
+
+def audit_texts(rows: DataFrame, columns: list[str], expected: int | None = None) -> DataFrame:
+    """:func:`audit` of rows that are a column_name and a value each, as :func:`unpivoted` gives them."""
+    _require(columns, expected)
+    names = rows.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    summed = _judged(rows).groupBy("column_name").agg(
         F.sum("amount").cast(TOTAL).alias("total"), F.count_if("extra_digits").alias("extra_digits"),
         F.count_if("rounded").alias("rounded"), F.count_if("invalid").alias("invalid"),
     )

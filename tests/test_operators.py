@@ -808,3 +808,18 @@ def test_constraints_that_do_not_hold(spark):
     fact = spark.createDataFrame([(1, 5), (1, 5), (4, 5), (4, 5), (None, 5)], "d_key int, m int")
     got = {r.kind: (r.table_name, r.column_count, r.row_count, r.violations) for r in model.constraint_catalog({"d": table}, dims, fact).collect()}
     assert got == {"primary": ("d", 2, 5, 2), "unique": ("d", 2, 5, 1), "not_null": ("d", 2, 5, 2), "foreign": ("fact", 2, 5, 2)}
+
+
+def test_texts_of_measures_are_compiled_to_machine_code(spark):
+    """The stage that makes and audits the texts stays small, and long rows are audited as wide ones are."""
+    from arqueo.plans import queries
+
+    made = queries._text_measures(spark, "/root/testdata/sf0.001")
+    assert made.columns == ["column_name", "value"]
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", loaded_code(spark, made))]
+    assert sizes and max(sizes) < 8000
+    rows = [("1.005", "0.1"), ("2.2250", "1e-3"), ("7.001000", " "), ("3.120", "x"), ("12", ".0009"), ("5.", "1.10e1")]
+    wide = texts(spark, ["pia", "pim"], rows)
+    want = {("pia", "30.36", 4, 3, 0), ("pim", "11.10", 2, 2, 1)}
+    for found in (audit.audit(wide, ["pia", "pim"], 2), audit.audit_texts(audit.unpivoted(wide, ["pia", "pim"]), ["pia", "pim"], 2)):
+        assert {tuple(r) for r in found.collect()} == want
