@@ -619,3 +619,18 @@ def test_pipeline_run(spark):
     out = corpus_pipeline.run(spark, D)
     assert 0 < out.count() < spark.read.parquet(f"{D}/documents.parquet").count()
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
+
+
+def test_runs_come_from_the_suffix_array(spark):
+    """The suffix array's runs are all windows; given pages without their main marks pass through it."""
+    rng = random.Random(7)
+    for _ in range(60):
+        streams = [[rng.choice("ab") * rng.randint(1, 2) for _ in range(rng.randint(0, 40))] for _ in range(rng.randint(0, 6))]
+        got = page_text.runs_of(streams)
+        assert [g.tolist() for g in map(np.sort, got)] == [np.unique(page_text.window_hashes(s)).tolist() for s in streams]
+    pages = spark.read.parquet(f"{D}/pages.parquet")
+    marked = {(r.page_id, r.url): r.text for r in page_text.main_text(pages).collect()}
+    plain = pages.withColumn("html", F.regexp_replace("html", "</?article[^>]*>|</?main[^>]*>", "<p>"))
+    rows = page_text.main_text(plain).collect()
+    assert len(rows) == len(marked) and sum(r.n_chars > 0 for r in rows) > 0.9 * len(rows)
+    print("removed", sum(r.n_repeated for r in rows), "same", sum(r.text == marked[r.page_id, r.url] for r in rows), "of", len(rows))
